@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this library rebuilds is a batch job; it has no stream source, state,
+watermark or streaming sink, so no streaming operator is offered. The
+builders return ordinary DataFrame plans; a user who needs documents from a
+stream can call them inside ``foreachBatch`` with Spark's own API.
+"""
