@@ -174,7 +174,10 @@ def build(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions | N
 
     if opts.max_items is None:
         for ch, side in lists:
-            df = df.join(side, spec.key, ch.how)
+            # A list side grows with its child table, so it is never broadcast:
+            # it already comes hash-partitioned by the key out of its nest, and
+            # a merge join then only shuffles the parent side.
+            df = df.join(side.hint("merge"), spec.key, ch.how)
         out = df.select(*base_cols, *[q(ch.out) for ch, _ in lists])
     else:
         out = _join_pages(df, spec.key, base_cols, lists)

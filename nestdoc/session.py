@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 # On a cluster the same keys come from spark-defaults / spark-submit and win.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     # Adaptive execution: coalesces small shuffle partitions, splits skewed join
     # partitions and turns a join into a broadcast once the runtime size is known.
