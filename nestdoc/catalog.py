@@ -367,3 +367,24 @@ QUERIES: dict[str, Query] = {
     "clean_text": clean_text,
     "format_row": format_row,
 }
+
+
+# ---------------------------------------------------------------- synthesis
+from .oracle import SYNTH_IDS  # noqa: E402
+from .sources import synth as G  # noqa: E402
+
+
+def _synth_query(table: str) -> Query:
+    src, key = SYNTH_IDS[table]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ids = _src(spark, sf_dir, src).select(F.col(key).alias("id"))
+        return G.GENERATORS[table](ids)
+
+    run.__name__ = f"synth_{table}"
+    run.__doc__ = f"{table} synthesised for the ids of {src}.{key}"
+    return run
+
+
+for _t in G.GENERATORS:
+    QUERIES[f"synth_{_t}"] = _synth_query(_t)
