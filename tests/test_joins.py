@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import collections
+
+import pytest
+
+from nestdoc import JoinParts, join_split
+
+
+@pytest.fixture()
+def sides(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b2"), (None, "n"), (4, "d")], "k int, lv string")
+    right = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z"), (None, "m"), (1, "x2")], "k int, rv string")
+    return left, right
+
+
+def rows(df):
+    return collections.Counter(tuple(r) for r in df.collect())
+
+
+def test_mode_1_inner_chosen_columns(sides):
+    left, right = sides
+    out = join_split(left, right, ["k"], left_cols="*", right_cols=["rv"], mode=1)
+    assert out.columns == ["k", "lv", "rv"]
+    assert rows(out) == collections.Counter([(1, "a", "x"), (1, "a", "x2"), (2, "b", "y"), (2, "b2", "y")])
+
+
+def test_mode_7_left_outer(sides):
+    left, right = sides
+    out = join_split(left, right, ["k"], left_cols="*", right_cols=["rv"], mode="left")
+    assert out.count() == 6
+    assert rows(out)[(None, "n", None)] == 1 and rows(out)[(4, "d", None)] == 1
+
+
+def test_right_star_leaves_using_key_out(sides):
+    left, right = sides
+    out = join_split(left, right, ["k"], left_cols=["lv"], right_cols="*", mode=1)
+    assert out.columns == ["lv", "rv"]
+
+
+def test_no_right_columns_repeats_left_rows(sides):
+    left, right = sides
+    out = join_split(left, right, ["k"], left_cols="*", right_cols=None, mode=1)
+    assert rows(out)[(1, "a")] == 2
+
+
+def test_split_modes(sides):
+    left, right = sides
+    p2 = join_split(left, right, ["k"], right_cols=["rv"], mode=2)
+    assert isinstance(p2, JoinParts) and p2.right_only is None
+    assert rows(p2.left_only) == collections.Counter([(None, "n"), (4, "d")])
+    p3 = join_split(left, right, ["k"], right_cols=["rv"], mode="inner_both")
+    assert rows(p3.right_only) == collections.Counter([(3, "z"), (None, "m")])
+    p4 = join_split(left, right, ["k"], right_cols=["rv"], mode=4)
+    assert p4.left_only is None and p4.right_only.count() == 2
+    assert rows(join_split(left, right, ["k"], mode=5)) == rows(p2.left_only)
+    assert rows(join_split(left, right, ["k"], mode=6)) == rows(p3.right_only)
+
+
+def test_matched_and_unmatched_partition_the_left_rows(sides):
+    left, right = sides
+    parts = join_split(left, right, ["k"], right_cols=None, mode=2)
+    matched = set(parts.matched.collect())
+    unmatched = set(parts.left_only.collect())
+    assert matched.isdisjoint(unmatched)
+    assert matched | unmatched == set(left.collect())
+
+
+def test_condition_list_is_anded(spark):
+    a = spark.createDataFrame([(1, 1, "p"), (1, 2, "q")], "x int, y int, a string")
+    b = spark.createDataFrame([(1, 1, "r"), (1, 3, "s")], "u int, v int, b string")
+    out = join_split(a, b, [a.x == b.u, a.y == b.v], left_cols="*", right_cols=["b"], mode=1)
+    assert [tuple(r) for r in out.collect()] == [(1, 1, "p", "r")]
+    assert join_split(a, b, [a.x == b.u, a.y == b.v], mode=5).count() == 1
+
+
+@pytest.mark.parametrize("bad", [0, 8, -1, "outer", True])
+def test_invalid_mode(sides, bad):
+    left, right = sides
+    with pytest.raises(ValueError):
+        join_split(left, right, ["k"], mode=bad)
+
+
+def test_mixed_key_kinds_rejected(sides):
+    left, right = sides
+    with pytest.raises(ValueError):
+        join_split(left, right, ["k", left.k == right.k])
