@@ -17,7 +17,7 @@ from .functions import columns as C
 from .functions import dates as D
 from .functions import text as T
 from .operators.joins import join_split
-from .operators.nest import nest, unnest
+from .operators.nest import PAGE, nest, unnest
 from .plans import insurance as I
 from .plans.spec import BuildOptions, build
 from .plans.summary import count_where, list_money, list_size, nested_money, nested_size
@@ -110,6 +110,44 @@ def participants_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.participants_by_policy(_roles(spark, sf_dir)).select("numpoliza", *_participant_cols("datos_cliente"))
 
 
+def policy_document_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The heavy-key form of the document: every list cut into pages of at
+    most 4 items (rows are (policy, page)); the page summaries are added up
+    per policy, which must give the unpaged document's summary. An element
+    continued on a later page (a claim whose payments span pages) counts once,
+    on its page 0."""
+    doc = I.policy_document(_roles(spark, sf_dir), BuildOptions(max_items=4))
+    first = lambda x: x[PAGE] == 0
+    per_page = doc.select(
+        "numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+        count_where("datos_sin", first).alias("n_claims"),
+        nested_size("datos_sin", "datos_pago").alias("n_payments"),
+        nested_money("datos_sin", "datos_pago", "l_extendedprice").alias("sum_payment"),
+        list_size("datos_recibos").alias("n_receipts"),
+        list_money("datos_recibos", "importe_prima").alias("sum_receipt"),
+        list_size("datos_tarifa").alias("n_tariffs"),
+        list_money("datos_tarifa", "importe_prima").alias("sum_tariff"),
+        count_where("datos_cliente", first).alias("n_participants"),
+        count_where("datos_cliente", lambda x: first(x) & x["n_name"].isNotNull()).alias("n_with_client"),
+        nested_size("datos_cliente", "datos_cuenta").alias("n_accounts"),
+        nested_money("datos_cliente", "datos_cuenta", "s_acctbal").alias("sum_accounts"),
+    )
+    money = ("sum_payment", "sum_receipt", "sum_tariff", "sum_accounts")
+    counts = ("n_claims", "n_payments", "n_receipts", "n_tariffs", "n_participants", "n_with_client", "n_accounts")
+    return per_page.groupBy("numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in counts],
+        *[F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias(c) for c in money],
+    ).select(*document_summary_columns())
+
+
+def document_summary_columns() -> list[str]:
+    return [
+        "numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+        "n_claims", "n_payments", "sum_payment", "n_receipts", "sum_receipt", "n_tariffs", "sum_tariff",
+        "n_participants", "n_with_client", "n_accounts", "sum_accounts",
+    ]
+
+
 def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the document written as Parquet under the shared folder, read back."""
     path = scratch_path(spark, "policy_document")
@@ -335,6 +373,7 @@ def format_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "policy_document": policy_document,
+    "policy_document_paged": policy_document_paged,
     "claims_with_payments": claims_with_payments,
     "receipts_by_policy": receipts_by_policy,
     "tariffs_by_policy": tariffs_by_policy,
