@@ -94,10 +94,15 @@ def nest(
     sort: bool = True,
     max_items: int | None = None,
     shuffle_first: bool = True,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """Group ``df`` by ``key`` and collect the other columns as a list of structs.
 
     Returns ``(key..., out)``, or ``(key..., page, out)`` when ``max_items`` is set.
+    The paged form reads its input four times (key counts, light keys, heavy
+    keys, page numbers); with ``checkpoint=True`` the input is first written
+    once to the session's checkpoint folder (a reliable checkpoint, which also
+    cuts the lineage), so the rows are not recomputed for each read.
     """
     keys = _as_list(key)
     fields = item_fields(df, keys, exclude, cols)
@@ -108,22 +113,34 @@ def nest(
         return df.groupBy(*[q(k) for k in keys]).agg(collect_sorted(item, sort=sort, order_by=order_by).alias(out))
     if max_items < 1:
         raise ValueError("max_items must be at least 1")
-    return _nest_paged(df, keys, fields, out, max_items, sort, order_by)
+    return _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint)
 
 
-def _hot_keys(df: DataFrame, keys: list[str], max_items: int) -> DataFrame:
+def _hot_keys(df: DataFrame, keys: list[str], max_items: int) -> tuple[DataFrame, int]:
+    """Keys with more than max_items rows, and how many there are.
+
+    The count is the size check before the broadcast (there are at most
+    rows / max_items such keys); it is one aggregation job over the keys.
+    """
     counts = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > max_items)
-    # Size check before a broadcast: one small job that counts heavy keys.
     n_hot = hot.count()
-    return F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot
+    return (F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot), n_hot
 
 
-def _nest_paged(df, keys, fields, out, max_items, sort, order_by) -> DataFrame:
+def _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint) -> DataFrame:
     item = F.struct(*[q(c) for c in fields])
     collect = collect_sorted(item, sort=sort, order_by=order_by).alias(out)
     key_cols = [q(k) for k in keys]
-    marked = df.join(_hot_keys(df, keys, max_items), keys, "left")
+    hot_keys, n_hot = _hot_keys(df, keys, max_items)
+    if n_hot == 0:
+        # no heavy key: one page per key, the plain nest
+        lists = df.repartition(*key_cols).groupBy(*key_cols).agg(collect)
+        return lists.select(*key_cols, F.lit(0).alias(PAGE), out)
+    if checkpoint:
+        df = df.checkpoint(eager=True)
+        hot_keys, _ = _hot_keys(df, keys, max_items)
+    marked = df.join(hot_keys, keys, "left")
 
     cold = (
         marked.where(F.col("_n").isNull())
@@ -141,8 +158,15 @@ def _nest_paged(df, keys, fields, out, max_items, sort, order_by) -> DataFrame:
     in_group = Window.partitionBy(*key_cols, F.col("_grp")).orderBy(*order)
     hot = hot.withColumn("_piece", F.floor((F.row_number().over(in_group) - 1) / F.lit(max_items)))
     pieces = hot.groupBy(*key_cols, "_grp", "_piece").agg(collect)
+    # Dense page numbers per key, computed on the small (key, group, piece)
+    # table rather than on the lists, so no task ever holds a heavy key's lists.
     in_key = Window.partitionBy(*key_cols).orderBy("_grp", "_piece")
-    pieces = pieces.select(*key_cols, (F.row_number().over(in_key) - 1).cast("int").alias(PAGE), out)
+    numbering = (
+        hot.select(*key_cols, "_grp", "_piece")
+        .distinct()
+        .withColumn(PAGE, (F.row_number().over(in_key) - 1).cast("int"))
+    )
+    pieces = pieces.join(numbering, [*keys, "_grp", "_piece"]).select(*key_cols, PAGE, out)
     return cold.unionByName(pieces)
 
 
