@@ -132,14 +132,13 @@ def _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint) ->
     item = F.struct(*[q(c) for c in fields])
     collect = collect_sorted(item, sort=sort, order_by=order_by).alias(out)
     key_cols = [q(k) for k in keys]
+    if checkpoint:
+        df = df.checkpoint(eager=True)
     hot_keys, n_hot = _hot_keys(df, keys, max_items)
     if n_hot == 0:
         # no heavy key: one page per key, the plain nest
         lists = df.repartition(*key_cols).groupBy(*key_cols).agg(collect)
         return lists.select(*key_cols, F.lit(0).alias(PAGE), out)
-    if checkpoint:
-        df = df.checkpoint(eager=True)
-        hot_keys, _ = _hot_keys(df, keys, max_items)
     marked = df.join(hot_keys, keys, "left")
 
     cold = (
