@@ -148,6 +148,11 @@ def document_summary_columns() -> list[str]:
     ]
 
 
+def dropped_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies the inner joins leave out of the document (no tariff or no participant)."""
+    return I.dropped_policies(_roles(spark, sf_dir))
+
+
 def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: the document written as Parquet under the shared folder, read back."""
     path = scratch_path(spark, "policy_document")
@@ -381,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "policy_core": policy_core,
     "participants_by_policy": participants_by_policy,
     "parquet_sink": parquet_sink,
+    "dropped_policies": dropped_policies,
     "csv_scan": csv_scan,
     "join_inner_cols": join_inner_cols,
     "join_left_cols": join_left_cols,

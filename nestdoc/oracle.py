@@ -108,6 +108,10 @@ FROM clients c LEFT JOIN acc ON c.idcliente = acc.idcliente"""
     ),
     "participants_by_policy": _with("SELECT pt.numpoliza, " + PARTICIPANT_COLS + " FROM pt"),
     "csv_scan": "SELECT * FROM customer",
+    "dropped_policies": _with(
+        """SELECT p.* FROM policies p
+WHERE NOT EXISTS (SELECT 1 FROM tariffs t WHERE t.num_poliza = p.numpoliza)
+   OR NOT EXISTS (SELECT 1 FROM participants i WHERE i.numpoliza = p.numpoliza)""", lists=False),
     "join_inner_cols": _with(
         """SELECT c.idsiniestro, c.idpoliza AS numpoliza, c.o_totalprice, p.c_name, p.c_mktsegment
 FROM claims c JOIN policies p ON c.idpoliza = p.numpoliza""", lists=False),

@@ -19,6 +19,7 @@ from collections.abc import Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.joins import join_split
 from ..operators.nest import nest
@@ -107,7 +108,19 @@ def policy_document(
 
 
 def dropped_policies(tables: Tables) -> DataFrame:
-    """Policies that the two inner joins leave out (no tariff or no participant),
-    as the unmatched part of a split join against the document's keys."""
-    doc_keys = policy_document(tables, BuildOptions(sort=False)).select("numpoliza")
-    return join_split(tables["policies"], doc_keys, ["numpoliza"], mode="left_anti")
+    """Policies that the two inner joins leave out (no tariff or no participant).
+
+    Key-only plan: the policies without a match in (tariff keys semi-joined
+    with participant keys), i.e. the unmatched part of a split join; the
+    lists are never built for it.
+    """
+    tariff_keys = tables["tariffs"].select(F.col("num_poliza").alias("numpoliza"))
+    kept = tariff_keys.join(tables["participants"].select("numpoliza"), "numpoliza", "left_semi")
+    return join_split(tables["policies"], kept, ["numpoliza"], mode="left_anti")
+
+
+def policy_document_report(
+    tables: Tables, opts: BuildOptions | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The document and, beside it, the policies it leaves out."""
+    return policy_document(tables, opts), dropped_policies(tables)
