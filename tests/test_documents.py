@@ -130,3 +130,13 @@ def test_paged_document_holds_every_item(spark):
     n_tariffs = sum(len(r.datos_tarifa or []) for r in rows)
     n_receipts = sum(len(r.datos_recibos or []) for r in rows)
     assert (n_tariffs, n_receipts) == (4, 3)
+
+
+def test_rename_option_renames_payment_state(spark):
+    from dataclasses import replace
+
+    payments = replace(I.PAYMENTS, rename=(("estado", "estado_pago"),))
+    claims = replace(I.CLAIMS, children=(replace(I.CLAIMS.children[0], spec=payments),))
+    doc = build(claims, tables(spark))
+    fields = [f.name for f in doc.schema["datos_pago"].dataType.elementType.fields]
+    assert "estado_pago" in fields and "estado" not in fields

@@ -67,3 +67,22 @@ def test_synthesis_does_not_depend_on_partitioning(spark):
     a = G.policies(spark.range(1, 301).repartition(1)).collect()
     b = G.policies(spark.range(1, 301).repartition(9)).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_missing_client_gives_null_client_fields(spark):
+    doc = I.policy_document(G.synth_all(spark))
+    last = doc.where("numpoliza = 1999").first()  # participant 1000 has no client row
+    assert last.datos_cliente[0].idcliente == 1000 and last.datos_cliente[0].nombre is None
+
+
+def test_run_job_end_to_end(spark, tmp_dir):
+    import os
+
+    from nestdoc.plans.job import run_job
+
+    src = os.path.join(tmp_dir, "src")
+    for name, df in G.synth_all(spark).items():
+        df.write.mode("overwrite").option("header", True).csv(os.path.join(src, f"{name}.csv"))
+    report = run_job(spark, src, os.path.join(tmp_dir, "out"), files=2)
+    assert report.rows == 1000
+    assert spark.read.parquet(os.path.join(tmp_dir, "out")).count() == 1000
