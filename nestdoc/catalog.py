@@ -19,7 +19,7 @@ from .functions import text as T
 from .operators.joins import join_split
 from .operators.nest import PAGE, nest, unnest
 from .plans import insurance as I
-from .plans.spec import BuildOptions, build
+from .plans.spec import DEFAULT_MAX_ITEMS, BuildOptions, build
 from .plans.summary import count_where, list_money, list_size, nested_money, nested_size
 from .session import scratch_path
 from .sinks.writers import write_parquet
@@ -76,6 +76,15 @@ def _participant_cols(col: str):
 
 # ---------------------------------------------------------------- documents
 def policy_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: the document as the job builds it (lists bounded at
+    DEFAULT_MAX_ITEMS items, so a heavy policy gets more pages instead of one
+    unbounded row), summarised and added up per policy."""
+    doc = I.policy_document(_roles(spark, sf_dir), BuildOptions(max_items=DEFAULT_MAX_ITEMS))
+    return paged_document_summary(doc)
+
+
+def policy_document_unpaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document in the original shape: one row per policy, unbounded lists."""
     return document_summary(I.policy_document(_roles(spark, sf_dir)))
 
 
@@ -111,12 +120,20 @@ def participants_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def policy_document_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The heavy-key form of the document: every list cut into pages of at
-    most 4 items (rows are (policy, page)); the page summaries are added up
-    per policy, which must give the unpaged document's summary. An element
-    continued on a later page (a claim whose payments span pages) counts once,
-    on its page 0."""
-    doc = I.policy_document(_roles(spark, sf_dir), BuildOptions(max_items=4))
+    """The heavy-key form under stress: every list cut into pages of at most 4
+    items (rows are (policy, page)); the page summaries added up per policy
+    must give the unpaged document's summary."""
+    return paged_document_summary(I.policy_document(_roles(spark, sf_dir), BuildOptions(max_items=4)))
+
+
+def paged_document_summary(doc: DataFrame) -> DataFrame:
+    """Summary of a paged document, one row per policy.
+
+    Page summaries are row-local; adding them up per policy is one small
+    aggregation (a few numbers per page). An element continued on a later
+    page (a claim whose payments span pages, a participant whose client's
+    accounts do) counts once, on its page 0.
+    """
     first = lambda x: x[PAGE] == 0
     per_page = doc.select(
         "numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
@@ -154,10 +171,11 @@ def dropped_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: the document written as Parquet under the shared folder, read back."""
+    """K1: the document (as the job writes it) written as Parquet under the
+    shared folder, read back and summarised."""
     path = scratch_path(spark, "policy_document")
-    write_parquet(I.policy_document(_roles(spark, sf_dir)), path)
-    return document_summary(spark.read.parquet(path))
+    write_parquet(I.policy_document(_roles(spark, sf_dir), BuildOptions(max_items=DEFAULT_MAX_ITEMS)), path)
+    return paged_document_summary(spark.read.parquet(path))
 
 
 # ---------------------------------------------------------------- sources
@@ -379,6 +397,7 @@ def format_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "policy_document": policy_document,
     "policy_document_paged": policy_document_paged,
+    "policy_document_unpaged": policy_document_unpaged,
     "claims_with_payments": claims_with_payments,
     "receipts_by_policy": receipts_by_policy,
     "tariffs_by_policy": tariffs_by_policy,

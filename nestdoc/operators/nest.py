@@ -28,6 +28,7 @@ Pages of a heavy key are ordered by (hash group, fields), not globally.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,29 +96,53 @@ def nest(
     max_items: int | None = None,
     shuffle_first: bool = True,
     checkpoint: bool = True,
+    key_counts_from: DataFrame | None = None,
+    heavy_keys: int | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``key`` and collect the other columns as a list of structs.
 
     Returns ``(key..., out)``, or ``(key..., page, out)`` when ``max_items`` is set.
-    The paged form reads its input four times (key counts, light keys, heavy
-    keys, page numbers); with ``checkpoint=True`` the input is first written
-    once to the session's checkpoint folder (a reliable checkpoint, which also
-    cuts the lineage), so the rows are not recomputed for each read.
+
+    The paged form first counts rows per key, on ``key_counts_from`` when
+    given (any table with the key columns whose per-key counts are at least
+    those of ``df``, such as the base table of a derived ``df``: cheap, as
+    only its key columns are read) or else on ``df``; ``heavy_keys`` passes a
+    count already made. Without a heavy key it is the plain nest with page 0.
+    Otherwise it reads its input three more times (light keys, heavy keys,
+    page numbers); with ``checkpoint=True`` the input is then written once to
+    the session's checkpoint folder (a reliable checkpoint, which also cuts
+    the lineage) so it is not recomputed for each read.
     """
     keys = _as_list(key)
     fields = item_fields(df, keys, exclude, cols)
     item = F.struct(*[q(c) for c in fields])
+    collect = collect_sorted(item, sort=sort, order_by=order_by).alias(out)
+    key_cols = [q(k) for k in keys]
     if max_items is None:
         if shuffle_first:
-            df = df.repartition(*[q(k) for k in keys])
-        return df.groupBy(*[q(k) for k in keys]).agg(collect_sorted(item, sort=sort, order_by=order_by).alias(out))
+            df = df.repartition(*key_cols)
+        return df.groupBy(*key_cols).agg(collect)
     if max_items < 1:
         raise ValueError("max_items must be at least 1")
-    return _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint)
+
+    hot = None
+    if heavy_keys is None:
+        source = df if key_counts_from is None else key_counts_from
+        hot, heavy_keys = _hot_keys(source.select(*key_cols), keys, max_items)
+    if heavy_keys == 0:
+        # no heavy key: one page per key, the plain nest
+        lists = df.repartition(*key_cols).groupBy(*key_cols).agg(collect)
+        return lists.select(*key_cols, F.lit(0).alias(PAGE), out)
+    if checkpoint:
+        df = df.checkpoint(eager=True)
+    if hot is None:
+        source = df if key_counts_from is None else key_counts_from
+        hot, _ = _hot_keys(source.select(*key_cols), keys, max_items)
+    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot)
 
 
 def _hot_keys(df: DataFrame, keys: list[str], max_items: int) -> tuple[DataFrame, int]:
-    """Keys with more than max_items rows, and how many there are.
+    """Keys with more than max_items rows (a null key included), and how many.
 
     The count is the size check before the broadcast (there are at most
     rows / max_items such keys); it is one aggregation job over the keys.
@@ -128,18 +153,17 @@ def _hot_keys(df: DataFrame, keys: list[str], max_items: int) -> tuple[DataFrame
     return (F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot), n_hot
 
 
-def _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint) -> DataFrame:
-    item = F.struct(*[q(c) for c in fields])
-    collect = collect_sorted(item, sort=sort, order_by=order_by).alias(out)
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where null equals null (a null key can be heavy too)."""
+    a, b = left.alias("_a"), right.alias("_b")
+    cond = reduce(lambda x, y: x & y, [q(k, "_a").eqNullSafe(q(k, "_b")) for k in keys])
+    extra = [q(c, "_b") for c in right.columns if c not in keys]
+    return a.join(b, cond, how).select(*[q(c, "_a") for c in left.columns], *extra)
+
+
+def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys) -> DataFrame:
     key_cols = [q(k) for k in keys]
-    if checkpoint:
-        df = df.checkpoint(eager=True)
-    hot_keys, n_hot = _hot_keys(df, keys, max_items)
-    if n_hot == 0:
-        # no heavy key: one page per key, the plain nest
-        lists = df.repartition(*key_cols).groupBy(*key_cols).agg(collect)
-        return lists.select(*key_cols, F.lit(0).alias(PAGE), out)
-    marked = df.join(hot_keys, keys, "left")
+    marked = _join_null_safe(df, hot_keys, keys, "left")
 
     cold = (
         marked.where(F.col("_n").isNull())
@@ -149,6 +173,9 @@ def _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint) ->
         .select(*key_cols, F.lit(0).alias(PAGE), out)
     )
 
+    # Heavy keys: split by a hash of the row into groups of about
+    # SPLIT_FACTOR * max_items rows, number rows inside each group (one task
+    # per group), cut pages of max_items.
     order = [q(c) for c in (order_by or fields)]
     n_groups = F.ceil(F.col("_n") / F.lit(max_items * SPLIT_FACTOR))
     hot = marked.where(F.col("_n").isNotNull()).withColumn(
@@ -165,8 +192,8 @@ def _nest_paged(df, keys, fields, out, max_items, sort, order_by, checkpoint) ->
         .distinct()
         .withColumn(PAGE, (F.row_number().over(in_key) - 1).cast("int"))
     )
-    pieces = pieces.join(numbering, [*keys, "_grp", "_piece"]).select(*key_cols, PAGE, out)
-    return cold.unionByName(pieces)
+    pieces = _join_null_safe(pieces, numbering, [*keys, "_grp", "_piece"], "inner")
+    return cold.unionByName(pieces.select(*key_cols, PAGE, out))
 
 
 def unnest(

@@ -97,6 +97,7 @@ SQL: dict[str, str] = {
     "policy_document": POLICY_DOCUMENT,
     "parquet_sink": POLICY_DOCUMENT,
     "policy_document_paged": POLICY_DOCUMENT,
+    "policy_document_unpaged": POLICY_DOCUMENT,
     "policy_core": POLICY_CORE,
     "claims_with_payments": _with("SELECT cl.idpoliza, " + CLAIM_COLS + " FROM cl"),
     "receipts_by_policy": _with("SELECT rc.idpoliza, " + RECEIPT_COLS + " FROM rc"),

@@ -51,6 +51,7 @@ def _opts(opts: BuildOptions | None) -> BuildOptions:
 
 
 def _nest_child(tables: Tables, ch: Child, opts: BuildOptions | None) -> DataFrame:
+    """The stage's list column: the child's rows nested by its foreign key."""
     o = _opts(opts)
     rows = build(ch.spec, tables, o)
     return nest(rows, ch.fk, ch.out, sort=o.sort, order_by=ch.spec.order_by, max_items=o.max_items)

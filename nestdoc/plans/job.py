@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from ..sinks.writers import LEVELS, RunReport, publish, write_parquet
 from ..sources.delimited import load_tables
 from . import insurance
-from .spec import BuildOptions
+from .spec import DEFAULT_MAX_ITEMS, BuildOptions
 
 log = logging.getLogger("nestdoc")
 
@@ -33,7 +33,14 @@ def run_job(
     how_participants: str = "inner",
 ) -> RunReport:
     """Load ``source`` (a folder with policies.csv, claims.csv, ...), build the
-    document and write it to ``target`` (a path, or a table name)."""
+    document and write it to ``target`` (a path, or a table name).
+
+    By default lists are bounded at DEFAULT_MAX_ITEMS items (a ``page`` column
+    numbers the rows of a policy, 0 unless a list is longer); pass
+    ``BuildOptions()`` for the original shape with unbounded lists.
+    """
+    if opts is None:
+        opts = BuildOptions(max_items=DEFAULT_MAX_ITEMS)
     tables = load_tables(spark, source, fmt=fmt, strict=strict)
     doc = insurance.policy_document(
         tables, opts, how_tariffs=how_tariffs, how_participants=how_participants
@@ -54,7 +61,10 @@ def main(argv: list[str] | None = None) -> RunReport:
     p.add_argument("--strict", action="store_true", help="fail on bad rows and header names")
     p.add_argument("--files", type=int, default=None, help="number of output files")
     p.add_argument("--table", action="store_true", help="publish as a table named TARGET")
-    p.add_argument("--max-items", type=int, default=None, help="page lists at this many items")
+    p.add_argument(
+        "--max-items", type=int, default=DEFAULT_MAX_ITEMS,
+        help="page lists at this many items (0: one unbounded list per key, the original shape)",
+    )
     p.add_argument("--persist", choices=sorted(LEVELS), default=None)
     p.add_argument("--left-tariffs", action="store_true", help="keep policies without tariff")
     p.add_argument("--left-participants", action="store_true", help="keep policies without participant")
@@ -62,7 +72,7 @@ def main(argv: list[str] | None = None) -> RunReport:
     from ..session import get_spark
 
     spark = get_spark(app="nestdoc-job")
-    opts = BuildOptions(max_items=a.max_items, persist=LEVELS[a.persist] if a.persist else None)
+    opts = BuildOptions(max_items=a.max_items or None, persist=LEVELS[a.persist] if a.persist else None)
     return run_job(
         spark, a.source, a.target, fmt=a.format, strict=a.strict, files=a.files, as_table=a.table, opts=opts,
         how_tariffs="left" if a.left_tariffs else "inner",

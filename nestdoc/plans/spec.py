@@ -28,6 +28,10 @@ from ..operators.nest import PAGE, nest
 # join shuffles and adaptive execution splits skewed keys.
 LOOKUP_BROADCAST_ROWS = 1_000_000
 
+# The list bound the shipped job uses: no list (and so no task building one)
+# holds more than this many items; keys with more children get more pages.
+DEFAULT_MAX_ITEMS = 1_000_000
+
 _INT_RANK = {ByteType(): 1, ShortType(): 2, IntegerType(): 3, LongType(): 4}
 
 
@@ -121,10 +125,48 @@ def _prepare(spec: DocSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
     return df
 
 
-def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions) -> DataFrame:
+def base_key_counts(spec: DocSpec, fk: str, tables) -> DataFrame:
+    """The child's own table, key column only. Unless something below the
+    child is paged, its rows per key bound those of the built child rows
+    (child lists and lookups join one row per key, inner ones can only drop
+    rows), and counting it reads one column."""
+    return _prepare(spec, tables).select(q(fk))
+
+
+def _child_entries(spec: DocSpec) -> list[Child]:
+    """Every Child of the spec tree (through lookups too), depth first."""
+    out: list[Child] = []
+    for lk in spec.lookups:
+        out += _child_entries(lk.spec)
+    for ch in spec.children:
+        out.append(ch)
+        out += _child_entries(ch.spec)
+    return out
+
+
+def heavy_key_counts(spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int) -> dict[int, int]:
+    """For every Child of the tree, how many parent keys have more than
+    ``max_items`` child rows (by ``id(child)``). One job over the key columns
+    of the child tables; what reaches the driver is one number per Child."""
+    entries = _child_entries(spec)
+    if not entries:
+        return {}
+    frames = [
+        _prepare(ch.spec, tables)
+        .where(q(ch.fk).isNotNull())
+        .select(F.lit(i).alias("_child"), q(ch.fk).cast("string").alias("_key"))
+        for i, ch in enumerate(entries)
+    ]
+    keys = reduce(lambda a, b: a.unionByName(b), frames)
+    heavy = keys.groupBy("_child", "_key").count().where(F.col("count") > max_items)
+    found = {r["_child"]: r["count"] for r in heavy.groupBy("_child").count().collect()}
+    return {id(ch): found.get(i, 0) for i, ch in enumerate(entries)}
+
+
+def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions, heavy) -> DataFrame:
     if lk.spec.key is None:
         raise ValueError(f"lookup table {lk.spec.table!r} needs a key")
-    side = build(lk.spec, tables, opts)
+    side = _build(lk.spec, tables, opts, heavy)
     side = side.withColumnRenamed(lk.spec.key, lk.on)
     clash = sorted((set(df.columns) & set(side.columns)) - {lk.on})
     if clash:
@@ -135,27 +177,52 @@ def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions) -> Data
     return df.join(side, lk.on, lk.how).select(*cols)
 
 
-def _child_lists(df: DataFrame, spec: DocSpec, ch: Child, tables, opts: BuildOptions):
-    rows = build(ch.spec, tables, opts)
+def _child_lists(df: DataFrame, spec: DocSpec, ch: Child, tables, opts: BuildOptions, heavy):
+    rows = _build(ch.spec, tables, opts, heavy)
     if ch.fk not in rows.columns:
         raise ValueError(f"child {ch.spec.table!r} has no column {ch.fk!r}")
+    # a child row without parent key can never be attached: leave it out
+    # before the shuffle (so a mass of null keys is never one task's list)
+    rows = rows.where(q(ch.fk).isNotNull())
     # cast before the nest, so the nest's exchange already uses the join type
     df, rows = align_key_types(df, spec.key, rows, ch.fk)
-    lists = nest(rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items)
-    return df, lists.withColumnRenamed(ch.fk, spec.key)
+    # The pre-count on the child's own table bounds its built rows only when
+    # nothing below it is paged (a paged descendant repeats a row per page).
+    exact = not any(heavy.get(id(c), 0) for c in _child_entries(ch.spec))
+    n_heavy = heavy.get(id(ch)) if opts.max_items and exact else None
+    if opts.max_items and n_heavy == 0:
+        # no heavy key: the plain nest, joined like the unpaged document
+        lists = nest(rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by)
+        paged = False
+    else:
+        lists = nest(
+            rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items,
+            key_counts_from=base_key_counts(ch.spec, ch.fk, tables) if opts.max_items and exact else None,
+            heavy_keys=n_heavy,
+        )
+        paged = opts.max_items is not None
+    return df, lists.withColumnRenamed(ch.fk, spec.key), paged
 
 
 def build(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions | None = None) -> DataFrame:
     """One row per row of ``spec.table``, lookups copied in, children as lists.
 
     List columns come in the order of ``spec.children``; an unmatched left
-    child gives a null list. With ``opts.max_items`` set, the result is paged:
-    rows are (key, page) and page p holds the p-th page of every list.
+    child gives a null list. With ``opts.max_items`` set, every row that has
+    children carries a ``page`` column and no list holds more than max_items
+    items: a key with more children gets several pages, and page p of a key
+    holds page p of each of its lists. One job first counts heavy keys for the
+    whole tree; where there is none the plan is the unpaged one with page 0.
     """
     opts = opts or BuildOptions()
+    heavy = heavy_key_counts(spec, tables, opts.max_items) if opts.max_items else {}
+    return _build(spec, tables, opts, heavy)
+
+
+def _build(spec: DocSpec, tables, opts: BuildOptions, heavy) -> DataFrame:
     df = _prepare(spec, tables)
     for lk in spec.lookups:
-        df = _apply_lookup(df, lk, tables, opts)
+        df = _apply_lookup(df, lk, tables, opts, heavy)
     if not spec.children:
         return df.persist(opts.persist) if opts.persist else df
     if spec.key is None:
@@ -166,33 +233,39 @@ def build(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions | N
 
     lists = []
     for ch in spec.children:
-        df, side = _child_lists(df, spec, ch, tables, opts)
-        lists.append((ch, side))
+        df, side, paged = _child_lists(df, spec, ch, tables, opts, heavy)
+        lists.append((ch, side, paged))
     # a later child may have widened the parent key: widen earlier lists too
-    lists = [(ch, align_key_types(df, spec.key, side, spec.key)[1]) for ch, side in lists]
+    lists = [(ch, align_key_types(df, spec.key, side, spec.key)[1], p) for ch, side, p in lists]
     base_cols = [q(c) for c in df.columns]
 
-    if opts.max_items is None:
-        for ch, side in lists:
+    if any(p for _, _, p in lists):
+        out = _join_pages(df, spec.key, base_cols, lists)
+    else:
+        for ch, side, _ in lists:
             # A list side grows with its child table, so it is never broadcast:
             # it already comes hash-partitioned by the key out of its nest, and
             # a merge join then only shuffles the parent side.
             df = df.join(side.hint("merge"), spec.key, ch.how)
-        out = df.select(*base_cols, *[q(ch.out) for ch, _ in lists])
-    else:
-        out = _join_pages(df, spec.key, base_cols, lists)
+        out = df.select(*base_cols, *[q(ch.out) for ch, _, _ in lists])
+        if opts.max_items:
+            out = out.select(*base_cols, F.lit(0).alias(PAGE), *[q(ch.out) for ch, _, _ in lists])
     return out.persist(opts.persist) if opts.persist else out
 
 
 def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
     """Paged documents: page p of a key carries page p of every list."""
-    for ch, side in lists:
+    sides = []
+    for ch, side, paged in lists:
+        if not paged:
+            side = side.select(q(key), F.lit(0).alias(PAGE), q(ch.out))
         if ch.how == "inner":
             # every key with children has a page 0
-            df = df.join(side.where(F.col(PAGE) == 0).select(key), key, "left_semi")
-    pages = reduce(lambda a, b: a.join(b, [key, PAGE], "full_outer"), [side for _, side in lists])
+            df = df.join(side.where(F.col(PAGE) == 0).select(key).hint("merge"), key, "left_semi")
+        sides.append(side)
+    pages = reduce(lambda a, b: a.join(b, [key, PAGE], "full_outer"), sides)
     joined = df.join(pages, key, "left").withColumn(PAGE, F.coalesce(F.col(PAGE), F.lit(0)))
-    return joined.select(*base_cols, q(PAGE), *[q(ch.out) for ch, _ in lists])
+    return joined.select(*base_cols, q(PAGE), *[q(ch.out) for ch, _, _ in lists])
 
 
 def child_names(spec: DocSpec) -> Sequence[str]:
