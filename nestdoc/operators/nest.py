@@ -125,15 +125,18 @@ def nest(
     if max_items < 1:
         raise ValueError("max_items must be at least 1")
 
-    hot = None
+    hot, saved = None, False
     if heavy_keys is None:
+        if key_counts_from is None and checkpoint:
+            # the count would compute df: write it once first, then count it
+            df, saved = df.checkpoint(eager=True), True
         source = df if key_counts_from is None else key_counts_from
         hot, heavy_keys = _hot_keys(source.select(*key_cols), keys, max_items)
     if heavy_keys == 0:
         # no heavy key: one page per key, the plain nest
         lists = df.repartition(*key_cols).groupBy(*key_cols).agg(collect)
         return lists.select(*key_cols, F.lit(0).alias(PAGE), out)
-    if checkpoint:
+    if checkpoint and not saved:
         df = df.checkpoint(eager=True)
     if hot is None:
         source = df if key_counts_from is None else key_counts_from
