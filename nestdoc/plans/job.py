@@ -66,13 +66,18 @@ def main(argv: list[str] | None = None) -> RunReport:
         help="page lists at this many items (0: one unbounded list per key, the original shape)",
     )
     p.add_argument("--persist", choices=sorted(LEVELS), default=None)
+    p.add_argument("--checkpoint-lists", action="store_true", help="checkpoint nested lists before the joins")
     p.add_argument("--left-tariffs", action="store_true", help="keep policies without tariff")
     p.add_argument("--left-participants", action="store_true", help="keep policies without participant")
     a = p.parse_args(argv)
     from ..session import get_spark
 
     spark = get_spark(app="nestdoc-job")
-    opts = BuildOptions(max_items=a.max_items or None, persist=LEVELS[a.persist] if a.persist else None)
+    opts = BuildOptions(
+        max_items=a.max_items or None,
+        persist=LEVELS[a.persist] if a.persist else None,
+        checkpoint_lists=a.checkpoint_lists,
+    )
     return run_job(
         spark, a.source, a.target, fmt=a.format, strict=a.strict, files=a.files, as_table=a.table, opts=opts,
         how_tariffs="left" if a.left_tariffs else "inner",

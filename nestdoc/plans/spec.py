@@ -11,7 +11,7 @@ side is shuffled for it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -78,10 +78,24 @@ class DocSpec:
 
 @dataclass
 class BuildOptions:
+    """How a spec is built.
+
+    sort: sort every list (results then repeat exactly run to run).
+    max_items: bound on list length; longer lists are paged (see nest).
+    lookup_broadcast_rows: broadcast a lookup side up to this many rows.
+    persist: storage level for the built frames (off: nothing is read twice).
+    checkpoint_lists: write every nested list side as a reliable checkpoint
+        (to spark.checkpoint.dir) before it is joined. The joins then restart
+        from those files if executors are lost, instead of redoing the nests.
+        Cost: one more write of each list side, and one exchange of it, as a
+        checkpointed frame does not carry its hash partitioning into the join.
+    """
+
     sort: bool = True
     max_items: int | None = None
     lookup_broadcast_rows: int = LOOKUP_BROADCAST_ROWS
     persist: StorageLevel | None = None
+    checkpoint_lists: bool = False
 
 
 def _wider(a: DataType, b: DataType) -> DataType | None:
@@ -201,6 +215,8 @@ def _child_lists(df: DataFrame, spec: DocSpec, ch: Child, tables, opts: BuildOpt
             heavy_keys=n_heavy,
         )
         paged = opts.max_items is not None
+    if opts.checkpoint_lists:
+        lists = lists.checkpoint(eager=True)
     return df, lists.withColumnRenamed(ch.fk, spec.key), paged
 
 
@@ -267,6 +283,3 @@ def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
     joined = df.join(pages, key, "left").withColumn(PAGE, F.coalesce(F.col(PAGE), F.lit(0)))
     return joined.select(*base_cols, q(PAGE), *[q(ch.out) for ch, _, _ in lists])
 
-
-def child_names(spec: DocSpec) -> Sequence[str]:
-    return [c.out for c in spec.children]

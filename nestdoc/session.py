@@ -6,7 +6,6 @@ when the session does not carry them yet.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,11 +71,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/nestdoc-scratch/{name}-{uuid.uuid4().hex}"
 
-
-def local_path(path: str) -> str | None:
-    """The local file path behind ``path``, or None when it is remote."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -140,3 +140,10 @@ def test_rename_option_renames_payment_state(spark):
     doc = build(claims, tables(spark))
     fields = [f.name for f in doc.schema["datos_pago"].dataType.elementType.fields]
     assert "estado_pago" in fields and "estado" not in fields
+
+
+def test_checkpointed_lists_give_the_same_document(spark):
+    t = tables(spark)
+    plain = sorted(map(str, I.policy_document(t).collect()))
+    saved = I.policy_document(t, BuildOptions(checkpoint_lists=True))
+    assert sorted(map(str, saved.collect())) == plain
