@@ -85,3 +85,25 @@ def test_mixed_key_kinds_rejected(sides):
     left, right = sides
     with pytest.raises(ValueError):
         join_split(left, right, ["k", left.k == right.k])
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_keys = st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lk=_keys, rk=_keys)
+def test_split_parts_agree_with_python(spark, lk, rk):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(lk)], "k int, li int")
+    right = spark.createDataFrame([(k, i) for i, k in enumerate(rk)], "k int, ri int")
+    parts = join_split(left, right, ["k"], left_cols="*", right_cols=["ri"], mode=3)
+    want_matched = collections.Counter(
+        (a, i, j) for i, a in enumerate(lk) for j, b in enumerate(rk) if a is not None and a == b
+    )
+    rset = {b for b in rk if b is not None}
+    lset = {a for a in lk if a is not None}
+    assert rows(parts.matched) == want_matched
+    assert rows(parts.left_only) == collections.Counter((a, i) for i, a in enumerate(lk) if a not in rset or a is None)
+    assert rows(parts.right_only) == collections.Counter((b, j) for j, b in enumerate(rk) if b not in lset or b is None)

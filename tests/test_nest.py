@@ -103,3 +103,22 @@ def test_unnest_outer_keeps_null_lists(spark):
     df = spark.createDataFrame([(1, None)], "k int, items array<struct<a:int>>")
     assert unnest(df, "items").collect()[0].asDict() == {"k": 1, "a": None}
     assert unnest(df, "items", outer=False).count() == 0
+
+
+def test_nest_paged_splits_a_heavy_null_key(spark):
+    rows = [(None, f"n{i:02d}") for i in range(30)] + [(1, "a"), (1, "b")]
+    df = spark.createDataFrame(rows, "k int, s string")
+    pages = nest(df, "k", "items", max_items=5, checkpoint=False).collect()
+    null_pages = [r for r in pages if r.k is None]
+    assert len(null_pages) >= 6 and all(len(r["items"]) <= 5 for r in null_pages)
+    assert sorted(r[PAGE] for r in null_pages) == list(range(len(null_pages)))
+    assert sorted(x.s for r in null_pages for x in r["items"]) == sorted(s for k, s in rows if k is None)
+
+
+def test_nest_paged_with_known_counts(spark):
+    df = _sample(spark)
+    light = nest(df, "k", "items", max_items=10_000, heavy_keys=0)
+    assert light.columns == ["k", PAGE, "items"]
+    assert {r[PAGE] for r in light.collect()} == {0}
+    counted = nest(df, "k", "items", max_items=3, key_counts_from=df.select("k"))
+    assert bag(unnest(counted.drop(PAGE), "items", outer=False)) == bag(df)

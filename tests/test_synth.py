@@ -86,3 +86,20 @@ def test_run_job_end_to_end(spark, tmp_dir):
     report = run_job(spark, src, os.path.join(tmp_dir, "out"), files=2)
     assert report.rows == 1000
     assert spark.read.parquet(os.path.join(tmp_dir, "out")).count() == 1000
+
+
+def test_module_entry_point(spark, tmp_dir):
+    import os
+
+    from nestdoc.plans.job import main
+
+    src = os.path.join(tmp_dir, "src")
+    for name, df in G.synth_all(spark).items():
+        df.write.mode("overwrite").option("header", True).csv(os.path.join(src, f"{name}.csv"))
+    out = os.path.join(tmp_dir, "out")
+    report = main([src, out, "--files", "1", "--left-participants"])
+    assert report.rows == 1999  # every policy has a tariff; participants kept optional
+    doc = spark.read.parquet(out)
+    assert "page" in doc.columns and doc.where("page <> 0").count() == 0
+    report = main([src, out, "--max-items", "0"])
+    assert report.rows == 1000 and "page" not in spark.read.parquet(out).columns
