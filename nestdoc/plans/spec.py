@@ -243,6 +243,13 @@ def _build(spec: DocSpec, tables, opts: BuildOptions, heavy) -> DataFrame:
         return df.persist(opts.persist) if opts.persist else df
     if spec.key is None:
         raise ValueError(f"table {spec.table!r} has children but no key")
+    if opts.max_items and PAGE in df.columns:
+        # its rows repeat once per page of a looked-up list; attaching the
+        # children to every copy would repeat their items
+        raise ValueError(
+            f"table {spec.table!r} has children and a lookup whose lists are paged; "
+            "raise max_items or move the lookup's lists below a child"
+        )
     for ch in spec.children:
         if ch.how not in ("left", "inner"):
             raise ValueError(f"child join must be left or inner, got {ch.how!r}")

@@ -147,3 +147,15 @@ def test_checkpointed_lists_give_the_same_document(spark):
     plain = sorted(map(str, I.policy_document(t).collect()))
     saved = I.policy_document(t, BuildOptions(checkpoint_lists=True))
     assert sorted(map(str, saved.collect())) == plain
+
+
+def test_children_beside_a_paged_lookup_are_refused(spark):
+    t = tables(spark)
+    spec = DocSpec(
+        "participants", key="numpoliza",
+        lookups=(Lookup(I.CLIENTS, on="idcliente"),),
+        children=(Child(DocSpec("tariffs"), fk="num_poliza", out="datos_tarifa"),),
+    )
+    with pytest.raises(ValueError, match="paged"):
+        build(spec, t, BuildOptions(max_items=1))
+    assert build(spec, t).count() == 4
