@@ -54,15 +54,20 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (a test
-    on one machine) is a fresh local folder taken and set.
+    Read from the session's ``spark.checkpoint.dir`` (Spark also sets the
+    context's checkpoint folder from it). Only when the session has none (a
+    test on one machine) is a fresh local folder taken and set on the context;
+    ``spark.checkpoint.dir`` itself cannot be changed on a running session.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if not path and current:
+        path = current.rstrip("/").rsplit("/", 1)[0]  # Spark adds a unique subfolder
     if not path:
         path = tempfile.mkdtemp(prefix="nestdoc-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if current is None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -59,3 +59,11 @@ def test_persist_levels(spark):
         assert p.storageLevel == LEVELS[name]
         p.unpersist()
     assert MEMORY_AND_DISK.useDisk and MEMORY_AND_DISK.useMemory and not MEMORY_AND_DISK.useOffHeap
+
+
+def test_checkpoint_folder_is_usable(spark):
+    from nestdoc.session import ensure_checkpoint_dir, scratch_path
+
+    root = ensure_checkpoint_dir(spark)
+    assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/nestdoc-scratch/x-")
+    assert spark.range(5).checkpoint(eager=True).count() == 5

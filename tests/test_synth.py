@@ -103,3 +103,14 @@ def test_module_entry_point(spark, tmp_dir):
     assert "page" in doc.columns and doc.where("page <> 0").count() == 0
     report = main([src, out, "--max-items", "0"])
     assert report.rows == 1000 and "page" not in spark.read.parquet(out).columns
+
+
+def test_parquet_inputs_end_to_end(spark, tmp_dir):
+    import os
+
+    from nestdoc.sources import load_tables
+
+    for name, df in G.synth_all(spark).items():
+        df.write.mode("overwrite").parquet(os.path.join(tmp_dir, f"{name}.parquet"))
+    tables = load_tables(spark, tmp_dir, fmt="parquet")
+    assert I.policy_document(tables).count() == 1000
