@@ -23,10 +23,12 @@ from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortTy
 from ..functions.columns import q
 from ..operators.nest import PAGE, nest
 
-# A lookup side (a dimension such as clients) is broadcast when it has at most
-# this many rows; the check is a bounded count (limit + count). Beyond it, the
-# join shuffles and adaptive execution splits skewed keys.
+# A lookup side (a dimension such as clients) is broadcast only when measured
+# under both budgets: rows, and bytes (twice its JSON text size, lists
+# included). Beyond them the join shuffles and adaptive execution splits
+# skewed keys.
 LOOKUP_BROADCAST_ROWS = 1_000_000
+LOOKUP_BROADCAST_BYTES = 256 * 1024 * 1024
 
 # The list bound the shipped job uses: no list (and so no task building one)
 # holds more than this many items; keys with more children get more pages.
@@ -82,7 +84,8 @@ class BuildOptions:
 
     sort: sort every list (results then repeat exactly run to run).
     max_items: bound on list length; longer lists are paged (see nest).
-    lookup_broadcast_rows: broadcast a lookup side up to this many rows.
+    lookup_broadcast_rows, lookup_broadcast_bytes: budgets under which a
+        lookup side is broadcast (see bounded_broadcast).
     persist: storage level for the built frames (off: nothing is read twice).
     checkpoint_lists: write every nested list side as a reliable checkpoint
         (to spark.checkpoint.dir) before it is joined. The joins then restart
@@ -94,6 +97,7 @@ class BuildOptions:
     sort: bool = True
     max_items: int | None = None
     lookup_broadcast_rows: int = LOOKUP_BROADCAST_ROWS
+    lookup_broadcast_bytes: int = LOOKUP_BROADCAST_BYTES
     persist: StorageLevel | None = None
     checkpoint_lists: bool = False
 
@@ -120,12 +124,27 @@ def align_key_types(left: DataFrame, lkey: str, right: DataFrame, rkey: str) ->
     return left, right
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it has <= max_rows rows."""
-    if max_rows <= 0:
+def bounded_broadcast(
+    df: DataFrame, max_rows: int, max_bytes: int = LOOKUP_BROADCAST_BYTES, base: DataFrame | None = None
+) -> DataFrame:
+    """Broadcast ``df`` only when measured under ``max_rows`` rows and
+    ``max_bytes`` bytes; else return it as it is (the join then shuffles).
+
+    ``base`` is a table with at least as many rows as ``df`` (its source
+    table): counting it first is a scan that stops after max_rows + 1 rows, so
+    a large side is rejected without being computed. The probe of ``df`` then
+    reads at most max_rows + 1 of its rows and measures them as JSON text
+    (lists included), counted twice for headroom over the in-memory size.
+    """
+    if max_rows <= 0 or max_bytes <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if base is not None and base.limit(max_rows + 1).count() > max_rows:
+        return df
+    text = F.octet_length(F.to_json(F.struct(*[q(c) for c in df.columns])))
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
+    if probe["n"] <= max_rows and 2 * (probe["b"] or 0) <= max_bytes:
+        return F.broadcast(df)
+    return df
 
 
 def _prepare(spec: DocSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -186,7 +205,8 @@ def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions, heavy)
     if clash:
         raise ValueError(f"lookup {lk.spec.table!r} would repeat columns {clash}; rename or drop them in the spec")
     df, side = align_key_types(df, lk.on, side, lk.on)
-    side = bounded_broadcast(side, opts.lookup_broadcast_rows)
+    base = None if opts.max_items else _prepare(lk.spec, tables)  # pages may add rows
+    side = bounded_broadcast(side, opts.lookup_broadcast_rows, opts.lookup_broadcast_bytes, base)
     cols = [q(c) for c in df.columns] + [q(c) for c in side.columns if c != lk.on]
     return df.join(side, lk.on, lk.how).select(*cols)
 

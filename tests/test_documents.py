@@ -159,3 +159,29 @@ def test_children_beside_a_paged_lookup_are_refused(spark):
     with pytest.raises(ValueError, match="paged"):
         build(spec, t, BuildOptions(max_items=1))
     assert build(spec, t).count() == 4
+
+
+def test_bounded_broadcast_budgets(spark):
+    from nestdoc.plans.spec import bounded_broadcast
+
+    import contextlib
+    import io
+
+    df = spark.range(100).selectExpr("id", "repeat('x', 100) AS s")
+    big = spark.range(1_000_000).withColumnRenamed("id", "k")
+
+    def hinted(side):
+        out = io.StringIO()
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the hint may broadcast
+        try:
+            with contextlib.redirect_stdout(out):
+                big.join(side, big.k == side.id).explain()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        return "BroadcastHashJoin" in out.getvalue()
+
+    assert hinted(bounded_broadcast(df, 1000, 1 << 20))
+    assert not hinted(bounded_broadcast(df, 99, 1 << 20))  # too many rows
+    assert not hinted(bounded_broadcast(df, 1000, 10_000))  # too many bytes
+    assert not hinted(bounded_broadcast(df, 1000, 1 << 20, base=spark.range(5000)))  # base too large
