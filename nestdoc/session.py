@@ -23,6 +23,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Checkpoint files (heavy-key pages, checkpointed lists) are removed once
+    # their frames are no longer referenced, instead of piling up in the
+    # shared checkpoint folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Lists of structs are written in the standard 3-level layout
     # (x.list.element), which warehouse loaders read back as lists.
     "spark.sql.parquet.writeLegacyFormat": "false",
