@@ -23,10 +23,10 @@ from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortTy
 from ..functions.columns import q
 from ..operators.nest import PAGE, nest
 
-# A lookup side (a dimension such as clients) is broadcast only when measured
-# under both budgets: rows, and bytes (twice its JSON text size, lists
-# included). Beyond them the join shuffles and adaptive execution splits
-# skewed keys.
+# A lookup side (a dimension such as clients with their accounts) is broadcast
+# only when its tables are measured under both budgets: rows per table, and
+# bytes (twice their JSON text size). Beyond them the join shuffles and
+# adaptive execution splits skewed keys.
 LOOKUP_BROADCAST_ROWS = 1_000_000
 LOOKUP_BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -147,6 +147,41 @@ def bounded_broadcast(
     return df
 
 
+def _subtree_specs(spec: DocSpec) -> list[DocSpec]:
+    out = [spec]
+    for lk in spec.lookups:
+        out += _subtree_specs(lk.spec)
+    for ch in spec.children:
+        out += _subtree_specs(ch.spec)
+    return out
+
+
+def lookup_fits(spec: DocSpec, tables: Mapping[str, DataFrame], max_rows: int, max_bytes: int) -> bool:
+    """Whether the built ``spec`` is proven small enough to broadcast.
+
+    Measures the base tables of the spec's whole tree instead of the built
+    side (which would have to be computed for it): the side's rows are made
+    of their rows, lists included, so their sizes bound it. One job; each
+    table is read only up to max_rows + 1 rows, so a large table is rejected
+    after a bounded scan. Bytes are the JSON text of the rows, counted twice
+    for headroom over the in-memory size.
+    """
+    if max_rows <= 0 or max_bytes <= 0:
+        return False
+    frames = []
+    for i, s in enumerate(_subtree_specs(spec)):
+        t = _prepare(s, tables)
+        text = F.octet_length(F.to_json(F.struct(*[q(c) for c in t.columns])))
+        frames.append(t.limit(max_rows + 1).select(F.lit(i).alias("_t"), text.alias("_b")))
+    probe = (
+        reduce(lambda a, b: a.unionByName(b), frames)
+        .groupBy("_t")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b"))
+        .collect()  # one row per table of the spec
+    )
+    return all(r["n"] <= max_rows for r in probe) and 2 * sum(r["b"] or 0 for r in probe) <= max_bytes
+
+
 def _prepare(spec: DocSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
     if spec.table not in tables:
         raise KeyError(f"no table {spec.table!r}; have {sorted(tables)}")
@@ -205,8 +240,8 @@ def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions, heavy)
     if clash:
         raise ValueError(f"lookup {lk.spec.table!r} would repeat columns {clash}; rename or drop them in the spec")
     df, side = align_key_types(df, lk.on, side, lk.on)
-    base = None if opts.max_items else _prepare(lk.spec, tables)  # pages may add rows
-    side = bounded_broadcast(side, opts.lookup_broadcast_rows, opts.lookup_broadcast_bytes, base)
+    if lookup_fits(lk.spec, tables, opts.lookup_broadcast_rows, opts.lookup_broadcast_bytes):
+        side = F.broadcast(side)
     cols = [q(c) for c in df.columns] + [q(c) for c in side.columns if c != lk.on]
     return df.join(side, lk.on, lk.how).select(*cols)
 

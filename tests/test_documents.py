@@ -185,3 +185,12 @@ def test_bounded_broadcast_budgets(spark):
     assert not hinted(bounded_broadcast(df, 99, 1 << 20))  # too many rows
     assert not hinted(bounded_broadcast(df, 1000, 10_000))  # too many bytes
     assert not hinted(bounded_broadcast(df, 1000, 1 << 20, base=spark.range(5000)))  # base too large
+
+
+def test_lookup_fits_measures_the_whole_subtree(spark):
+    from nestdoc.plans.spec import lookup_fits
+
+    t = tables(spark)
+    assert lookup_fits(I.CLIENTS, t, 1000, 1 << 20)
+    assert not lookup_fits(I.CLIENTS, t, 1, 1 << 20)  # accounts has 2 rows
+    assert not lookup_fits(I.CLIENTS, t, 1000, 100)  # bytes
