@@ -332,7 +332,14 @@ def _build(spec: DocSpec, tables, opts: BuildOptions, heavy) -> DataFrame:
 
 
 def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
-    """Paged documents: page p of a key carries page p of every list."""
+    """Paged documents: page p of a key carries page p of every list.
+
+    The pages of all lists meet on (key, page), so a heavy key's pages spread
+    over tasks. Parent columns then reach every page through an inner join
+    (adaptive execution may split a skewed partition of either side of an
+    inner join); parents without any page come from an anti join on the
+    page-0 keys (one row per key), with page 0 and null lists.
+    """
     sides = []
     for ch, side, paged in lists:
         if not paged:
@@ -342,6 +349,10 @@ def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
             df = df.join(side.where(F.col(PAGE) == 0).select(key).hint("merge"), key, "left_semi")
         sides.append(side)
     pages = reduce(lambda a, b: a.join(b, [key, PAGE], "full_outer"), sides)
-    joined = df.join(pages, key, "left").withColumn(PAGE, F.coalesce(F.col(PAGE), F.lit(0)))
-    return joined.select(*base_cols, q(PAGE), *[q(ch.out) for ch, _, _ in lists])
-
+    outs = [q(ch.out) for ch, _, _ in lists]
+    with_pages = pages.join(df, key, "inner").select(*base_cols, q(PAGE), *outs)
+    first_pages = pages.where(F.col(PAGE) == 0).select(key)
+    without = df.join(first_pages, key, "left_anti").select(
+        *base_cols, F.lit(0).alias(PAGE), *[F.lit(None).cast(pages.schema[ch.out].dataType).alias(ch.out) for ch, _, _ in lists]
+    )
+    return with_pages.unionByName(without)
