@@ -19,10 +19,12 @@ kept; a struct of nulls is kept. Lists are sorted by all their fields (or by
 
 Heavy keys: a list is one value in one row, so without a bound one key's
 children all meet in one task. ``max_items=n`` bounds that: the output gets a
-``page`` column and every list holds at most n items. Keys with more than n
-children are split first by a hash of the row into sub-groups of about
-``8 * n`` rows (each numbered in its own task), then cut into pages of n.
-Pages of a heavy key are ordered by (hash group, fields), not globally.
+``page`` column and every list holds at most n items. The rows of a key with
+more than n children are given a running number without being gathered
+(numbered within each input partition, then offset by the counts of the
+partitions before), and page = number div n. Identical copies spread like
+any other rows. Items are sorted within a page; which items share a page
+follows the input's partitions, not the sort order.
 """
 
 from __future__ import annotations
@@ -36,8 +38,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import q
 
 PAGE = "page"
-# Rows of a heavy key that one task numbers, in multiples of max_items.
-SPLIT_FACTOR = 8
 # Heavy keys are at most rows / max_items by count; they are broadcast to the
 # rows only when their measured number is under this bound.
 HOT_KEYS_BROADCAST_LIMIT = 1_000_000
@@ -144,6 +144,7 @@ def nest(
     return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot)
 
 
+
 def _hot_keys(df: DataFrame, keys: list[str], max_items: int) -> tuple[DataFrame, int]:
     """Keys with more than max_items rows (a null key included), and how many.
 
@@ -166,7 +167,10 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys) -> DataFrame:
     key_cols = [q(k) for k in keys]
-    marked = _join_null_safe(df, hot_keys, keys, "left")
+    # Where each row sits in the input: its partition and its place in it.
+    # On a checkpointed input both are fixed, so retries and reruns agree.
+    located = df.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row"))
+    marked = _join_null_safe(located, hot_keys, keys, "left")
 
     cold = (
         marked.where(F.col("_n").isNull())
@@ -176,27 +180,22 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys) -
         .select(*key_cols, F.lit(0).alias(PAGE), out)
     )
 
-    # Heavy keys: split by a hash of the row into groups of about
-    # SPLIT_FACTOR * max_items rows, number rows inside each group (one task
-    # per group), cut pages of max_items.
-    order = [q(c) for c in (order_by or fields)]
-    n_groups = F.ceil(F.col("_n") / F.lit(max_items * SPLIT_FACTOR))
-    hot = marked.where(F.col("_n").isNotNull()).withColumn(
-        "_grp", F.pmod(F.xxhash64(*[q(c) for c in fields]), n_groups)
-    )
-    in_group = Window.partitionBy(*key_cols, F.col("_grp")).orderBy(*order)
-    hot = hot.withColumn("_piece", F.floor((F.row_number().over(in_group) - 1) / F.lit(max_items)))
-    pieces = hot.groupBy(*key_cols, "_grp", "_piece").agg(collect)
-    # Dense page numbers per key, computed on the small (key, group, piece)
-    # table rather than on the lists, so no task ever holds a heavy key's lists.
-    in_key = Window.partitionBy(*key_cols).orderBy("_grp", "_piece")
-    numbering = (
-        hot.select(*key_cols, "_grp", "_piece")
-        .distinct()
-        .withColumn(PAGE, (F.row_number().over(in_key) - 1).cast("int"))
-    )
-    pieces = _join_null_safe(pieces, numbering, [*keys, "_grp", "_piece"], "inner")
-    return cold.unionByName(pieces.select(*key_cols, PAGE, out))
+    # Heavy keys: number each key's rows without gathering them. Rows are
+    # numbered within (key, input partition), which is at most one input
+    # partition of rows per task whatever the key holds (identical copies
+    # included); each (key, partition) then adds the rows of the partitions
+    # before it, from a small table of per-partition counts.
+    hot = marked.where(F.col("_n").isNotNull()).drop("_n")
+    in_part = Window.partitionBy(*key_cols, F.col("_part")).orderBy("_row")
+    hot = hot.withColumn("_local", F.row_number().over(in_part))
+    sizes = hot.groupBy(*key_cols, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*key_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*key_cols, "_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    hot = _join_null_safe(hot, offsets, [*keys, "_part"], "inner")
+    # (a private name: the rows may carry a page field of their own lists)
+    hot = hot.withColumn("_page", F.floor((F.col("_off") + F.col("_local") - 1) / F.lit(max_items)).cast("int"))
+    pieces = hot.groupBy(*key_cols, "_page").agg(collect)
+    return cold.unionByName(pieces.select(*key_cols, F.col("_page").alias(PAGE), out))
 
 
 def unnest(

@@ -194,3 +194,20 @@ def test_lookup_fits_measures_the_whole_subtree(spark):
     assert lookup_fits(I.CLIENTS, t, 1000, 1 << 20)
     assert not lookup_fits(I.CLIENTS, t, 1, 1 << 20)  # accounts has 2 rows
     assert not lookup_fits(I.CLIENTS, t, 1000, 100)  # bytes
+
+
+@pytest.mark.parametrize("max_items", [1, 2])
+def test_paged_claims_keep_their_own_pages(spark, max_items):
+    t = tables(spark)
+
+    def pairs(rows):
+        return sorted(
+            (r.numpoliza, c.idsiniestro, p.idpago)
+            for r in rows for c in (r.datos_sin or []) for p in (c.datos_pago or [])
+        )
+
+    plain = I.policy_document(t).collect()
+    paged = I.policy_document(t, BuildOptions(max_items=max_items)).collect()
+    assert pairs(paged) == pairs(plain)
+    firsts = sorted((r.numpoliza, c.idsiniestro) for r in paged for c in (r.datos_sin or []) if c[PAGE] == 0)
+    assert firsts == sorted((r.numpoliza, c.idsiniestro) for r in plain for c in (r.datos_sin or []))

@@ -122,3 +122,13 @@ def test_nest_paged_with_known_counts(spark):
     assert {r[PAGE] for r in light.collect()} == {0}
     counted = nest(df, "k", "items", max_items=3, key_counts_from=df.select("k"))
     assert bag(unnest(counted.drop(PAGE), "items", outer=False)) == bag(df)
+
+
+def test_nest_paged_spreads_identical_copies(spark):
+    copies = [(1, "same", 7)] * 40 + [(2, "x", 1)]
+    df = spark.createDataFrame(copies, "k int, s string, n int").repartition(4)
+    pages = nest(df, "k", "items", max_items=6).collect()
+    heavy = sorted(r[PAGE] for r in pages if r.k == 1)
+    assert heavy == list(range(7))  # 40 copies -> pages 0..6, dense
+    assert all(len(r["items"]) <= 6 for r in pages)
+    assert sum(len(r["items"]) for r in pages if r.k == 1) == 40
