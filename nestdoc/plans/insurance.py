@@ -115,8 +115,11 @@ def dropped_policies(tables: Tables) -> DataFrame:
     with participant keys), i.e. the unmatched part of a split join; the
     lists are never built for it.
     """
-    tariff_keys = tables["tariffs"].select(F.col("num_poliza").alias("numpoliza"))
-    kept = tariff_keys.join(tables["participants"].select("numpoliza"), "numpoliza", "left_semi")
+    # distinct keys first: the map side folds repeated keys (a policy with a
+    # mass of participants) before anything is shuffled
+    tariff_keys = tables["tariffs"].select(F.col("num_poliza").alias("numpoliza")).distinct()
+    party_keys = tables["participants"].select("numpoliza").distinct()
+    kept = tariff_keys.join(party_keys, "numpoliza", "left_semi")
     return join_split(tables["policies"], kept, ["numpoliza"], mode="left_anti")
 
 
