@@ -88,35 +88,85 @@ def policy_document_unpaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_summary(I.policy_document(_roles(spark, sf_dir)))
 
 
+# The stage queries build their lists bounded at DEFAULT_MAX_ITEMS items (as the
+# job does) and add the page summaries up per key: one row per key, whatever
+# the pages.
+BOUNDED = BuildOptions(max_items=DEFAULT_MAX_ITEMS)
+_FIRST = lambda x: x[PAGE] == 0  # noqa: E731  an element continued on later pages counts on its page 0
+
+
+def _summed(per_page: DataFrame, keys: list[str], counts: list[str], money: list[str]) -> DataFrame:
+    return per_page.groupBy(*keys).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in counts],
+        *[F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias(c) for c in money],
+    )
+
+
+def _paged_claims_cols(col: str):
+    return [
+        count_where(col, _FIRST).alias("n_claims"),
+        nested_size(col, "datos_pago").alias("n_payments"),
+        nested_money(col, "datos_pago", "l_extendedprice").alias("sum_payment"),
+    ]
+
+
+def _paged_participant_cols(col: str):
+    return [
+        count_where(col, _FIRST).alias("n_participants"),
+        count_where(col, lambda x: _FIRST(x) & x["n_name"].isNotNull()).alias("n_with_client"),
+        nested_size(col, "datos_cuenta").alias("n_accounts"),
+        nested_money(col, "datos_cuenta", "s_acctbal").alias("sum_accounts"),
+    ]
+
+
+CLAIM_COUNTS, CLAIM_MONEY = ["n_claims", "n_payments"], ["sum_payment"]
+RECEIPT_COUNTS, RECEIPT_MONEY = ["n_receipts"], ["sum_receipt"]
+TARIFF_COUNTS, TARIFF_MONEY = ["n_tariffs"], ["sum_tariff"]
+PARTY_COUNTS, PARTY_MONEY = ["n_participants", "n_with_client", "n_accounts"], ["sum_accounts"]
+POLICY_COLS = ["numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
 def claims_with_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.claims_with_payments(_roles(spark, sf_dir)).select("idpoliza", *_claims_cols("datos_sin"))
+    pages = I.claims_with_payments(_roles(spark, sf_dir), BOUNDED)
+    per_page = pages.select("idpoliza", *_paged_claims_cols("datos_sin"))
+    return _summed(per_page, ["idpoliza"], CLAIM_COUNTS, CLAIM_MONEY)
 
 
 def receipts_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.receipts_by_policy(_roles(spark, sf_dir)).select("idpoliza", *_receipt_cols("datos_recibos"))
+    pages = I.receipts_by_policy(_roles(spark, sf_dir), BOUNDED)
+    return _summed(pages.select("idpoliza", *_receipt_cols("datos_recibos")), ["idpoliza"], RECEIPT_COUNTS, RECEIPT_MONEY)
 
 
 def tariffs_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.tariffs_by_policy(_roles(spark, sf_dir)).select("num_poliza", *_tariff_cols("datos_tarifa"))
+    pages = I.tariffs_by_policy(_roles(spark, sf_dir), BOUNDED)
+    return _summed(pages.select("num_poliza", *_tariff_cols("datos_tarifa")), ["num_poliza"], TARIFF_COUNTS, TARIFF_MONEY)
 
 
 def clients_with_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.clients_with_accounts(_roles(spark, sf_dir)).select(
+    pages = I.clients_with_accounts(_roles(spark, sf_dir), BOUNDED)
+    per_page = pages.select(
         "idcliente", "n_name", "n_regionkey",
         list_size("datos_cuenta").alias("n_accounts"),
         list_money("datos_cuenta", "s_acctbal").alias("sum_accounts"),
     )
+    return _summed(per_page, ["idcliente", "n_name", "n_regionkey"], ["n_accounts"], ["sum_accounts"])
 
 
 def policy_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.policy_core(_roles(spark, sf_dir)).select(
-        "numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
-        *_claims_cols("datos_sin"), *_receipt_cols("datos_recibos"), *_tariff_cols("datos_tarifa"),
+    pages = I.policy_core(_roles(spark, sf_dir), BOUNDED)
+    per_page = pages.select(
+        *POLICY_COLS, *_paged_claims_cols("datos_sin"), *_receipt_cols("datos_recibos"), *_tariff_cols("datos_tarifa"),
+    )
+    return _summed(
+        per_page, POLICY_COLS,
+        CLAIM_COUNTS + RECEIPT_COUNTS + TARIFF_COUNTS, CLAIM_MONEY + RECEIPT_MONEY + TARIFF_MONEY,
     )
 
 
 def participants_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.participants_by_policy(_roles(spark, sf_dir)).select("numpoliza", *_participant_cols("datos_cliente"))
+    pages = I.participants_by_policy(_roles(spark, sf_dir), BOUNDED)
+    per_page = pages.select("numpoliza", *_paged_participant_cols("datos_cliente"))
+    return _summed(per_page, ["numpoliza"], PARTY_COUNTS, PARTY_MONEY)
 
 
 def policy_document_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,30 +180,22 @@ def paged_document_summary(doc: DataFrame) -> DataFrame:
     """Summary of a paged document, one row per policy.
 
     Page summaries are row-local; adding them up per policy is one small
-    aggregation (a few numbers per page). An element continued on a later
-    page (a claim whose payments span pages, a participant whose client's
-    accounts do) counts once, on its page 0.
+    aggregation (a few numbers per page), on the document's own partitioning
+    by policy. An element continued on a later page (a claim whose payments
+    span pages, a participant whose client's accounts do) counts once, on its
+    page 0.
     """
-    first = lambda x: x[PAGE] == 0
     per_page = doc.select(
-        "numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
-        count_where("datos_sin", first).alias("n_claims"),
-        nested_size("datos_sin", "datos_pago").alias("n_payments"),
-        nested_money("datos_sin", "datos_pago", "l_extendedprice").alias("sum_payment"),
-        list_size("datos_recibos").alias("n_receipts"),
-        list_money("datos_recibos", "importe_prima").alias("sum_receipt"),
-        list_size("datos_tarifa").alias("n_tariffs"),
-        list_money("datos_tarifa", "importe_prima").alias("sum_tariff"),
-        count_where("datos_cliente", first).alias("n_participants"),
-        count_where("datos_cliente", lambda x: first(x) & x["n_name"].isNotNull()).alias("n_with_client"),
-        nested_size("datos_cliente", "datos_cuenta").alias("n_accounts"),
-        nested_money("datos_cliente", "datos_cuenta", "s_acctbal").alias("sum_accounts"),
+        *POLICY_COLS,
+        *_paged_claims_cols("datos_sin"),
+        *_receipt_cols("datos_recibos"),
+        *_tariff_cols("datos_tarifa"),
+        *_paged_participant_cols("datos_cliente"),
     )
-    money = ("sum_payment", "sum_receipt", "sum_tariff", "sum_accounts")
-    counts = ("n_claims", "n_payments", "n_receipts", "n_tariffs", "n_participants", "n_with_client", "n_accounts")
-    return per_page.groupBy("numpoliza", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in counts],
-        *[F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias(c) for c in money],
+    return _summed(
+        per_page, POLICY_COLS,
+        CLAIM_COUNTS + RECEIPT_COUNTS + TARIFF_COUNTS + PARTY_COUNTS,
+        CLAIM_MONEY + RECEIPT_MONEY + TARIFF_MONEY + PARTY_MONEY,
     ).select(*document_summary_columns())
 
 
@@ -298,8 +340,10 @@ def nest_one_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nest_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policy -> claims -> payments, then both levels exploded with explode_outer."""
-    doc = build(I.POLICY.with_children("datos_sin"), _roles(spark, sf_dir))
+    """Policy -> claims -> payments (lists bounded as in the job), then both
+    levels exploded with explode_outer: every page gives its own items, so the
+    rows are the same whatever the pages."""
+    doc = build(I.POLICY.with_children("datos_sin"), _roles(spark, sf_dir), BOUNDED)
     claims = unnest(doc.select("numpoliza", "c_name", "datos_sin"), "datos_sin")
     claims = claims.select("numpoliza", "c_name", "idsiniestro", "o_totalprice", "datos_pago")
     flat = unnest(claims, "datos_pago")

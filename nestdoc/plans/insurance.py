@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_split
-from ..operators.nest import nest
-from .spec import BuildOptions, Child, DocSpec, Lookup, build
+from .spec import BuildOptions, Child, DocSpec, Lookup, build, nest_child
 
 PAYMENTS = DocSpec("payments")
 CLAIMS = DocSpec("claims", key="idsiniestro", children=(Child(PAYMENTS, fk="idsiniestro", out="datos_pago"),))
@@ -51,10 +50,9 @@ def _opts(opts: BuildOptions | None) -> BuildOptions:
 
 
 def _nest_child(tables: Tables, ch: Child, opts: BuildOptions | None) -> DataFrame:
-    """The stage's list column: the child's rows nested by its foreign key."""
-    o = _opts(opts)
-    rows = build(ch.spec, tables, o)
-    return nest(rows, ch.fk, ch.out, sort=o.sort, order_by=ch.spec.order_by, max_items=o.max_items)
+    """The stage's list column: the child's rows nested by its foreign key
+    (with a page column when ``opts.max_items`` bounds the lists)."""
+    return nest_child(ch, tables, _opts(opts))
 
 
 def claims_with_payments(tables: Tables, opts: BuildOptions | None = None) -> DataFrame:

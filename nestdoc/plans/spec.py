@@ -214,15 +214,14 @@ def _child_entries(spec: DocSpec) -> list[Child]:
 
 def heavy_key_counts(spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int) -> dict[int, int]:
     """For every Child of the tree, how many parent keys have more than
-    ``max_items`` child rows (by ``id(child)``). One job over the key columns
-    of the child tables; what reaches the driver is one number per Child."""
+    ``max_items`` child rows (by ``id(child)``; a null key counts as a key).
+    One job over the key columns of the child tables; what reaches the driver
+    is one number per Child."""
     entries = _child_entries(spec)
     if not entries:
         return {}
     frames = [
-        _prepare(ch.spec, tables)
-        .where(q(ch.fk).isNotNull())
-        .select(F.lit(i).alias("_child"), q(ch.fk).cast("string").alias("_key"))
+        _prepare(ch.spec, tables).select(F.lit(i).alias("_child"), q(ch.fk).cast("string").alias("_key"))
         for i, ch in enumerate(entries)
     ]
     keys = reduce(lambda a, b: a.unionByName(b), frames)
@@ -246,6 +245,35 @@ def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions, heavy)
     return df.join(side, lk.on, lk.how).select(*cols)
 
 
+def _nest_rows(rows: DataFrame, ch: Child, tables, opts: BuildOptions, heavy) -> tuple[DataFrame, bool]:
+    """Nest built child rows by their foreign key; True when paged."""
+    # The pre-count on the child's own table bounds its built rows only when
+    # nothing below it is paged (a paged descendant repeats a row per page).
+    exact = not any(heavy.get(id(c), 0) for c in _child_entries(ch.spec))
+    n_heavy = heavy.get(id(ch)) if opts.max_items and exact else None
+    if opts.max_items and n_heavy == 0:
+        # no heavy key: the plain nest, joined like the unpaged document
+        return nest(rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by), False
+    lists = nest(
+        rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items,
+        key_counts_from=base_key_counts(ch.spec, ch.fk, tables) if opts.max_items and exact else None,
+        heavy_keys=n_heavy,
+    )
+    return lists, opts.max_items is not None
+
+
+def nest_child(ch: Child, tables: Mapping[str, DataFrame], opts: BuildOptions | None = None) -> DataFrame:
+    """The lists of one Child on their own: ``(fk, out)``, or ``(fk, page, out)``
+    when ``opts.max_items`` is set (every key then has a page 0)."""
+    opts = opts or BuildOptions()
+    heavy = heavy_key_counts(DocSpec("", children=(ch,)), tables, opts.max_items) if opts.max_items else {}
+    rows = _build(ch.spec, tables, opts, heavy)
+    lists, paged = _nest_rows(rows, ch, tables, opts, heavy)
+    if opts.max_items and not paged:
+        lists = lists.select(q(ch.fk), F.lit(0).alias(PAGE), q(ch.out))
+    return lists
+
+
 def _child_lists(df: DataFrame, spec: DocSpec, ch: Child, tables, opts: BuildOptions, heavy):
     rows = _build(ch.spec, tables, opts, heavy)
     if ch.fk not in rows.columns:
@@ -255,21 +283,7 @@ def _child_lists(df: DataFrame, spec: DocSpec, ch: Child, tables, opts: BuildOpt
     rows = rows.where(q(ch.fk).isNotNull())
     # cast before the nest, so the nest's exchange already uses the join type
     df, rows = align_key_types(df, spec.key, rows, ch.fk)
-    # The pre-count on the child's own table bounds its built rows only when
-    # nothing below it is paged (a paged descendant repeats a row per page).
-    exact = not any(heavy.get(id(c), 0) for c in _child_entries(ch.spec))
-    n_heavy = heavy.get(id(ch)) if opts.max_items and exact else None
-    if opts.max_items and n_heavy == 0:
-        # no heavy key: the plain nest, joined like the unpaged document
-        lists = nest(rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by)
-        paged = False
-    else:
-        lists = nest(
-            rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items,
-            key_counts_from=base_key_counts(ch.spec, ch.fk, tables) if opts.max_items and exact else None,
-            heavy_keys=n_heavy,
-        )
-        paged = opts.max_items is not None
+    lists, paged = _nest_rows(rows, ch, tables, opts, heavy)
     if opts.checkpoint_lists:
         lists = lists.checkpoint(eager=True)
     return df, lists.withColumnRenamed(ch.fk, spec.key), paged

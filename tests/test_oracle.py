@@ -52,3 +52,22 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == E.entry(spark).columns
+
+
+STAGES = [
+    "claims_with_payments", "receipts_by_policy", "tariffs_by_policy", "clients_with_accounts",
+    "policy_core", "participants_by_policy", "nest_two_level", "policy_document",
+]
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stage_queries_with_tiny_pages_match_sql(spark, con, name, monkeypatch):
+    from nestdoc import catalog
+    from nestdoc.plans.spec import BuildOptions
+
+    monkeypatch.setattr(catalog, "BOUNDED", BuildOptions(max_items=2))
+    monkeypatch.setattr(catalog, "DEFAULT_MAX_ITEMS", 2)
+    df = catalog.QUERIES[name](spark, SF001)
+    res = con.execute(E.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    assert bag(df.columns, df.collect()) == bag(cols, res.fetchall())
