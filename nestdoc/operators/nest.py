@@ -139,21 +139,23 @@ def nest(
     if checkpoint and not saved:
         df = df.checkpoint(eager=True)
     if hot is None:
+        # the number of heavy keys is known: it is the size check of the broadcast
         source = df if key_counts_from is None else key_counts_from
-        hot, _ = _hot_keys(source.select(*key_cols), keys, max_items)
+        hot, _ = _hot_keys(source.select(*key_cols), keys, max_items, known=heavy_keys)
     return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot)
 
 
 
-def _hot_keys(df: DataFrame, keys: list[str], max_items: int) -> tuple[DataFrame, int]:
+def _hot_keys(df: DataFrame, keys: list[str], max_items: int, known: int | None = None) -> tuple[DataFrame, int]:
     """Keys with more than max_items rows (a null key included), and how many.
 
     The count is the size check before the broadcast (there are at most
-    rows / max_items such keys); it is one aggregation job over the keys.
+    rows / max_items such keys); it is one aggregation job over the keys,
+    skipped when ``known`` already gives the number (counted on the same keys).
     """
     counts = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > max_items)
-    n_hot = hot.count()
+    n_hot = hot.count() if known is None else known
     return (F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot), n_hot
 
 

@@ -216,16 +216,24 @@ def heavy_key_counts(spec: DocSpec, tables: Mapping[str, DataFrame], max_items:
     """For every Child of the tree, how many parent keys have more than
     ``max_items`` child rows (by ``id(child)``; a null key counts as a key).
     One job over the key columns of the child tables; what reaches the driver
-    is one number per Child."""
+    is one number per Child.
+
+    Each child is counted on its own key column in its own type (a partial
+    count per map task, then one exchange of (key, count) pairs); only the
+    heavy keys' tags (at most rows / max_items per child) meet in the union.
+    """
     entries = _child_entries(spec)
     if not entries:
         return {}
     frames = [
-        _prepare(ch.spec, tables).select(F.lit(i).alias("_child"), q(ch.fk).cast("string").alias("_key"))
+        _prepare(ch.spec, tables)
+        .groupBy(q(ch.fk))
+        .count()
+        .where(F.col("count") > max_items)
+        .select(F.lit(i).alias("_child"))
         for i, ch in enumerate(entries)
     ]
-    keys = reduce(lambda a, b: a.unionByName(b), frames)
-    heavy = keys.groupBy("_child", "_key").count().where(F.col("count") > max_items)
+    heavy = reduce(lambda a, b: a.unionByName(b), frames)
     found = {r["_child"]: r["count"] for r in heavy.groupBy("_child").count().collect()}
     return {id(ch): found.get(i, 0) for i, ch in enumerate(entries)}
 
