@@ -211,3 +211,27 @@ def test_paged_claims_keep_their_own_pages(spark, max_items):
     assert pairs(paged) == pairs(plain)
     firsts = sorted((r.numpoliza, c.idsiniestro) for r in paged for c in (r.datos_sin or []) if c[PAGE] == 0)
     assert firsts == sorted((r.numpoliza, c.idsiniestro) for r in plain for c in (r.datos_sin or []))
+
+
+def test_heavy_key_counts_per_child_and_key_type(spark):
+    """The pre-pass counts each child on its own key column, whatever its
+    type (int, text, null keys included), and reports one number per list."""
+    from nestdoc.plans.spec import heavy_key_counts
+
+    parent = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    by_int = spark.createDataFrame([(1,)] * 3 + [(2,)] * 2 + [(None,)] * 4, "pid int")
+    by_text = spark.createDataFrame(
+        [("x", 1)] * 3 + [("y", 2)] * 3 + [("z", 3)] + [(None, 4)] * 2, "code string, v int"
+    )
+    grand = spark.createDataFrame([(1,), (1,), (2,)], "v int")
+    text_child = Child(
+        DocSpec("by_text", key="v", children=(Child(DocSpec("grand"), fk="v", out="gs"),)), fk="code", out="ts"
+    )
+    int_child = Child(DocSpec("by_int"), fk="pid", out="is")
+    spec = DocSpec("parent", key="id", children=(int_child, text_child))
+    tables_ = {"parent": parent, "by_int": by_int, "by_text": by_text, "grand": grand}
+    got = heavy_key_counts(spec, tables_, max_items=2)
+    grand_child = text_child.spec.children[0]
+    # pid 1 (3 rows) and the null key (4 rows); codes x and y (3 rows each); no v over 2
+    assert got == {id(int_child): 2, id(text_child): 2, id(grand_child): 0}
+    assert heavy_key_counts(spec, tables_, max_items=10) == {id(int_child): 0, id(text_child): 0, id(grand_child): 0}
