@@ -40,7 +40,8 @@ def run_job(
     ``BuildOptions()`` for the original shape with unbounded lists.
     """
     if opts is None:
-        opts = BuildOptions(max_items=DEFAULT_MAX_ITEMS)
+        # the tables are file scans: stable inputs (see BuildOptions)
+        opts = BuildOptions(max_items=DEFAULT_MAX_ITEMS, stable_inputs=True)
     tables = load_tables(spark, source, fmt=fmt, strict=strict)
     doc = insurance.policy_document(
         tables, opts, how_tariffs=how_tariffs, how_participants=how_participants
@@ -77,6 +78,7 @@ def main(argv: list[str] | None = None) -> RunReport:
         max_items=a.max_items or None,
         persist=LEVELS[a.persist] if a.persist else None,
         checkpoint_lists=a.checkpoint_lists,
+        stable_inputs=True,
     )
     return run_job(
         spark, a.source, a.target, fmt=a.format, strict=a.strict, files=a.files, as_table=a.table, opts=opts,

@@ -92,6 +92,13 @@ class BuildOptions:
         from those files if executors are lost, instead of redoing the nests.
         Cost: one more write of each list side, and one exchange of it, as a
         checkpointed frame does not carry its hash partitioning into the join.
+    stable_inputs: the tables are file scans (or give the same partitions
+        and row order on every read in some other way), with row-wise
+        filters and projections at most. A list of such a table (a child
+        without children or lookups of its own) is then paged without first
+        checkpointing its rows: its three reads number the rows the same, so
+        a heavy key in a large table costs no rewrite of that table. Rows
+        built through joins are still checkpointed before paging.
     """
 
     sort: bool = True
@@ -100,6 +107,7 @@ class BuildOptions:
     lookup_broadcast_bytes: int = LOOKUP_BROADCAST_BYTES
     persist: StorageLevel | None = None
     checkpoint_lists: bool = False
+    stable_inputs: bool = False
 
 
 def _wider(a: DataType, b: DataType) -> DataType | None:
@@ -262,10 +270,12 @@ def _nest_rows(rows: DataFrame, ch: Child, tables, opts: BuildOptions, heavy) ->
     if opts.max_items and n_heavy == 0:
         # no heavy key: the plain nest, joined like the unpaged document
         return nest(rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by), False
+    # rows read straight from a stable table need no checkpoint before paging
+    leaf = not ch.spec.children and not ch.spec.lookups
     lists = nest(
         rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items,
         key_counts_from=base_key_counts(ch.spec, ch.fk, tables) if opts.max_items and exact else None,
-        heavy_keys=n_heavy,
+        heavy_keys=n_heavy, checkpoint=not (opts.stable_inputs and leaf),
     )
     return lists, opts.max_items is not None
 

@@ -196,8 +196,9 @@ def test_lookup_fits_measures_the_whole_subtree(spark):
     assert not lookup_fits(I.CLIENTS, t, 1000, 100)  # bytes
 
 
+@pytest.mark.parametrize("stable", [False, True])
 @pytest.mark.parametrize("max_items", [1, 2])
-def test_paged_claims_keep_their_own_pages(spark, max_items):
+def test_paged_claims_keep_their_own_pages(spark, max_items, stable):
     t = tables(spark)
 
     def pairs(rows):
@@ -207,7 +208,7 @@ def test_paged_claims_keep_their_own_pages(spark, max_items):
         )
 
     plain = I.policy_document(t).collect()
-    paged = I.policy_document(t, BuildOptions(max_items=max_items)).collect()
+    paged = I.policy_document(t, BuildOptions(max_items=max_items, stable_inputs=stable)).collect()
     assert pairs(paged) == pairs(plain)
     firsts = sorted((r.numpoliza, c.idsiniestro) for r in paged for c in (r.datos_sin or []) if c[PAGE] == 0)
     assert firsts == sorted((r.numpoliza, c.idsiniestro) for r in plain for c in (r.datos_sin or []))
@@ -235,3 +236,25 @@ def test_heavy_key_counts_per_child_and_key_type(spark):
     # pid 1 (3 rows) and the null key (4 rows); codes x and y (3 rows each); no v over 2
     assert got == {id(int_child): 2, id(text_child): 2, id(grand_child): 0}
     assert heavy_key_counts(spec, tables_, max_items=10) == {id(int_child): 0, id(text_child): 0, id(grand_child): 0}
+
+
+def test_stable_parquet_inputs_page_without_checkpoint(spark):
+    """Leaf lists of Parquet scans are paged straight from the files: every
+    item is kept and every list stays within the bound, as with the
+    checkpointed path."""
+    from nestdoc.sources import standin
+
+    roles = standin.load_roles(spark, "/root/testdata/sf0.001")
+
+    def items(doc):
+        return sorted(
+            (r.numpoliza, "r", x.idrecibo) for r in doc.collect() for x in (r.datos_recibos or [])
+        ) + sorted((r.numpoliza, "t", x.tarifa) for r in doc.collect() for x in (r.datos_tarifa or []))
+
+    spec = I.POLICY.with_children("datos_recibos", "datos_tarifa")
+    plain = build(spec, roles)
+    stable = build(spec, roles, BuildOptions(max_items=3, stable_inputs=True))
+    saved = build(spec, roles, BuildOptions(max_items=3))
+    assert items(stable) == items(plain) == items(saved)
+    for r in stable.collect():
+        assert len(r.datos_recibos or []) <= 3 and len(r.datos_tarifa or []) <= 3
