@@ -132,6 +132,32 @@ def align_key_types(left: DataFrame, lkey: str, right: DataFrame, rkey: str) ->
     return left, right
 
 
+def row_counts(frames: list[DataFrame]) -> list[int]:
+    """Rows of each frame, all in one job.
+
+    Only the columns a frame's filters need are read (a bare Parquet scan is
+    counted from its row groups), so this is cheap however wide the rows are.
+    Every task reads its whole split: a limit under an aggregation would not
+    stop the scan early, it only caps each task's rows.
+    """
+    if not frames:
+        return []
+    tagged = [f.select(F.lit(i).alias("_t")) for i, f in enumerate(frames)]
+    counts = reduce(lambda a, b: a.unionByName(b), tagged).groupBy("_t").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["_t"]: r["n"] for r in counts.collect()}  # one row per frame
+    return [found.get(i, 0) for i in range(len(frames))]
+
+
+def json_bytes(frames: list[DataFrame]) -> int:
+    """Bytes of the rows of all frames as JSON text (lists included), one job.
+    Meant for frames already counted under a row budget."""
+    if not frames:
+        return 0
+    sized = [f.select(F.octet_length(F.to_json(F.struct(*[q(c) for c in f.columns]))).alias("_b")) for f in frames]
+    total = reduce(lambda a, b: a.unionByName(b), sized).agg(F.sum("_b").alias("b")).collect()[0]["b"]
+    return int(total or 0)
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int, max_bytes: int = LOOKUP_BROADCAST_BYTES, base: DataFrame | None = None
 ) -> DataFrame:
@@ -139,18 +165,17 @@ def bounded_broadcast(
     ``max_bytes`` bytes; else return it as it is (the join then shuffles).
 
     ``base`` is a table with at least as many rows as ``df`` (its source
-    table): counting it first is a scan that stops after max_rows + 1 rows, so
-    a large side is rejected without being computed. The probe of ``df`` then
-    reads at most max_rows + 1 of its rows and measures them as JSON text
-    (lists included), counted twice for headroom over the in-memory size.
+    table): its row count is the row check, so ``df`` itself is only computed
+    once it is known to be small. The bytes are then measured on ``df`` as
+    JSON text (lists included), counted twice for headroom over the
+    in-memory size. A large side costs one count (pruned to the columns its
+    filters need), never a read of its whole rows.
     """
     if max_rows <= 0 or max_bytes <= 0:
         return df
-    if base is not None and base.limit(max_rows + 1).count() > max_rows:
+    if row_counts([df if base is None else base])[0] > max_rows:
         return df
-    text = F.octet_length(F.to_json(F.struct(*[q(c) for c in df.columns])))
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
-    if probe["n"] <= max_rows and 2 * (probe["b"] or 0) <= max_bytes:
+    if 2 * json_bytes([df]) <= max_bytes:
         return F.broadcast(df)
     return df
 
@@ -169,25 +194,18 @@ def lookup_fits(spec: DocSpec, tables: Mapping[str, DataFrame], max_rows: int, m
 
     Measures the base tables of the spec's whole tree instead of the built
     side (which would have to be computed for it): the side's rows are made
-    of their rows, lists included, so their sizes bound it. One job; each
-    table is read only up to max_rows + 1 rows, so a large table is rejected
-    after a bounded scan. Bytes are the JSON text of the rows, counted twice
-    for headroom over the in-memory size.
+    of their rows, lists included, so their sizes bound it. First one job
+    counts the rows of every table (reading only the columns their filters
+    need); only when each is under max_rows does a second job measure their
+    bytes, as JSON text counted twice for headroom over the in-memory size.
+    A large table therefore costs a count, never a read of its whole rows.
     """
     if max_rows <= 0 or max_bytes <= 0:
         return False
-    frames = []
-    for i, s in enumerate(_subtree_specs(spec)):
-        t = _prepare(s, tables)
-        text = F.octet_length(F.to_json(F.struct(*[q(c) for c in t.columns])))
-        frames.append(t.limit(max_rows + 1).select(F.lit(i).alias("_t"), text.alias("_b")))
-    probe = (
-        reduce(lambda a, b: a.unionByName(b), frames)
-        .groupBy("_t")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b"))
-        .collect()  # one row per table of the spec
-    )
-    return all(r["n"] <= max_rows for r in probe) and 2 * sum(r["b"] or 0 for r in probe) <= max_bytes
+    frames = [_prepare(s, tables) for s in _subtree_specs(spec)]
+    if any(n > max_rows for n in row_counts(frames)):
+        return False
+    return 2 * json_bytes(frames) <= max_bytes
 
 
 def _prepare(spec: DocSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
