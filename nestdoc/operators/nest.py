@@ -34,13 +34,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..functions.columns import q
 
 PAGE = "page"
 # Heavy keys are at most rows / max_items by count; they are broadcast to the
-# rows only when their measured number is under this bound.
+# rows only when their measured number is under this bound and their bytes
+# (twice their JSON text) under the byte budget.
 HOT_KEYS_BROADCAST_LIMIT = 1_000_000
+HOT_KEYS_BROADCAST_BYTES = 256 * 1024 * 1024
+# bytes a fixed-width key takes at most as JSON text (a decimal(38) is 40 characters)
+_FIXED_KEY_BYTES = 48
+
+
+_FIXED_WIDTH = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
 
 
 def _as_list(key: str | Sequence[str]) -> list[str]:
@@ -149,14 +157,24 @@ def nest(
 def _hot_keys(df: DataFrame, keys: list[str], max_items: int, known: int | None = None) -> tuple[DataFrame, int]:
     """Keys with more than max_items rows (a null key included), and how many.
 
-    The count is the size check before the broadcast (there are at most
-    rows / max_items such keys); it is one aggregation job over the keys,
-    skipped when ``known`` already gives the number (counted on the same keys).
+    Their number (at most rows / max_items) and bytes are the size check
+    before the broadcast: one aggregation job over the keys gives both. When
+    ``known`` already gives the number (counted on the same keys), fixed-width
+    keys need no job at all; other keys are measured.
     """
     counts = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") > max_items)
-    n_hot = hot.count() if known is None else known
-    return (F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_LIMIT else hot), n_hot
+    key_text = F.octet_length(F.to_json(F.struct(*[q(k) for k in keys])))
+    fixed = all(isinstance(df.schema[k].dataType, _FIXED_WIDTH) for k in keys)
+    if known is not None and fixed:
+        n_hot, n_bytes = known, known * _FIXED_KEY_BYTES * len(keys)
+    elif known is not None and known > HOT_KEYS_BROADCAST_LIMIT:
+        n_hot, n_bytes = known, None
+    else:
+        got = hot.agg(F.count(F.lit(1)).alias("n"), F.sum(key_text).alias("b")).collect()[0]
+        n_hot, n_bytes = got["n"], int(got["b"] or 0)
+    small = n_hot <= HOT_KEYS_BROADCAST_LIMIT and n_bytes is not None and 2 * n_bytes <= HOT_KEYS_BROADCAST_BYTES
+    return (F.broadcast(hot) if small else hot), n_hot
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

@@ -132,3 +132,38 @@ def test_nest_paged_spreads_identical_copies(spark):
     assert heavy == list(range(7))  # 40 copies -> pages 0..6, dense
     assert all(len(r["items"]) <= 6 for r in pages)
     assert sum(len(r["items"]) for r in pages if r.k == 1) == 40
+
+
+def test_hot_key_broadcast_needs_row_and_byte_budgets(spark, monkeypatch):
+    """The heavy-key table is broadcast only under both budgets; fixed-width
+    keys with a known count need no measuring job, text keys are measured."""
+    import contextlib
+    import importlib
+    import io
+
+    N = importlib.import_module("nestdoc.operators.nest")  # the package exports the function by that name
+
+    df = spark.createDataFrame([("k" * 50, i) for i in range(6)] + [("b", 1)], "k string, v int")
+
+    def broadcast_hinted(side):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            side.explain(extended=True)
+        return "broadcast" in out.getvalue().lower()
+
+    hot, n = N._hot_keys(df.select("k"), ["k"], 3)
+    assert n == 1 and broadcast_hinted(hot)
+    hot, n = N._hot_keys(df.select("k"), ["k"], 3, known=1)  # text key: measured
+    assert n == 1 and broadcast_hinted(hot)
+    monkeypatch.setattr(N, "HOT_KEYS_BROADCAST_BYTES", 100)  # 2 x 56 bytes of JSON
+    hot, n = N._hot_keys(df.select("k"), ["k"], 3)
+    assert n == 1 and not broadcast_hinted(hot)
+    ints = df.selectExpr("length(k) AS k")
+    hot, n = N._hot_keys(ints, ["k"], 3, known=1)  # fixed width: 48 bytes, no job
+    assert n == 1 and broadcast_hinted(hot)
+    monkeypatch.setattr(N, "HOT_KEYS_BROADCAST_LIMIT", 0)
+    hot, n = N._hot_keys(ints, ["k"], 3, known=1)
+    assert not broadcast_hinted(hot)
+    # the pages are the same either way
+    pages = nest(df, "k", "items", max_items=3, checkpoint=False)
+    assert bag(unnest(pages.drop(PAGE), "items", outer=False)) == bag(df)
