@@ -18,6 +18,8 @@ Parquet scans, so Catalyst pushes both into the reader.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,16 +104,52 @@ def accounts(supplier: DataFrame) -> DataFrame:
     )
 
 
-def load_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# role -> (source table, projection)
+ROLES = {
+    "policies": ("customer", policies),
+    "claims": ("orders", claims),
+    "payments": ("lineitem", payments),
+    "receipts": ("events", receipts),
+    "tariffs": ("customer", tariffs),
+    "participants": ("customer", participants),
+    "clients": ("nation", clients),
+    "accounts": ("supplier", accounts),
+}
+
+
+class Roles(Mapping):
+    """The eight insurance tables, played by the driver's tables under sf_dir.
+
+    A role is built on first use and its source table opened then (listing
+    and footer read), so a query that needs two roles opens only their files.
+    Roles of one source share its DataFrame.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._sources: dict[str, DataFrame] = {}
+        self._roles: dict[str, DataFrame] = {}
+
+    def __getitem__(self, role: str) -> DataFrame:
+        if role not in ROLES:
+            raise KeyError(role)
+        if role not in self._roles:
+            source, make = ROLES[role]
+            if source not in self._sources:
+                self._sources[source] = read_source(self._spark, self._dir, source)
+            self._roles[role] = make(self._sources[source])
+        return self._roles[role]
+
+    def __contains__(self, role: object) -> bool:
+        return role in ROLES
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(ROLES)
+
+    def __len__(self) -> int:
+        return len(ROLES)
+
+
+def load_roles(spark: SparkSession, sf_dir: str) -> Roles:
     """The eight insurance tables, played by the driver's tables under sf_dir."""
-    src = {n: read_source(spark, sf_dir, n) for n in SOURCE_TABLES}
-    return {
-        "policies": policies(src["customer"]),
-        "claims": claims(src["orders"]),
-        "payments": payments(src["lineitem"]),
-        "receipts": receipts(src["events"]),
-        "tariffs": tariffs(src["customer"]),
-        "participants": participants(src["customer"]),
-        "clients": clients(src["nation"]),
-        "accounts": accounts(src["supplier"]),
-    }
+    return Roles(spark, sf_dir)
