@@ -335,10 +335,20 @@ def rename_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- nesting (A1-A4)
 def nest_one_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payments nested by claim, exploded back with their position in the sorted list."""
-    lists = nest(_roles(spark, sf_dir)["payments"], "idsiniestro", "datos_pago")
+    """Payments nested by claim, exploded back with their position in the sorted list.
+
+    Lists are bounded at DEFAULT_MAX_ITEMS items with pages in sort order, so
+    a claim with more payments is never one task's list, and page number and
+    place in the page still give the position in the claim's whole list. The
+    payments are a Parquet projection (stable, see ``nest_paged``)."""
+    payments = _roles(spark, sf_dir)["payments"]
+    lists = nest(
+        payments, "idsiniestro", "datos_pago", max_items=DEFAULT_MAX_ITEMS, ordered_pages=True,
+        key_counts_from=payments.select("idsiniestro"), checkpoint=False,
+    )
     out = unnest(lists, "datos_pago", outer=False, position="pos")
-    return out.withColumn("pos", F.col("pos").cast("bigint"))
+    pos = F.col(PAGE).cast("bigint") * F.lit(DEFAULT_MAX_ITEMS) + F.col("pos").cast("bigint")
+    return out.withColumn("pos", pos).drop(PAGE)
 
 
 def nest_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,10 @@ more than n children are given a running number without being gathered
 (numbered within each input partition, then offset by the counts of the
 partitions before), and page = number div n. Identical copies spread like
 any other rows. Items are sorted within a page; which items share a page
-follows the input's partitions, not the sort order.
+follows the input's partitions, not the sort order, unless
+``ordered_pages=True``: the heavy keys' rows are then range-sorted first
+(ties broken by input place), so page p holds the p-th run of the sorted
+list and positions in the whole list are page * max_items + place in page.
 """
 
 from __future__ import annotations
@@ -106,6 +109,7 @@ def nest(
     checkpoint: bool = True,
     key_counts_from: DataFrame | None = None,
     heavy_keys: int | None = None,
+    ordered_pages: bool = False,
 ) -> DataFrame:
     """Group ``df`` by ``key`` and collect the other columns as a list of structs.
 
@@ -120,6 +124,12 @@ def nest(
     page numbers); with ``checkpoint=True`` the input is then written once to
     the session's checkpoint folder (a reliable checkpoint, which also cuts
     the lineage) so it is not recomputed for each read.
+
+    ``ordered_pages=True`` makes a heavy key's pages follow the sort order:
+    page p holds items p*max_items ... of the key's sorted list, so page
+    number and place in the page give an item's position in the whole list.
+    It costs one range sort of the heavy keys' rows, which spreads a heavy
+    key over several tasks.
     """
     keys = _as_list(key)
     fields = item_fields(df, keys, exclude, cols)
@@ -150,7 +160,7 @@ def nest(
         # the number of heavy keys is known: it is the size check of the broadcast
         source = df if key_counts_from is None else key_counts_from
         hot, _ = _hot_keys(source.select(*key_cols), keys, max_items, known=heavy_keys)
-    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot)
+    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot, ordered_pages and sort)
 
 
 
@@ -185,7 +195,7 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return a.join(b, cond, how).select(*[q(c, "_a") for c in left.columns], *extra)
 
 
-def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys) -> DataFrame:
+def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, ordered=False) -> DataFrame:
     key_cols = [q(k) for k in keys]
     # Where each row sits in the input: its partition and its place in it.
     # On a checkpointed input both are fixed, so retries and reruns agree.
@@ -206,6 +216,16 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys) -
     # included); each (key, partition) then adds the rows of the partitions
     # before it, from a small table of per-partition counts.
     hot = marked.where(F.col("_n").isNotNull()).drop("_n")
+    if ordered:
+        # Pages in sort order: a range sort on the key and the item fields
+        # spreads a heavy key over several tasks (ties broken by the input
+        # place, so identical copies spread too); rows are then located by
+        # (range partition, place in it), which follows the sort order.
+        by = [*key_cols, *[q(c) for c in (order_by or fields)], F.col("_part"), F.col("_row")]
+        rest = [q(c) for c in hot.columns if c not in ("_part", "_row")]
+        hot = hot.orderBy(*by).select(
+            *rest, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")
+        )
     in_part = Window.partitionBy(*key_cols, F.col("_part")).orderBy("_row")
     hot = hot.withColumn("_local", F.row_number().over(in_part))
     sizes = hot.groupBy(*key_cols, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
