@@ -189,7 +189,9 @@ def _subtree_specs(spec: DocSpec) -> list[DocSpec]:
     return out
 
 
-def lookup_fits(spec: DocSpec, tables: Mapping[str, DataFrame], max_rows: int, max_bytes: int) -> bool:
+def lookup_fits(
+    spec: DocSpec, tables: Mapping[str, DataFrame], max_rows: int, max_bytes: int, counts: list[int] | None = None
+) -> bool:
     """Whether the built ``spec`` is proven small enough to broadcast.
 
     Measures the base tables of the spec's whole tree instead of the built
@@ -199,11 +201,13 @@ def lookup_fits(spec: DocSpec, tables: Mapping[str, DataFrame], max_rows: int, m
     need); only when each is under max_rows does a second job measure their
     bytes, as JSON text counted twice for headroom over the in-memory size.
     A large table therefore costs a count, never a read of its whole rows.
+    ``counts`` passes those row counts when already made (in the same order
+    as the tables of the tree).
     """
     if max_rows <= 0 or max_bytes <= 0:
         return False
     frames = [_prepare(s, tables) for s in _subtree_specs(spec)]
-    if any(n > max_rows for n in row_counts(frames)):
+    if any(n > max_rows for n in (row_counts(frames) if counts is None else counts)):
         return False
     return 2 * json_bytes(frames) <= max_bytes
 
@@ -238,7 +242,20 @@ def _child_entries(spec: DocSpec) -> list[Child]:
     return out
 
 
-def heavy_key_counts(spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int) -> dict[int, int]:
+def _lookups(spec: DocSpec) -> list[Lookup]:
+    """Every Lookup of the spec tree, depth first."""
+    out: list[Lookup] = []
+    for lk in spec.lookups:
+        out.append(lk)
+        out += _lookups(lk.spec)
+    for ch in spec.children:
+        out += _lookups(ch.spec)
+    return out
+
+
+def heavy_key_counts(
+    spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int, lookup_rows: dict | None = None
+) -> dict[int, int]:
     """For every Child of the tree, how many parent keys have more than
     ``max_items`` child rows (by ``id(child)``; a null key counts as a key).
     One job over the key columns of the child tables; what reaches the driver
@@ -247,10 +264,13 @@ def heavy_key_counts(spec: DocSpec, tables: Mapping[str, DataFrame], max_items:
     Each child is counted on its own key column in its own type (a partial
     count per map task, then one exchange of (key, count) pairs); only the
     heavy keys' tags (at most rows / max_items per child) meet in the union.
+
+    Given a dict as ``lookup_rows``, the same job also counts the rows of the
+    tables of every Lookup's tree (the row check of its broadcast, see
+    lookup_fits) and fills it: ``id(lookup) -> [rows per table]``.
     """
     entries = _child_entries(spec)
-    if not entries:
-        return {}
+    lookups = _lookups(spec) if lookup_rows is not None else []
     frames = [
         _prepare(ch.spec, tables)
         .groupBy(q(ch.fk))
@@ -259,8 +279,19 @@ def heavy_key_counts(spec: DocSpec, tables: Mapping[str, DataFrame], max_items:
         .select(F.lit(i).alias("_child"))
         for i, ch in enumerate(entries)
     ]
-    heavy = reduce(lambda a, b: a.unionByName(b), frames)
-    found = {r["_child"]: r["count"] for r in heavy.groupBy("_child").count().collect()}
+    tags = []  # (lookup, tag of each table of its tree)
+    for lk in lookups:
+        ids = []
+        for t in _subtree_specs(lk.spec):
+            ids.append(len(entries) + sum(len(x) for _, x in tags) + len(ids))
+            frames.append(_prepare(t, tables).select(F.lit(ids[-1]).alias("_child")))
+        tags.append((lk, ids))
+    if not frames:
+        return {}
+    tagged = reduce(lambda a, b: a.unionByName(b), frames)
+    found = {r["_child"]: r["count"] for r in tagged.groupBy("_child").count().collect()}
+    for lk, ids in tags:
+        lookup_rows[id(lk)] = [found.get(i, 0) for i in ids]
     return {id(ch): found.get(i, 0) for i, ch in enumerate(entries)}
 
 
@@ -273,7 +304,8 @@ def _apply_lookup(df: DataFrame, lk: Lookup, tables, opts: BuildOptions, heavy)
     if clash:
         raise ValueError(f"lookup {lk.spec.table!r} would repeat columns {clash}; rename or drop them in the spec")
     df, side = align_key_types(df, lk.on, side, lk.on)
-    if lookup_fits(lk.spec, tables, opts.lookup_broadcast_rows, opts.lookup_broadcast_bytes):
+    counts = heavy.get(("rows", id(lk)))
+    if lookup_fits(lk.spec, tables, opts.lookup_broadcast_rows, opts.lookup_broadcast_bytes, counts):
         side = F.broadcast(side)
     cols = [q(c) for c in df.columns] + [q(c) for c in side.columns if c != lk.on]
     return df.join(side, lk.on, lk.how).select(*cols)
@@ -336,7 +368,12 @@ def build(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions | N
     whole tree; where there is none the plan is the unpaged one with page 0.
     """
     opts = opts or BuildOptions()
-    heavy = heavy_key_counts(spec, tables, opts.max_items) if opts.max_items else {}
+    heavy: dict = {}
+    if opts.max_items:
+        # one job: heavy keys of every list and rows of every lookup's tables
+        rows: dict = {}
+        heavy = heavy_key_counts(spec, tables, opts.max_items, lookup_rows=rows)
+        heavy.update({("rows", k): v for k, v in rows.items()})
     return _build(spec, tables, opts, heavy)
 
 

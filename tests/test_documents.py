@@ -258,3 +258,15 @@ def test_stable_parquet_inputs_page_without_checkpoint(spark):
     assert items(stable) == items(plain) == items(saved)
     for r in stable.collect():
         assert len(r.datos_recibos or []) <= 3 and len(r.datos_tarifa or []) <= 3
+
+
+def test_pre_pass_counts_lookup_tables_in_the_same_job(spark):
+    from nestdoc.plans.spec import heavy_key_counts, lookup_fits
+
+    t = tables(spark)
+    rows: dict = {}
+    heavy_key_counts(I.POLICY, t, 1_000_000, lookup_rows=rows)
+    lk = I.PARTICIPANTS.lookups[0]
+    assert rows == {id(lk): [t["clients"].count(), t["accounts"].count()]}
+    assert lookup_fits(lk.spec, t, 1000, 1 << 20, counts=rows[id(lk)])
+    assert not lookup_fits(lk.spec, t, 1, 1 << 20, counts=rows[id(lk)])
