@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import decontaminate
+from nestdoc.llm import decontaminate, langid, mix
 
 QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op8_mix_sources": mix.op8_mix_sources,
+    "op10_language_id": langid.op10_language_id,
 }
 
 SQL = {
