@@ -66,14 +66,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str, most_bytes: int, most_rows: int = 1 << 14
+) -> Iterator[pa.RecordBatch]:
     """The batches cut by rows to about `most_bytes` of text each; one row is never cut."""
     for batch in batches:
         _, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
         at = 0
         while at < batch.num_rows:
             to = int(np.searchsorted(offsets, offsets[at] + most_bytes, "right")) - 1
-            to = min(max(to, at + 1), batch.num_rows)
+            to = min(max(to, at + 1), at + most_rows, batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import decontaminate, langid, mix
+from nestdoc.llm import decontaminate, jaccard, langid, mix
 
 QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_mix_sources": mix.op8_mix_sources,
     "op10_language_id": langid.op10_language_id,
 }
 
 SQL = {
     "op5_decontaminate": decontaminate.ORACLE,
+    "op7_jaccard_join": jaccard.ORACLE,
 }
