@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/nestdoc-scratch/{name}-{uuid.uuid4().hex}"
 
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each Spark application, so that
+    functions which run there find it on any executor."""
+    sc = spark.sparkContext
+    if getattr(sc, "_nestdoc_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="nestdoc-ship-")) / "nestdoc-package.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._nestdoc_shipped = True
