@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import decontaminate, jaccard, langid, mix
+from nestdoc.llm import decontaminate, jaccard, langid, mix, suffixes
 
 QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_mix_sources": mix.op8_mix_sources,
+    "op9_repeated_passages": suffixes.op9_repeated_passages,
     "op10_language_id": langid.op10_language_id,
 }
 
 SQL = {
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_jaccard_join": jaccard.ORACLE,
+    "op9_repeated_passages": suffixes.ORACLE,
 }
