@@ -44,3 +44,13 @@ def unit_hash(*cols: Column) -> Column:
     """A number from 0 to below 1 drawn from the columns' values: alike on every run."""
     bits = F.xxhash64(*cols)
     return F.shiftrightunsigned(bits, 11).cast("double") / F.lit(float(1 << 53))
+
+
+#: Rows of a table of keys that is sent to every task.
+MOST_SENT = 1_000_000
+
+
+def sent(keys: DataFrame, most: int = MOST_SENT) -> DataFrame:
+    """A narrow table, marked to be sent to every task if it has few rows; else it is joined by a
+    shuffle."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestdoc.llm._frames import free_name, n_words, pinned, quoted, table, unit_hash
+from nestdoc.llm._frames import free_name, n_words, pinned, quoted, sent, table, unit_hash
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -120,7 +120,7 @@ def mix_documents(
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = pinned(source_targets(sizes, weights, most))
     targets = targets.withColumnRenamed("source", "s")
-    ranked = base.join(_sent(targets), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    ranked = base.join(sent(targets), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     if weight:
         ranked = _per_word(pinned(ranked.withColumn("due", F.lit(0.0))), most)
     else:
@@ -146,7 +146,7 @@ def mix_documents(
         cell = F.floor((F.col("rank") - F.col("low")) / F.lit(width))
         cells = (
             ranked.select("source", "rank", "size").where(F.col("rank").isNotNull())
-            .join(_sent(at), F.col("source").eqNullSafe(F.col("s")))
+            .join(sent(at), F.col("source").eqNullSafe(F.col("s")))
             .where((cell >= 0) & (cell < CELLS))
             .groupBy("source", "lack", "low", cell.alias("cell"))
             .agg(F.sum("size").alias("words"))
@@ -180,7 +180,7 @@ def mix_documents(
         "s", "lack", (F.col("low") + F.when(F.coalesce(F.col("meeting"), F.lit(0)) < 2 * F.col("lack"), F.lit(width)).otherwise(0.0)).alias("cut")
     )
     last = pinned(last)
-    out = ranked.join(_sent(last), F.col("source").eqNullSafe(F.col("s")), "left")
+    out = ranked.join(sent(last), F.col("source").eqNullSafe(F.col("s")), "left")
     copies = (F.col("whole") + F.when(F.col("rank") < F.col("cut"), 1).otherwise(0)).cast("long")
     return out.select(
         *[F.col("kept")[c].alias(c) for c in keep],
@@ -192,9 +192,17 @@ def mix_documents(
     )
 
 
-def _sent(sources: DataFrame, most: int = 10_000) -> DataFrame:
-    """A table by source, marked to be sent to every task if it has few rows."""
-    return F.broadcast(sources) if sources.limit(most + 1).count() <= most else sources
+def take_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", copies: str = "copies", **options) -> DataFrame:
+    """The documents that the mix takes, with their own columns and a column that says how many
+    copies of each row it takes. Rows that repeat id and text are taken equally often."""
+    th, id_ = free_name(docs, "mix_hash"), free_name(docs, "mix_id")
+    keyed = docs.select(
+        quoted(doc_id).alias("doc_id"), quoted(text).alias("text"), quoted(source).alias("source"), F.xxhash64(quoted(text)).alias("th")
+    )
+    taken = mix_documents(keyed, keep=["doc_id", "th"], **options).where(F.col("copies") > 0)
+    taken = taken.groupBy(F.col("doc_id").alias(id_), F.col("th").alias(th)).agg(F.max("copies").alias(free_name(docs, copies)))
+    met = quoted(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(quoted(text)) == F.col(th))
+    return docs.join(sent(pinned(taken)), met).drop(id_, th)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

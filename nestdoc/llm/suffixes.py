@@ -30,13 +30,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestdoc.llm._frames import free_name, n_words, pinned, quoted, table
+from nestdoc.llm._frames import free_name, n_words, pinned, quoted, sent, table
 from nestdoc.llm._words import NON_SPACE, U64, Words, chunks, mix, ngrams, utf8, words
 
 MIN_WORDS = 50
 GROUP = 8
 CHUNK_BYTES = 4 << 20
-MOST_SENT = 1_000_000
 _PLACE = U64((1 << 24) - 1)
 
 
@@ -77,11 +76,6 @@ def run_hashes(w: Words, runs: np.ndarray, length: int) -> np.ndarray:
     return mix((sums[runs + length] - sums[runs]) * down[runs])
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """Marked to be sent to every task if it has few rows."""
-    return F.broadcast(df) if df.limit(MOST_SENT + 1).count() <= MOST_SENT else df
-
-
 def _same(a: str = "id", b: str = "i") -> F.Column:
     return F.col(a).eqNullSafe(F.col(b)) & (F.col("th") == F.col("t"))
 
@@ -107,7 +101,7 @@ def repeated_passages(
     copies = keys.join(heads, "th").where(~F.col("id").eqNullSafe(F.col("head.id")))
     copies = pinned(copies.select("id", "th", F.col("head.id").alias("first_id"), F.col("n")))
     taken = copies.select(F.col("id").alias("i"), F.col("th").alias("t"))
-    lead = docs.join(_sent(taken), _same(), "left_anti").where(F.col("text").isNotNull())
+    lead = docs.join(sent(taken), _same(), "left_anti").where(F.col("text").isNotNull())
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text", CHUNK_BYTES):
@@ -135,7 +129,7 @@ def repeated_passages(
     neighbours = kept.groupBy("grp").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("grp")
     met = pinned(kept.join(neighbours, "grp").groupBy("id", "th").agg(F.collect_list("grp").alias("groups")))
     spots = met.select(F.col("id").alias("i"), F.col("th").alias("t"), "groups")
-    some = lead.join(_sent(spots.select("i", "t")), _same(), "left_semi")
+    some = lead.join(sent(spots.select("i", "t")), _same(), "left_semi")
     some = pinned(some.dropDuplicates(["id", "th"]).join(spots, _same()).select("id", "th", "text", "groups"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
