@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import decontaminate, jaccard, langid, mix, suffixes
+from nestdoc.llm import decontaminate, jaccard, langid, mix, quality, suffixes
 
 QUERIES = {
+    "op4_quality_rules": quality.op4_quality_rules,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_mix_sources": mix.op8_mix_sources,
