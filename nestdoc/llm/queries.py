@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import decontaminate, jaccard, langid, mix, quality, suffixes
+from nestdoc.llm import chat, decontaminate, jaccard, langid, mix, quality, suffixes
 
 QUERIES = {
+    "op2_chat_format": chat.op2_chat_format,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_chat_format": chat.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_jaccard_join": jaccard.ORACLE,
     "op9_repeated_passages": suffixes.ORACLE,
