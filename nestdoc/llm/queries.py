@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import chat, decontaminate, jaccard, langid, mix, quality, suffixes
+from nestdoc.llm import chat, decontaminate, jaccard, langid, mix, pages, quality, suffixes
 
 QUERIES = {
     "op2_chat_format": chat.op2_chat_format,
+    "op3_main_text": pages.op3_main_text,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
