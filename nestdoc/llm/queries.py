@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import chat, decontaminate, jaccard, langid, mix, pages, quality, suffixes
+from nestdoc.llm import chat, decontaminate, jaccard, langid, mix, pages, quality, suffixes, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_chat_format": chat.op2_chat_format,
     "op3_main_text": pages.op3_main_text,
     "op4_quality_rules": quality.op4_quality_rules,
