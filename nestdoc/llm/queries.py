@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import chat, decontaminate, jaccard, langid, mix, pages, quality, suffixes, toxicity
+from nestdoc.llm import chat, decontaminate, jaccard, langid, licences, mix, pages, quality, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_main_text": pages.op3_main_text,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_licence_scan": licences.op6_licence_scan,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
     "op8_mix_sources": mix.op8_mix_sources,
     "op9_repeated_passages": suffixes.op9_repeated_passages,
