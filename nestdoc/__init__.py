@@ -6,7 +6,7 @@ Public entry points:
 * :func:`nestdoc.operators.joins.join_split` - matched and unmatched join parts
 * :class:`nestdoc.plans.spec.DocSpec` + :func:`build` - documents from a spec
 * :mod:`nestdoc.plans.insurance` - the policy document and its stages
-* :mod:`nestdoc.sources` - fixed-schema readers and table synthesis
+* :mod:`nestdoc.sources` - fixed-schema readers
 * :mod:`nestdoc.sinks` - Parquet / table writers with a run report
 """
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from .functions import columns as C
 from .functions import dates as D
+from .functions import numbers as N
 from .functions import text as T
-from .operators.joins import join_split
+from .operators.joins import join_split, join_tagged
 from .operators.nest import PAGE, nest, unnest
 from .plans import insurance as I
 from .plans.spec import DEFAULT_MAX_ITEMS, BuildOptions, build
@@ -210,8 +211,12 @@ def document_summary_columns() -> list[str]:
 
 
 def dropped_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policies the inner joins leave out of the document (no tariff or no participant)."""
-    return I.dropped_policies(_roles(spark, sf_dir))
+    """Policies that the inner joins leave out of a document (no tariff or no participant); the
+    tariffs are played by the receipts here, which many policies lack."""
+    r = _roles(spark, sf_dir)
+    return I.dropped_policies(
+        {"policies": r["policies"], "participants": r["participants"], "tariffs": r["receipts"].withColumnRenamed("idpoliza", "num_poliza")}
+    )
 
 
 def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,30 +271,13 @@ def join_expr_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SPLIT_COLS = ["part", "idsiniestro", "idpoliza", "o_totalprice", "l_linenumber", "l_extendedprice"]
-
-
-def _tagged(parts, keep=_SPLIT_COLS) -> DataFrame:
-    frames = []
-    for name in ("matched", "left_only", "right_only"):
-        part = getattr(parts, name)
-        if part is not None:
-            cols = [c for c in keep if c in part.columns]
-            frames.append(part.select(F.lit(name).alias("part"), *cols))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out.select(*keep)
-
-
 def _split(spark, sf_dir, mode) -> DataFrame:
     r = _roles(spark, sf_dir)
-    parts = join_split(
+    return join_tagged(
         r["claims"], r["payments"], ["idsiniestro"],
         left_cols=["idsiniestro", "idpoliza", "o_totalprice"],
         right_cols=["l_linenumber", "l_extendedprice"], mode=mode,
     )
-    return _tagged(parts)
 
 
 def join_split_left(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +289,12 @@ def join_split_both(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_split_right(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(spark, sf_dir, 4)
+    """Receipts and policies: many policies have no receipt."""
+    r = _roles(spark, sf_dir)
+    return join_tagged(
+        r["receipts"].withColumnRenamed("idpoliza", "numpoliza"), r["policies"], ["numpoliza"],
+        left_cols=["idrecibo", "importe_prima"], right_cols=["c_name"], mode=4,
+    )
 
 
 def join_left_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +304,8 @@ def join_left_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_right_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _roles(spark, sf_dir)
-    return join_split(r["claims"], r["payments"], ["idsiniestro"], mode=6)
+    receipts = r["receipts"].withColumnRenamed("idpoliza", "numpoliza")
+    return join_split(receipts, r["policies"], ["numpoliza"], mode=6)
 
 
 # ---------------------------------------------------------------- projections
@@ -384,6 +378,18 @@ def nest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nest_ordered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments by return flag in pages of 1000 that follow the order of price (ties by all other
+    fields), exploded back with each payment's place in its flag's whole list."""
+    payments = _roles(spark, sf_dir)["payments"]
+    lists = nest(
+        payments, "l_returnflag", "datos_pago", max_items=1000, ordered_pages=True, order_by=["l_extendedprice"],
+        key_counts_from=payments.select("l_returnflag"), checkpoint=False,
+    )
+    out = unnest(lists, "datos_pago", outer=False, position="pos")
+    return out.withColumn("pos", F.col(PAGE) * 1000 + F.col("pos")).drop(PAGE)
+
+
 # ---------------------------------------------------------------- dates
 def _closing(orders: DataFrame) -> DataFrame:
     day = D.as_text("o_orderdate")
@@ -433,6 +439,33 @@ def status_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def date_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a day up to 89 days after the order's, as its customer key says."""
+    orders = _src(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", D.day_in_range(F.col("o_orderdate"), F.pmod("o_custkey", F.lit(90))).alias("fecha_cierre"))
+
+
+def pick_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: a code picked from a list by a number."""
+    customer = _src(spark, sf_dir, "customer")
+    return customer.select("c_custkey", T.pick(["A", "S", "T", "M", "U"], F.col("c_nationkey")).alias("formapago"))
+
+
+def integer_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """integers of a range that follow a key."""
+    lines = _src(spark, sf_dir, "lineitem")
+    return lines.select(
+        "l_orderkey", "l_linenumber", N.integer_in_range("l_partkey", 100, 99_999).alias("importe"),
+        N.integer_in_range("l_suppkey", 1, 34).alias("comision"),
+    )
+
+
+def key_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the key of another table, at a fixed distance."""
+    customer = _src(spark, sf_dir, "customer")
+    return customer.select(F.col("c_custkey").alias("idcliente"), N.key_offset("c_custkey", 999).alias("numpoliza"))
+
+
 # ---------------------------------------------------------------- text
 def split_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = _src(spark, sf_dir, "customer")
@@ -487,32 +520,16 @@ QUERIES: dict[str, Query] = {
     "nest_one_level": nest_one_level,
     "nest_two_level": nest_two_level,
     "nest_paged": nest_paged,
+    "nest_ordered_pages": nest_ordered_pages,
     "open_ended_rows": open_ended_rows,
     "run_date_columns": run_date_columns,
     "day_before": day_before,
     "status_dates": status_dates,
+    "date_in_range": date_in_range,
+    "pick_code": pick_code,
+    "integer_in_range": integer_in_range,
+    "key_offset": key_offset,
     "split_account": split_account,
     "clean_text": clean_text,
     "format_row": format_row,
 }
-
-
-# ---------------------------------------------------------------- synthesis
-from .oracle import SYNTH_IDS  # noqa: E402
-from .sources import synth as G  # noqa: E402
-
-
-def _synth_query(table: str) -> Query:
-    src, key = SYNTH_IDS[table]
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ids = _src(spark, sf_dir, src).select(F.col(key).alias("id"))
-        return G.GENERATORS[table](ids)
-
-    run.__name__ = f"synth_{table}"
-    run.__doc__ = f"{table} synthesised for the ids of {src}.{key}"
-    return run
-
-
-for _t in G.GENERATORS:
-    QUERIES[f"synth_{_t}"] = _synth_query(_t)

@@ -26,6 +26,7 @@ from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.columns import q
 
@@ -129,3 +130,31 @@ def join_split(
     if m == 6:
         return right_only()
     return matched("left")
+
+
+PART = "part"
+
+
+def join_tagged(left: DataFrame, right: DataFrame, on: str | Sequence[str], left_cols="*", right_cols=None, mode: int | str = 3) -> DataFrame:
+    """The parts of modes 2, 3 and 4 as one frame with a column ``part`` (matched, left_only,
+    right_only), from one outer join: each side is read and shuffled once for all parts.
+
+    ``on`` is a name or names. Rows of a side alone have nulls in the other side's columns; a
+    row with a null key matches nothing.
+    """
+    m = mode_number(mode)
+    if m not in (2, 3, 4):
+        raise ValueError(f"only modes 2, 3 and 4 have parts, got {mode!r}")
+    _, keys = _condition(on)
+    if not keys:
+        raise ValueError("join_tagged takes key names")
+    kept = _pick(left, left_cols)
+    clash = sorted((set(kept) | set(keys)) & set(_pick(right, right_cols, skip=keys)))
+    if clash:
+        raise ValueError(f"both sides have columns {clash}; rename or drop them")
+    a = left.select(*[q(c) for c in dict.fromkeys([*keys, *kept])], F.lit(True).alias("_in_l"))
+    b = right.select(*[q(c) for c in dict.fromkeys([*keys, *_pick(right, right_cols, skip=keys)])], F.lit(True).alias("_in_r"))
+    how = {2: "left", 3: "full", 4: "right"}[m]
+    part = F.when(F.col("_in_l").isNull(), "right_only").when(F.col("_in_r").isNull(), "left_only").otherwise("matched")
+    columns = dict.fromkeys([*keys, *kept, *_pick(right, right_cols, skip=keys)])
+    return a.join(b, keys, how).select(part.alias(PART), *[q(c) for c in columns])

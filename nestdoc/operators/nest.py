@@ -37,7 +37,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DateType, MapType, NumericType, StructType, TimestampNTZType, TimestampType, VariantType,
+)
 
 from ..functions.columns import q
 
@@ -58,34 +60,18 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _comparator(order_by: Sequence[str]):
-    """array_sort comparator on the leading fields, nulls first."""
-
-    def cmp(a: Column, b: Column) -> Column:
-        result = F.lit(0)
-        for f in reversed(list(order_by)):
-            x, y = a[f], b[f]
-            result = (
-                F.when(x.isNull() & y.isNull(), result)
-                .when(x.isNull(), F.lit(-1))
-                .when(y.isNull(), F.lit(1))
-                .when(x < y, F.lit(-1))
-                .when(x > y, F.lit(1))
-                .otherwise(result)
-            )
-        return result
-
-    return cmp
-
-
-def collect_sorted(item: Column, *, sort: bool = True, order_by: Sequence[str] | None = None) -> Column:
-    """collect_list of ``item``, sorted by all fields or by ``order_by``."""
-    lst = F.collect_list(item)
+def collect_sorted(
+    item: Column, *, sort: bool = True, order_by: Sequence[str] | None = None
+) -> Column:
+    """collect_list of ``item``, sorted by all its fields, or by ``order_by`` and then all fields
+    (so that ties fall alike on every run)."""
     if not sort:
-        return lst
-    if order_by:
-        return F.array_sort(lst, _comparator(order_by))
-    return F.sort_array(lst)
+        return F.collect_list(item)
+    if not order_by:
+        return F.sort_array(F.collect_list(item))
+    lead = F.struct(*[q(c).alias(f"o{k}") for k, c in enumerate(order_by)])
+    whole = F.sort_array(F.collect_list(F.struct(lead.alias("lead"), item.alias("item"))))
+    return F.transform(whole, lambda x: x["item"])
 
 
 def item_fields(df: DataFrame, keys: Iterable[str], exclude: Iterable[str] = (), cols: Sequence[str] | None = None) -> list[str]:
@@ -153,7 +139,7 @@ def nest(
     if heavy_keys == 0:
         # no heavy key: one page per key, the plain nest
         lists = df.repartition(*key_cols).groupBy(*key_cols).agg(collect)
-        return lists.select(*key_cols, F.lit(0).alias(PAGE), out)
+        return lists.select(*key_cols, F.lit(0).cast("bigint").alias(PAGE), out)
     if checkpoint and not saved:
         df = df.checkpoint(eager=True)
     if hot is None:
@@ -187,6 +173,15 @@ def _hot_keys(df: DataFrame, keys: list[str], max_items: int, known: int | None
     return (F.broadcast(hot) if small else hot), n_hot
 
 
+def _unorderable(kind: DataType) -> bool:
+    """Maps and variants, alone or inside, have no order."""
+    if isinstance(kind, ArrayType):
+        return _unorderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_unorderable(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType))
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join on ``keys`` where null equals null (a null key can be heavy too)."""
     a, b = left.alias("_a"), right.alias("_b")
@@ -207,7 +202,7 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, o
         .repartition(*key_cols)
         .groupBy(*key_cols)
         .agg(collect)
-        .select(*key_cols, F.lit(0).alias(PAGE), out)
+        .select(*key_cols, F.lit(0).cast("bigint").alias(PAGE), out)
     )
 
     # Heavy keys: number each key's rows without gathering them. Rows are
@@ -220,12 +215,18 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, o
         # Pages in sort order: a range sort on the key and the item fields
         # spreads a heavy key over several tasks (ties broken by the input
         # place, so identical copies spread too); rows are then located by
-        # (range partition, place in it), which follows the sort order.
-        by = [*key_cols, *[q(c) for c in (order_by or fields)], F.col("_part"), F.col("_row")]
+        # (range partition, place in it), which follows the sort order. The
+        # borders of a range sort depend on a sample and on the columns that
+        # are asked for, so the located rows are written once (a reliable
+        # checkpoint) and both the rows and their counts are read from there.
+        lead = list(order_by or [])
+        by = [*lead, *[c for c in fields if c not in lead]]
+        orderable = [c for c in by if not _unorderable(hot.schema[c].dataType)]
+        by = [*key_cols, *[q(c) for c in orderable], F.col("_part"), F.col("_row")]
         rest = [q(c) for c in hot.columns if c not in ("_part", "_row")]
         hot = hot.orderBy(*by).select(
             *rest, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")
-        )
+        ).checkpoint(eager=True)
     in_part = Window.partitionBy(*key_cols, F.col("_part")).orderBy("_row")
     hot = hot.withColumn("_local", F.row_number().over(in_part))
     sizes = hot.groupBy(*key_cols, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -233,8 +234,10 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, o
     offsets = sizes.select(*key_cols, "_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     hot = _join_null_safe(hot, offsets, [*keys, "_part"], "inner")
     # (a private name: the rows may carry a page field of their own lists)
-    hot = hot.withColumn("_page", F.floor((F.col("_off") + F.col("_local") - 1) / F.lit(max_items)).cast("int"))
-    pieces = hot.groupBy(*key_cols, "_page").agg(collect)
+    number = F.col("_off") + F.col("_local") - 1
+    hot = hot.withColumn("_number", number).withColumn("_page", F.expr(f"_number div {max_items}").cast("bigint"))
+    # shuffled as rows and folded once, like the plain nest
+    pieces = hot.drop("_number").repartition(*key_cols, "_page").groupBy(*key_cols, "_page").agg(collect)
     return cold.unionByName(pieces.select(*key_cols, F.col("_page").alias(PAGE), out))
 
 

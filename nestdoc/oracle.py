@@ -16,7 +16,7 @@ policies AS (
 claims AS (
   SELECT o_orderkey AS idsiniestro, o_custkey AS idpoliza, strftime(o_orderdate, '%Y-%m-%d') AS fecha_ocurs,
          o_orderstatus, o_orderpriority, o_totalprice
-  FROM orders WHERE o_orderstatus = 'F'),
+  FROM orders),
 payments AS (
   SELECT l_orderkey AS idsiniestro, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
          l_discount, l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d') AS fecha_pago
@@ -27,15 +27,13 @@ receipts AS (
   FROM events),
 tariffs AS (
   SELECT c_custkey AS num_poliza, 'TS1' AS tarifa, c_acctbal AS importe_prima FROM customer
-  WHERE c_mktsegment <> 'BUILDING'
   UNION ALL
-  SELECT c_custkey, 'TF1', CAST(0 AS DOUBLE) FROM customer WHERE c_mktsegment <> 'BUILDING'),
+  SELECT c_custkey, 'TF1', CAST(0 AS DOUBLE) FROM customer),
 participants AS (
-  SELECT c_nationkey AS idcliente, c_custkey AS numpoliza, c_mktsegment AS tipo_intervencio
-  FROM customer WHERE c_acctbal > 0),
-clients AS (SELECT n_nationkey AS idcliente, n_name, n_regionkey FROM nation),
+  SELECT c_custkey AS idcliente, c_custkey AS numpoliza, c_mktsegment AS tipo_intervencio FROM customer),
+clients AS (SELECT c_custkey AS idcliente, c_name AS n_name, c_nationkey AS n_regionkey FROM customer),
 accounts AS (
-  SELECT s_suppkey AS idcuenta, s_nationkey AS idcliente, s_name, s_acctbal FROM supplier WHERE s_acctbal > 5000)
+  SELECT event_id AS idcuenta, user_id AS idcliente, event_type AS s_name, value AS s_acctbal FROM events)
 """
 
 LISTS = """
@@ -111,7 +109,7 @@ FROM clients c LEFT JOIN acc ON c.idcliente = acc.idcliente"""
     "csv_scan": "SELECT * FROM customer",
     "dropped_policies": _with(
         """SELECT p.* FROM policies p
-WHERE NOT EXISTS (SELECT 1 FROM tariffs t WHERE t.num_poliza = p.numpoliza)
+WHERE NOT EXISTS (SELECT 1 FROM receipts t WHERE t.idpoliza = p.numpoliza)
    OR NOT EXISTS (SELECT 1 FROM participants i WHERE i.numpoliza = p.numpoliza)""", lists=False),
     "join_inner_cols": _with(
         """SELECT c.idsiniestro, c.idpoliza AS numpoliza, c.o_totalprice, p.c_name, p.c_mktsegment
@@ -128,8 +126,8 @@ FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
         """SELECT c.* FROM claims c
 WHERE NOT EXISTS (SELECT 1 FROM payments y WHERE y.idsiniestro = c.idsiniestro)""", lists=False),
     "join_right_anti": _with(
-        """SELECT y.* FROM payments y
-WHERE NOT EXISTS (SELECT 1 FROM claims c WHERE c.idsiniestro = y.idsiniestro)""", lists=False),
+        """SELECT p.* FROM policies p
+WHERE NOT EXISTS (SELECT 1 FROM receipts r WHERE r.idpoliza = p.numpoliza)""", lists=False),
     "project_all_except": _with(
         """SELECT idsiniestro, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag,
   l_linestatus, fecha_pago FROM payments""", lists=False),
@@ -161,6 +159,14 @@ LEFT JOIN payments y ON c.idsiniestro = y.idsiniestro""", lists=False),
         """SELECT l_returnflag, CAST(count(*) AS BIGINT) AS n_items, true AS pages_bounded,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price
 FROM payments GROUP BY l_returnflag""", lists=False),
+    "nest_ordered_pages": _with(
+        """SELECT l_returnflag,
+  CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice NULLS FIRST, idsiniestro NULLS FIRST,
+    l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
+    l_discount NULLS FIRST, l_tax NULLS FIRST, l_linestatus NULLS FIRST, fecha_pago NULLS FIRST) - 1 AS BIGINT) AS pos,
+  idsiniestro, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus,
+  fecha_pago
+FROM payments""", lists=False),
     "open_ended_rows": """SELECT o_orderkey, o_orderstatus,
   CASE WHEN o_orderstatus <> 'O' THEN strftime(CAST(o_orderdate AS DATE) + 30, '%Y-%m-%d')
        ELSE '9999-12-31' END AS fecha_cierre,
@@ -187,6 +193,12 @@ FROM customer""",
   translate(concat_ws(',', p_name, p_type), ',' || chr(10), '; ') AS texto,
   upper(translate(concat_ws(chr(10), p_name, p_brand), ',' || chr(10), '; ')) AS texto_mayus
 FROM part""",
+    "date_in_range": """SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) + CAST(o_custkey % 90 AS INTEGER), '%Y-%m-%d') AS fecha_cierre
+FROM orders""",
+    "pick_code": """SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'S' WHEN 2 THEN 'T' WHEN 3 THEN 'M' ELSE 'U' END AS formapago
+FROM customer""",
+    "integer_in_range": """SELECT l_orderkey, l_linenumber, 100 + l_partkey % 99900 AS importe, 1 + l_suppkey % 34 AS comision FROM lineitem""",
+    "key_offset": """SELECT c_custkey AS idcliente, c_custkey + 999 AS numpoliza FROM customer""",
     "format_row": """SELECT c_custkey,
   concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment) AS linea,
   printf('%s|%05d', c_mktsegment, c_nationkey) AS codigo
@@ -200,160 +212,14 @@ _SPLIT_LEFT = """SELECT 'left_only' AS part, c.idsiniestro, c.idpoliza, c.o_tota
 FROM claims c WHERE NOT EXISTS (SELECT 1 FROM payments y WHERE y.idsiniestro = c.idsiniestro)"""
 _SPLIT_RIGHT = """SELECT 'right_only' AS part, y.idsiniestro, NULL, NULL, y.l_linenumber, y.l_extendedprice
 FROM payments y WHERE NOT EXISTS (SELECT 1 FROM claims c WHERE c.idsiniestro = y.idsiniestro)"""
+_SPLIT_POLICIES = """SELECT 'matched' AS part, p.numpoliza, r.idrecibo, r.importe_prima, p.c_name
+FROM receipts r JOIN policies p ON r.idpoliza = p.numpoliza
+UNION ALL
+SELECT 'right_only', p.numpoliza, NULL, NULL, p.c_name
+FROM policies p WHERE NOT EXISTS (SELECT 1 FROM receipts r WHERE r.idpoliza = p.numpoliza)"""
 
 SQL["join_split_left"] = _with(_SPLIT_MATCHED + "\nUNION ALL\n" + _SPLIT_LEFT, lists=False)
 SQL["join_split_both"] = _with(
     _SPLIT_MATCHED + "\nUNION ALL\n" + _SPLIT_LEFT + "\nUNION ALL\n" + _SPLIT_RIGHT, lists=False
 )
-SQL["join_split_right"] = _with(_SPLIT_MATCHED + "\nUNION ALL\n" + _SPLIT_RIGHT, lists=False)
-
-
-# ---------------------------------------------------------------- synthesis
-# The same rules as nestdoc.sources.synth, written as DuckDB SQL over the ids
-# the Spark side takes from the driver's tables.
-from .functions.dates import OPEN_END, days_between  # noqa: E402
-from .sources import synth as G  # noqa: E402
-
-
-def _r(i: str, stream: int) -> str:
-    s1, s2 = G.stream_salts(stream)
-    inner = f"(({i} * {G.MULTIPLIER} + {s1}) % {G.MODULUS})"
-    return f"(({inner} * {inner} + {s2}) % {G.MODULUS})"
-
-
-def _pick(choices, r: str) -> str:
-    items = ", ".join("'" + c + "'" for c in choices)
-    return f"list_extract([{items}], CAST({r} % {len(choices)} + 1 AS INTEGER))"
-
-
-def _day(start: str, end: str, r: str) -> str:
-    return f"strftime(DATE '{start}' + CAST({r} % {days_between(start, end)} AS INTEGER), '%Y-%m-%d')"
-
-
-def _day_from(start: str, end: str, r: str) -> str:
-    d = f"CAST({start} AS DATE)"
-    return f"strftime({d} + CAST({r} % (date_diff('day', {d}, DATE '{end}') + 1) AS INTEGER), '%Y-%m-%d')"
-
-
-def _minus_one(e: str) -> str:
-    return f"strftime(CAST({e} AS DATE) - 1, '%Y-%m-%d')"
-
-
-def _open_unless(cond: str, value: str) -> str:
-    return f"CASE WHEN {cond} THEN {value} ELSE '{OPEN_END}' END"
-
-
-def _ids(table: str, key: str) -> str:
-    return f"WITH ids AS (SELECT {key} AS id FROM {table}),\n"
-
-
-SYNTH_IDS = {
-    "accounts": ("customer", "c_custkey"),
-    "clients": ("customer", "c_custkey"),
-    "policies": ("customer", "c_custkey"),
-    "claims": ("orders", "o_orderkey"),
-    "payments": ("orders", "o_orderkey"),
-    "tariffs": ("customer", "c_custkey"),
-    "receipts": ("events", "event_id"),
-    "participants": ("customer", "c_custkey"),
-}
-
-_SYN: dict[str, str] = {}
-
-_SYN["accounts"] = _ids(*SYNTH_IDS["accounts"]) + f"""b AS (
-  SELECT id,
-    'ES' || lpad(CAST({_r('id', 1)} % 100 AS VARCHAR), 2, '0') || lpad(CAST({_r('id', 2)} AS VARCHAR), 10, '0')
-      || lpad(CAST({_r('id', 3)} AS VARCHAR), 10, '0') AS iban_total,
-    {_pick(G.OPEN_CLOSED, _r('id', 4))} AS situacion,
-    {_day(G.ACCOUNT_DAY_FIRST, G.DAY_LAST, _r('id', 5))} AS fecha_alta
-  FROM ids)
-SELECT CAST(id AS INTEGER) AS idcuenta, CAST(id AS INTEGER) AS idcliente,
-  substring(iban_total, 5, 4) AS empresa, substring(iban_total, 9, 4) AS oficina,
-  substring(iban_total, 13, 3) AS digcontrol, substring(iban_total, 16) AS contrato,
-  situacion, fecha_alta,
-  {_open_unless("situacion <> 'A'", _day_from('fecha_alta', G.DAY_LAST, _r('id', 6)))} AS fecha_baja,
-  iban_total
-FROM b"""
-
-_SYN["clients"] = _ids(*SYNTH_IDS["clients"]).rstrip(",\n") + f"""
-SELECT CAST(id AS INTEGER) AS idcliente,
-  'Nombre' || CAST({_r('id', 1)} % 500 AS VARCHAR) AS nombre,
-  'Apellido' || CAST({_r('id', 2)} % 300 AS VARCHAR) || ' Apellido' || CAST({_r('id', 3)} % 300 AS VARCHAR)
-    AS apellidos,
-  {_day(G.BIRTH_FIRST, G.BIRTH_LAST, _r('id', 4))} AS fecnaci,
-  translate('Calle ' || CAST({_r('id', 5)} % 200 + 1 AS VARCHAR) || ', ' || CAST({_r('id', 6)} % 100 + 1 AS VARCHAR)
-    || chr(10) || lpad(CAST({_r('id', 7)} % 100000 AS VARCHAR), 5, '0') || ' Ciudad '
-    || CAST({_r('id', 8)} % 50 AS VARCHAR), ',' || chr(10), '; ') AS direccion,
-  upper(lpad(CAST({_r('id', 9)} % 100000000 AS VARCHAR), 8, '0')
-    || substring('{G.LETTERS}', CAST({_r('id', 10)} % 26 + 1 AS INTEGER), 1)) AS numdni
-FROM ids"""
-
-_SYN["policies"] = _ids(*SYNTH_IDS["policies"]) + f"""b AS (
-  SELECT id, {_pick(G.POLICY_STATES, _r('id', 4))} AS pol_estado,
-    {_day(G.DAY_FIRST, G.DAY_LAST, _r('id', 1))} AS fecha_efecto
-  FROM ids)
-SELECT CAST(id AS INTEGER) AS numpoliza, pol_estado, fecha_efecto, {_minus_one('fecha_efecto')} AS fecha_sol,
-  {_day_from('fecha_efecto', G.EXPIRY_LAST, _r('id', 2))} AS fecha_vencimiento,
-  {_pick(G.PAYMENT_FORMS, _r('id', 3))} AS formapago,
-  {_open_unless("pol_estado = 'PA'", _day_from('fecha_efecto', G.DAY_LAST, _r('id', 5)))} AS fecha_baja,
-  CASE WHEN pol_estado = 'PA' THEN {_pick(G.END_CAUSES, _r('id', 6))} ELSE ' ' END AS causa_baja,
-  {_open_unless("pol_estado = 'PS'", _day_from('fecha_efecto', G.DAY_LAST, _r('id', 7)))} AS fecha_suspension,
-  CASE WHEN pol_estado = 'PS' THEN {_pick(G.SUSPENSION_CAUSES, _r('id', 8))} ELSE ' ' END AS causa_suspen
-FROM b"""
-
-_SYN["claims"] = _ids(*SYNTH_IDS["claims"]) + f"""b AS (
-  SELECT id, {_day(G.DAY_FIRST, G.DAY_LAST, _r('id', 3))} AS fecha_apertura,
-    {_pick(G.CLAIM_STATES, _r('id', 6))} AS estado
-  FROM ids)
-SELECT CAST(id AS INTEGER) AS idsiniestro,
-  CAST({_r('id', 1)} % {G.DEFAULT_ROWS['policies']} + 1 AS INTEGER) AS idpoliza,
-  {_day(G.DAY_FIRST, G.DAY_LAST, _r('id', 2))} AS fecha_ocurs, fecha_apertura,
-  {_open_unless("estado <> 'AB'", _day_from('fecha_apertura', G.DAY_LAST, _r('id', 4)))} AS fecha_cierre,
-  {_pick(G.CLAIM_TYPES, _r('id', 5))} AS tipo_siniestro, estado
-FROM b"""
-
-_SYN["payments"] = _ids(*SYNTH_IDS["payments"]) + f"""b AS (
-  SELECT id, {_pick(G.PAYMENT_STATES, _r('id', 2))} AS estado FROM ids)
-SELECT CAST(id AS INTEGER) AS idpago,
-  CAST({_r('id', 1)} % {G.DEFAULT_ROWS['claims']} + 1 AS INTEGER) AS idsiniestro, estado,
-  {_open_unless("estado <> 'AN'", _day(G.DAY_FIRST, G.DAY_LAST, _r('id', 3)))} AS fecha_pago,
-  CAST({_r('id', 4)} % {G.AMOUNT_SPAN} + {G.AMOUNT_MIN} AS DOUBLE) AS importe_pago,
-  {_pick(G.PAYMENT_TYPES, _r('id', 5))} AS tipo_pago
-FROM b"""
-
-_TARIFF_BASE = _ids(*SYNTH_IDS["tariffs"]) + f"""b AS (
-  SELECT id, {_r('id', 1)} % 2 AS first, {_pick(G.OPEN_CLOSED, _r('id', 2))} AS situacion,
-    {_day(G.DAY_FIRST, G.DAY_LAST, _r('id', 3))} AS fecha_alta,
-    {_r('id', 4)} AS r4, {_r('id', 5)} AS r5
-  FROM ids)
-"""
-_TARIFF_END = _open_unless("situacion <> 'A'", _day(G.DAY_FIRST, G.DAY_LAST, "r4"))
-_SYN["tariffs"] = _TARIFF_BASE + f"""SELECT CAST(id AS INTEGER) AS num_poliza, {_pick(G.TARIFFS, 'first')} AS tarifa,
-  situacion, fecha_alta, {_TARIFF_END} AS fecha_baja,
-  CAST(r5 % {G.AMOUNT_SPAN} + {G.AMOUNT_MIN} AS VARCHAR) AS importe_prima
-FROM b
-UNION ALL
-SELECT CAST(id AS INTEGER), {_pick(G.TARIFFS, '(first + 1)')}, situacion, fecha_alta, {_TARIFF_END}, '0'
-FROM b"""
-
-_SYN["receipts"] = _ids(*SYNTH_IDS["receipts"]) + f"""b AS (
-  SELECT id, {_day(G.DAY_FIRST, G.DAY_LAST, _r('id', 1))} AS fecha_efecto FROM ids)
-SELECT CAST(id AS INTEGER) AS idrecibo, {_minus_one('fecha_efecto')} AS fecha_emision, fecha_efecto,
-  CAST({_r('id', 2)} % {G.DEFAULT_ROWS['policies']} + 1 AS INTEGER) AS idpoliza,
-  {_pick(G.RECEIPT_STATES, _r('id', 3))} AS situacion, {_pick(G.RECEIPT_ORIGINS, _r('id', 4))} AS origen,
-  CAST({_r('id', 5)} % {G.AMOUNT_SPAN} + {G.AMOUNT_MIN} AS DOUBLE) AS importe_prima,
-  CAST({_r('id', 6)} % {G.CONSORTIUM_SPAN} + {G.CONSORTIUM_MIN} AS DOUBLE) AS importe_consorcio,
-  CAST({_r('id', 7)} % {G.COMMISSION_SPAN} + {G.COMMISSION_MIN} AS DOUBLE) AS importe_comision
-FROM b"""
-
-_SYN["participants"] = _ids(*SYNTH_IDS["participants"]) + f"""b AS (
-  SELECT id, {_pick(G.OPEN_CLOSED, _r('id', 1))} AS estado FROM ids)
-SELECT CAST(id AS INTEGER) AS idcliente, CAST(id + {G.PARTICIPANT_POLICY_OFFSET} AS INTEGER) AS numpoliza,
-  '{G.PARTICIPATION_TYPE}' AS tipo_intervencio, estado,
-  {_day(G.DAY_FIRST, G.DAY_LAST, _r('id', 2))} AS fecha_alta,
-  {_open_unless("estado <> 'B'", _day(G.DAY_FIRST, G.DAY_LAST, _r('id', 3)))} AS fecha_baja,
-  '{G.PARTICIPATION_ORDER}' AS orden_inter
-FROM b"""
-
-for _name, _sql in _SYN.items():
-    SQL["synth_" + _name] = _sql
+SQL["join_split_right"] = _with(_SPLIT_POLICIES, lists=False)

@@ -1,7 +1,9 @@
 """The whole job (C8): load the eight tables, build the policy document, write it.
 
-``python -m nestdoc SOURCE TARGET`` runs it from ``spark-submit``. The write is
-the job's only action; errors raise (no exit codes).
+``python -m nestdoc SOURCE TARGET`` runs it from ``spark-submit``. In the plain
+form building runs only the size checks of its lookups before the write; the
+paged form also counts heavy keys and writes those it finds. Errors raise (no
+exit codes).
 """
 
 from __future__ import annotations
@@ -19,6 +21,11 @@ from .spec import DEFAULT_MAX_ITEMS, BuildOptions
 log = logging.getLogger("nestdoc")
 
 
+def paged(max_items: int = DEFAULT_MAX_ITEMS) -> BuildOptions:
+    """Options of the paged form; the job's tables are file scans, so stable inputs."""
+    return BuildOptions(max_items=max_items, stable_inputs=True)
+
+
 def run_job(
     spark: SparkSession,
     source: str,
@@ -35,13 +42,12 @@ def run_job(
     """Load ``source`` (a folder with policies.csv, claims.csv, ...), build the
     document and write it to ``target`` (a path, or a table name).
 
-    By default lists are bounded at DEFAULT_MAX_ITEMS items (a ``page`` column
-    numbers the rows of a policy, 0 unless a list is longer); pass
-    ``BuildOptions()`` for the original shape with unbounded lists.
+    The form of the document is the caller's choice, never the data's. By
+    default it is one row per policy with 14 columns and whole lists;
+    ``opts=paged()`` gives rows (policy, page) whose pages follow the lists'
+    sort order and hold DEFAULT_MAX_ITEMS items of a list at most.
     """
-    if opts is None:
-        # the tables are file scans: stable inputs (see BuildOptions)
-        opts = BuildOptions(max_items=DEFAULT_MAX_ITEMS, stable_inputs=True)
+    opts = opts or BuildOptions()
     tables = load_tables(spark, source, fmt=fmt, strict=strict)
     doc = insurance.policy_document(
         tables, opts, how_tariffs=how_tariffs, how_participants=how_participants
@@ -63,8 +69,8 @@ def main(argv: list[str] | None = None) -> RunReport:
     p.add_argument("--files", type=int, default=None, help="number of output files")
     p.add_argument("--table", action="store_true", help="publish as a table named TARGET")
     p.add_argument(
-        "--max-items", type=int, default=DEFAULT_MAX_ITEMS,
-        help="page lists at this many items (0: one unbounded list per key, the original shape)",
+        "--max-items", type=int, default=0,
+        help="page lists at this many items (0: one whole list per key)",
     )
     p.add_argument("--persist", choices=sorted(LEVELS), default=None)
     p.add_argument("--checkpoint-lists", action="store_true", help="checkpoint nested lists before the joins")

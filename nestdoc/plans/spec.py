@@ -254,7 +254,7 @@ def _lookups(spec: DocSpec) -> list[Lookup]:
 
 
 def heavy_key_counts(
-    spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int, lookup_rows: dict | None = None
+    spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int, lookup_rows: dict | None = None, nulls: bool = True
 ) -> dict[int, int]:
     """For every Child of the tree, how many parent keys have more than
     ``max_items`` child rows (by ``id(child)``; a null key counts as a key).
@@ -265,6 +265,8 @@ def heavy_key_counts(
     count per map task, then one exchange of (key, count) pairs); only the
     heavy keys' tags (at most rows / max_items per child) meet in the union.
 
+    ``nulls=False`` leaves null keys out: rows that no parent takes need no pages.
+
     Given a dict as ``lookup_rows``, the same job also counts the rows of the
     tables of every Lookup's tree (the row check of its broadcast, see
     lookup_fits) and fills it: ``id(lookup) -> [rows per table]``.
@@ -272,7 +274,7 @@ def heavy_key_counts(
     entries = _child_entries(spec)
     lookups = _lookups(spec) if lookup_rows is not None else []
     frames = [
-        _prepare(ch.spec, tables)
+        (_prepare(ch.spec, tables) if nulls else _prepare(ch.spec, tables).where(q(ch.fk).isNotNull()))
         .groupBy(q(ch.fk))
         .count()
         .where(F.col("count") > max_items)
@@ -325,7 +327,7 @@ def _nest_rows(rows: DataFrame, ch: Child, tables, opts: BuildOptions, heavy) ->
     lists = nest(
         rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items,
         key_counts_from=base_key_counts(ch.spec, ch.fk, tables) if opts.max_items and exact else None,
-        heavy_keys=n_heavy, checkpoint=not (opts.stable_inputs and leaf),
+        heavy_keys=n_heavy, checkpoint=not (opts.stable_inputs and leaf), ordered_pages=opts.sort,
     )
     return lists, opts.max_items is not None
 
@@ -338,7 +340,7 @@ def nest_child(ch: Child, tables: Mapping[str, DataFrame], opts: BuildOptions |
     rows = _build(ch.spec, tables, opts, heavy)
     lists, paged = _nest_rows(rows, ch, tables, opts, heavy)
     if opts.max_items and not paged:
-        lists = lists.select(q(ch.fk), F.lit(0).alias(PAGE), q(ch.out))
+        lists = lists.select(q(ch.fk), F.lit(0).cast("bigint").alias(PAGE), q(ch.out))
     return lists
 
 
@@ -372,7 +374,7 @@ def build(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions | N
     if opts.max_items:
         # one job: heavy keys of every list and rows of every lookup's tables
         rows: dict = {}
-        heavy = heavy_key_counts(spec, tables, opts.max_items, lookup_rows=rows)
+        heavy = heavy_key_counts(spec, tables, opts.max_items, lookup_rows=rows, nulls=False)
         heavy.update({("rows", k): v for k, v in rows.items()})
     return _build(spec, tables, opts, heavy)
 
@@ -387,7 +389,8 @@ def _build(spec: DocSpec, tables, opts: BuildOptions, heavy) -> DataFrame:
         raise ValueError(f"table {spec.table!r} has children but no key")
     if opts.max_items and PAGE in df.columns:
         # its rows repeat once per page of a looked-up list; attaching the
-        # children to every copy would repeat their items
+        # children to every copy would repeat their items (a table's own
+        # column of that name would clash with the page number)
         raise ValueError(
             f"table {spec.table!r} has children and a lookup whose lists are paged; "
             "raise max_items or move the lookup's lists below a child"
@@ -414,7 +417,7 @@ def _build(spec: DocSpec, tables, opts: BuildOptions, heavy) -> DataFrame:
             df = df.join(side.hint("merge"), spec.key, ch.how)
         out = df.select(*base_cols, *[q(ch.out) for ch, _, _ in lists])
         if opts.max_items:
-            out = out.select(*base_cols, F.lit(0).alias(PAGE), *[q(ch.out) for ch, _, _ in lists])
+            out = out.select(*base_cols, F.lit(0).cast("bigint").alias(PAGE), *[q(ch.out) for ch, _, _ in lists])
     return out.persist(opts.persist) if opts.persist else out
 
 
@@ -430,7 +433,7 @@ def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
     sides = []
     for ch, side, paged in lists:
         if not paged:
-            side = side.select(q(key), F.lit(0).alias(PAGE), q(ch.out))
+            side = side.select(q(key), F.lit(0).cast("bigint").alias(PAGE), q(ch.out))
         if ch.how == "inner":
             # every key with children has a page 0
             df = df.join(side.where(F.col(PAGE) == 0).select(key).hint("merge"), key, "left_semi")
@@ -440,6 +443,6 @@ def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
     with_pages = pages.join(df, key, "inner").select(*base_cols, q(PAGE), *outs)
     first_pages = pages.where(F.col(PAGE) == 0).select(key)
     without = df.join(first_pages, key, "left_anti").select(
-        *base_cols, F.lit(0).alias(PAGE), *[F.lit(None).cast(pages.schema[ch.out].dataType).alias(ch.out) for ch, _, _ in lists]
+        *base_cols, F.lit(0).cast("bigint").alias(PAGE), *[F.lit(None).cast(pages.schema[ch.out].dataType).alias(ch.out) for ch, _, _ in lists]
     )
     return with_pages.unionByName(without)

@@ -6,6 +6,8 @@ when the session does not carry them yet.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -61,8 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     Read from the session's ``spark.checkpoint.dir`` (Spark also sets the
-    context's checkpoint folder from it). Only when the session has none (a
-    test on one machine) is a fresh local folder taken and set on the context;
+    context's checkpoint folder from it). Only when the session has none and
+    its master is this process (a test on one machine) is a fresh local folder
+    taken, set on the context and removed when the process ends; on a cluster
+    a missing setting is an error, as executors do not share local folders.
     ``spark.checkpoint.dir`` itself cannot be changed on a running session.
     """
     sc = spark.sparkContext
@@ -71,7 +75,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path and current:
         path = current.rstrip("/").rsplit("/", 1)[0]  # Spark adds a unique subfolder
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="nestdoc-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     if current is None:
         sc.setCheckpointDir(path)
     return path

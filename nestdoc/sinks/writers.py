@@ -8,6 +8,7 @@ collapsing to one task is never done implicitly).
 
 from __future__ import annotations
 
+import logging
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -23,6 +24,8 @@ MEMORY_AND_DISK = StorageLevel(True, True, False, False, 1)
 MEMORY_ONLY = StorageLevel(False, True, False, False, 1)
 # ------------------------------------------------------------------------------
 
+log = logging.getLogger("nestdoc")
+
 LEVELS = {
     "memory_disk_offheap": MEMORY_DISK_OFFHEAP,
     "memory_and_disk": MEMORY_AND_DISK,
@@ -41,14 +44,27 @@ class RunReport:
 
 @contextmanager
 def job_group(df: DataFrame, group: str, description: str):
-    """Label the jobs run inside the block (K4)."""
+    """Label the jobs run inside the block (K4); the caller's own labels come back after it."""
     sc = df.sparkSession.sparkContext
+    names = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+    before = {name: sc.getLocalProperty(name) for name in names}
     sc.setJobGroup(group, description)
     try:
         yield
     finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-        sc.setLocalProperty("spark.job.description", None)
+        for name, value in before.items():
+            sc.setLocalProperty(name, value)
+
+
+@contextmanager
+def timed(target: str):
+    """Seconds of the block so far; a failure is logged with them and raised on (K5)."""
+    start = time.monotonic()
+    try:
+        yield lambda: time.monotonic() - start
+    except Exception:
+        log.error("writing %s failed after %.1f s", target, time.monotonic() - start)
+        raise
 
 
 def _prepare(df: DataFrame, files: int | None, name: str):
@@ -70,14 +86,14 @@ def write_parquet(
     label: str = "document write",
 ) -> RunReport:
     """Write ``df`` as Parquet (K1, K2); the row count comes from the same pass (K5)."""
-    start = time.monotonic()
-    observed, obs = _prepare(df, files, "parquet_sink")
-    writer = observed.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    with job_group(df, "nestdoc-write", label):
-        writer.parquet(path)
-    return RunReport(path, int(obs.get["rows"]), time.monotonic() - start)
+    with timed(path) as seconds:
+        observed, obs = _prepare(df, files, "parquet_sink")
+        writer = observed.write.mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        with job_group(df, "nestdoc-write", label):
+            writer.parquet(path)
+        return RunReport(path, int(obs.get["rows"]), seconds())
 
 
 def publish(
@@ -93,11 +109,11 @@ def publish(
     Lists are stored in the standard 3-level list layout, so readers that
     infer lists from Parquet see lists.
     """
-    start = time.monotonic()
-    observed, obs = _prepare(df, files, "table_sink")
-    with job_group(df, "nestdoc-publish", label):
-        observed.write.mode(mode).format("parquet").saveAsTable(table)
-    return RunReport(table, int(obs.get["rows"]), time.monotonic() - start)
+    with timed(table) as seconds:
+        observed, obs = _prepare(df, files, "table_sink")
+        with job_group(df, "nestdoc-publish", label):
+            observed.write.mode(mode).format("parquet").saveAsTable(table)
+        return RunReport(table, int(obs.get["rows"]), seconds())
 
 
 def persist(df: DataFrame, level: str | StorageLevel | None) -> DataFrame:

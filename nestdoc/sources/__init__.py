@@ -1,4 +1,4 @@
-"""Inputs: fixed schemas, delimited/Parquet readers, stand-in roles, synthesis."""
+"""Inputs: fixed schemas, delimited/Parquet readers, stand-in roles."""
 
 from .delimited import load_tables, read_delimited, read_parquet
 from .schemas import SCHEMAS

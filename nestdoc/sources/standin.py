@@ -41,7 +41,7 @@ def policies(customer: DataFrame) -> DataFrame:
 
 
 def claims(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("o_orderstatus") == "F").select(
+    return orders.select(
         F.col("o_orderkey").alias("idsiniestro"),
         F.col("o_custkey").alias("idpoliza"),
         _day("o_orderdate").alias("fecha_ocurs"),
@@ -72,35 +72,34 @@ def receipts(events: DataFrame) -> DataFrame:
 
 
 def tariffs(customer: DataFrame) -> DataFrame:
-    """Two rows per customer outside BUILDING: TS1 carries the balance, TF1 zero."""
+    """Two rows per customer: TS1 carries the balance, TF1 zero."""
     two = F.array(
         F.struct(F.lit("TS1").alias("tarifa"), F.col("c_acctbal").alias("importe_prima")),
         F.struct(F.lit("TF1").alias("tarifa"), F.lit(0.0).alias("importe_prima")),
     )
-    return (
-        customer.where(F.col("c_mktsegment") != "BUILDING")
-        .select(F.col("c_custkey").alias("num_poliza"), F.inline(two))
-    )
+    return customer.select(F.col("c_custkey").alias("num_poliza"), F.inline(two))
 
 
 def participants(customer: DataFrame) -> DataFrame:
-    return customer.where(F.col("c_acctbal") > 0).select(
-        F.col("c_nationkey").alias("idcliente"),
+    """Every customer takes part in its own policy, so a client's accounts are copied once."""
+    return customer.select(
+        F.col("c_custkey").alias("idcliente"),
         F.col("c_custkey").alias("numpoliza"),
         F.col("c_mktsegment").alias("tipo_intervencio"),
     )
 
 
-def clients(nation: DataFrame) -> DataFrame:
-    return nation.select(F.col("n_nationkey").alias("idcliente"), "n_name", "n_regionkey")
+def clients(customer: DataFrame) -> DataFrame:
+    return customer.select(F.col("c_custkey").alias("idcliente"), F.col("c_name").alias("n_name"), F.col("c_nationkey").alias("n_regionkey"))
 
 
-def accounts(supplier: DataFrame) -> DataFrame:
-    return supplier.where(F.col("s_acctbal") > 5000).select(
-        F.col("s_suppkey").alias("idcuenta"),
-        F.col("s_nationkey").alias("idcliente"),
-        "s_name",
-        "s_acctbal",
+def accounts(events: DataFrame) -> DataFrame:
+    """A customer's events are its client's accounts; customers without events have none."""
+    return events.select(
+        F.col("event_id").alias("idcuenta"),
+        F.col("user_id").alias("idcliente"),
+        F.col("event_type").alias("s_name"),
+        F.col("value").alias("s_acctbal"),
     )
 
 
@@ -112,8 +111,8 @@ ROLES = {
     "receipts": ("events", receipts),
     "tariffs": ("customer", tariffs),
     "participants": ("customer", participants),
-    "clients": ("nation", clients),
-    "accounts": ("supplier", accounts),
+    "clients": ("customer", clients),
+    "accounts": ("events", accounts),
 }
 
 

@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import OPEN_END, as_text, days_between
-from ..functions.text import clean_text, pick, slice_text
+from nestdoc.functions.dates import OPEN_END, as_text, days_between
+from nestdoc.functions.text import clean_text, pick, slice_text
 
 # --- fixed values: generator rules -------------------------------------------
 DAY_FIRST = "2020-10-11"

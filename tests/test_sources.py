@@ -67,7 +67,7 @@ def test_missing_source_fails_the_whole_load(spark, tmp_dir):
 
 
 def test_load_all_eight_tables(spark, tmp_dir):
-    from nestdoc.sources.synth import synth_all
+    from .synth_tables import synth_all
 
     for name, df in synth_all(spark, {"policies": 30, "claims": 40, "payments": 50, "receipts": 20,
                                       "tariffs": 30, "clients": 10, "accounts": 10, "participants": 10}).items():

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from nestdoc.functions.dates import OPEN_END
 from nestdoc.plans import insurance as I
-from nestdoc.sources import synth as G
+from . import synth_tables as G
 from nestdoc.sources.schemas import SCHEMAS
 
 
