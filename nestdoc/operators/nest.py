@@ -60,15 +60,39 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _comparator(order_by: Sequence[str]):
+    """array_sort comparator on some fields, nulls first."""
+
+    def cmp(a: Column, b: Column) -> Column:
+        result = F.lit(0)
+        for f in reversed(list(order_by)):
+            x, y = a[f], b[f]
+            result = (
+                F.when(x.isNull() & y.isNull(), result)
+                .when(x.isNull(), F.lit(-1))
+                .when(y.isNull(), F.lit(1))
+                .when(x < y, F.lit(-1))
+                .when(x > y, F.lit(1))
+                .otherwise(result)
+            )
+        return result
+
+    return cmp
+
+
 def collect_sorted(
-    item: Column, *, sort: bool = True, order_by: Sequence[str] | None = None
+    item: Column, *, sort: bool = True, order_by: Sequence[str] | None = None, orderable: Sequence[str] | None = None
 ) -> Column:
     """collect_list of ``item``, sorted by all its fields, or by ``order_by`` and then all fields
-    (so that ties fall alike on every run)."""
+    (so that ties fall alike on every run). ``orderable`` names the fields that have an order
+    where some have none (maps): ties then fall by those alone."""
     if not sort:
         return F.collect_list(item)
     if not order_by:
         return F.sort_array(F.collect_list(item))
+    if orderable is not None:
+        by = [*order_by, *[c for c in orderable if c not in order_by]]
+        return F.array_sort(F.collect_list(item), _comparator(by))
     lead = F.struct(*[q(c).alias(f"o{k}") for k, c in enumerate(order_by)])
     whole = F.sort_array(F.collect_list(F.struct(lead.alias("lead"), item.alias("item"))))
     return F.transform(whole, lambda x: x["item"])
@@ -120,7 +144,10 @@ def nest(
     keys = _as_list(key)
     fields = item_fields(df, keys, exclude, cols)
     item = F.struct(*[q(c) for c in fields])
-    collect = collect_sorted(item, sort=sort, order_by=order_by).alias(out)
+    plain = [c for c in fields if not _unorderable(df.schema[c].dataType)]
+    collect = collect_sorted(
+        item, sort=sort, order_by=order_by, orderable=plain if len(plain) < len(fields) else None
+    ).alias(out)
     key_cols = [q(k) for k in keys]
     if max_items is None:
         if shuffle_first:
