@@ -142,17 +142,29 @@ def repeated_passages(
             wanted = mix(lists.flatten().to_numpy(zero_copy_only=False).view(U64) + mix(of.astype(U64)))
             use = np.isin(mix(group + mix(row.astype(U64))), wanted)
             runs, row = runs[use], row[use]
-            start, row_ = runs - w.first[row], pa.array(row)
+            hashes, start = run_hashes(w, runs, min_words), runs - w.first[row]
+            # One row for a document's occurrences of a run, with all their places.
+            order = np.lexsort((start, hashes, row))
+            row, hashes, start = row[order], hashes[order], start[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+            begin = np.flatnonzero(new)
+            row_ = pa.array(row[new])
+            places = pa.ListArray.from_arrays(pa.array(np.append(begin, len(row)), pa.int32()), pa.array(start))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(row_), part.column(1).take(row_), pa.array(run_hashes(w, runs, min_words).view(np.int64)), pa.array(start)],
-                names=["id", "th", "run", "start"],
+                [part.column(0).take(row_), part.column(1).take(row_), pa.array(hashes[new].view(np.int64)), places],
+                names=["id", "th", "run", "starts"],
             )
 
-    schema = T.StructType([id_field, th_field, T.StructField("run", T.LongType()), T.StructField("start", T.LongType())])
+    starts = T.StructField("starts", T.ArrayType(T.LongType()))
+    schema = T.StructType([id_field, th_field, T.StructField("run", T.LongType()), starts])
     runs = some.mapInArrow(extend, schema)
-    first = runs.groupBy("run").agg(F.min(F.struct("id", "th", "start")).alias("f"), F.count("*").alias("all")).where(F.col("all") > 1)
-    later = runs.join(first.select("run", "f"), "run").where(~F.struct("id", "th", "start").eqNullSafe(F.col("f")))
-    later = later.select("id", "th", F.col("f.id").alias("first_id"), "start")
+    times = F.sum(F.size("starts")).alias("all")
+    first = runs.groupBy("run").agg(F.min(F.struct("id", "th")).alias("f"), times).where(F.col("all") > 1)
+    own = F.struct("id", "th").eqNullSafe(F.col("f"))
+    met = runs.join(first.select("run", "f"), "run").where(~own | (F.size("starts") > 1))
+    again = F.when(own, F.expr("slice(starts, 2, size(starts))")).otherwise(F.col("starts"))
+    later = met.select("id", "th", F.col("f.id").alias("first_id"), F.explode(again).alias("start"))
     return merged(later, ["id", "th", "first_id"], min_words).unionByName(
         copies.select("id", "th", "first_id", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
     )
