@@ -124,9 +124,9 @@ def mix_documents(
     if weight:
         ranked = _per_word(pinned(ranked.withColumn("due", F.lit(0.0))), most)
     else:
-        ranked = ranked.withColumn("due", F.coalesce(F.col("target") / F.col("source_size"), F.lit(0.0)))
+        ranked = ranked.withColumn("due", F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)))
     p = F.col("due") - F.floor("due")
-    odds = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
+    odds = F.try_divide(F.col("u") / (1 - F.col("u")), p / (1 - p))
     ranked = pinned(
         ranked.withColumn("whole", F.when(F.col("size") > 0, F.floor("due")).otherwise(0))
         # Pareto's rank on 0..1, which keeps the order: r / (1 + r)

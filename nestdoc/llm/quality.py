@@ -87,7 +87,7 @@ def text_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def features() -> dict[str, Column]:
     """Transformed statistics of a text that passes the base rules."""
-    n = F.col("n_words").cast("double")
+    n = F.nullif(F.col("n_words").cast("double"), F.lit(0.0))
     return dict(
         zip(
             FEATURES,
