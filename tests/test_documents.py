@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from nestdoc import BuildOptions, Child, DocSpec, Lookup, build
 from nestdoc.operators.nest import PAGE
 from nestdoc.plans import insurance as I
+from nestdoc.plans.spec import heavy_key_counts
 
 from .fixtures import OPEN, tables
 
@@ -270,3 +271,47 @@ def test_pre_pass_counts_lookup_tables_in_the_same_job(spark):
     assert rows == {id(lk): [t["clients"].count(), t["accounts"].count()]}
     assert lookup_fits(lk.spec, t, 1000, 1 << 20, counts=rows[id(lk)])
     assert not lookup_fits(lk.spec, t, 1, 1 << 20, counts=rows[id(lk)])
+
+
+def test_pages_put_together_are_the_whole_lists(spark):
+    """Form (b) against form (a): the pages of a policy, in order, hold its lists item by item."""
+    from nestdoc.sources import standin
+
+    from .conftest import SF001
+
+    roles = standin.load_roles(spark, SF001)
+    whole = {r.numpoliza: r for r in I.policy_document(roles).collect()}
+    pages = {}
+    for r in I.policy_document(roles, BuildOptions(max_items=3, stable_inputs=True)).collect():
+        pages.setdefault(r.numpoliza, []).append(r)
+    assert set(pages) == set(whole)
+    for key, rows in pages.items():
+        rows.sort(key=lambda r: r.page)
+        for col in ("datos_recibos", "datos_tarifa"):
+            assert all(len(r[col] or []) <= 3 for r in rows)
+            assert [i for r in rows for i in r[col] or []] == (whole[key][col] or [])
+
+
+def test_null_parent_keys_never_cause_pages(spark):
+    parents = spark.createDataFrame([(1,)], "k int")
+    kids = spark.createDataFrame([(1, 0)] + [(None, i) for i in range(50)], "k int, v int")
+    spec = DocSpec("p", key="k", children=(Child(DocSpec("c"), fk="k", out="kids"),))
+    assert set(heavy_key_counts(spec, {"p": parents, "c": kids}, 5, nulls=False).values()) == {0}
+    doc = build(spec, {"p": parents, "c": kids}, BuildOptions(max_items=5)).collect()
+    assert [(r.page, len(r.kids)) for r in doc] == [(0, 1)]
+
+
+def test_default_job_output_has_the_columns_of_the_original(spark, tmp_dir):
+    import os
+
+    from nestdoc.plans.job import paged, run_job
+
+    for name, df in tables(spark).items():
+        df.write.parquet(os.path.join(tmp_dir, "in", f"{name}.parquet"))
+    out = os.path.join(tmp_dir, "out")
+    run_job(spark, os.path.join(tmp_dir, "in"), out, fmt="parquet")
+    plain = spark.read.parquet(out)
+    assert plain.columns == [f.name for f in I.policy_document(tables(spark)).schema.fields] and len(plain.columns) == 14
+    assert "page" not in plain.schema.simpleString()
+    run_job(spark, os.path.join(tmp_dir, "in"), out, fmt="parquet", opts=paged(2))
+    assert "page" in spark.read.parquet(out).columns

@@ -107,3 +107,23 @@ def test_split_parts_agree_with_python(spark, lk, rk):
     assert rows(parts.matched) == want_matched
     assert rows(parts.left_only) == collections.Counter((a, i) for i, a in enumerate(lk) if a not in rset or a is None)
     assert rows(parts.right_only) == collections.Counter((b, j) for j, b in enumerate(rk) if b not in lset or b is None)
+
+
+def test_tagged_parts_are_those_of_the_split(spark):
+    from nestdoc.operators.joins import join_tagged
+
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, x string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (3, 12), (None, 13)], "k int, y int")
+    parts = join_split(left, right, ["k"], right_cols=["y"], mode=3)
+    want = (
+        [("matched", *r) for r in parts.matched.select("k", "x", "y").collect()]
+        + [("left_only", *r, None) for r in parts.left_only.collect()]
+        + [("right_only", r.k, None, r.y) for r in parts.right_only.collect()]
+    )
+    for mode, names in ((2, {"matched", "left_only"}), (3, {"matched", "left_only", "right_only"}), (4, {"matched", "right_only"})):
+        got = join_tagged(left, right, "k", right_cols=["y"], mode=mode)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(r) for r in want if r[0] in names)
+    with pytest.raises(ValueError):
+        join_tagged(left, right, "k", mode=1)
+    with pytest.raises(ValueError):
+        join_tagged(left, right.withColumnRenamed("y", "x"), "k", right_cols="*")

@@ -213,3 +213,28 @@ def test_ordered_pages_give_positions_in_the_whole_list(spark):
     want = payments.select("idsiniestro", (F.row_number().over(w) - 1).alias("pos"), *fields)
     assert got.columns == want.columns
     assert bag(got) == bag(want)
+
+
+@pytest.mark.parametrize("conf", [None, ("spark.sql.exchange.reuse", "false"), ("spark.sql.adaptive.enabled", "false")])
+@pytest.mark.parametrize("key", ["k", "constant"])
+def test_ordered_pages_keep_every_row_in_order(spark, conf, key):
+    """Pages follow order_by, then the other fields, are dense and hold the bound: whatever the
+    plan does with the range sort."""
+    before = conf and spark.conf.get(conf[0])
+    if conf:
+        spark.conf.set(*conf)
+    try:
+        df = spark.range(0, 6000, 1, 7).select(
+            (F.col("id") % 3).alias("k"), F.lit(1).alias("constant"), (F.col("id") * 7919 % 100).alias("price"), "id"
+        )
+        df = df.select(key, "price", "id")
+        rows = nest(df, key, "items", max_items=70, ordered_pages=True, order_by=["price"]).collect()
+    finally:
+        if conf:
+            spark.conf.set(conf[0], before)
+    by_key = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[key], r[PAGE])):
+        assert len(r["items"]) <= 70 and r[PAGE] == len(by_key[r[key]]) // 70
+        by_key[r[key]] += [(i["price"], i["id"]) for i in r["items"]]
+    assert sum(map(len, by_key.values())) == 6000
+    assert all(items == sorted(items) for items in by_key.values())

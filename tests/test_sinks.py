@@ -67,3 +67,46 @@ def test_checkpoint_folder_is_usable(spark):
     root = ensure_checkpoint_dir(spark)
     assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/nestdoc-scratch/x-")
     assert spark.range(5).checkpoint(eager=True).count() == 5
+
+
+def test_failed_write_is_reported_with_its_seconds(spark, tmp_dir, caplog):
+    import pytest
+
+    bad = tables(spark)["claims"].selectExpr("raise_error('no') as x")
+    with caplog.at_level("ERROR", logger="nestdoc"), pytest.raises(Exception, match="no"):
+        write_parquet(bad, f"{tmp_dir}/bad")
+    assert "failed after" in caplog.text and f"{tmp_dir}/bad" in caplog.text
+
+
+def test_callers_job_group_comes_back(spark, tmp_dir):
+    sc = spark.sparkContext
+    sc.setJobGroup("mine", "my work")
+    write_parquet(tables(spark)["claims"], f"{tmp_dir}/x")
+    assert sc.getLocalProperty("spark.jobGroup.id") == "mine" and sc.getLocalProperty("spark.job.description") == "my work"
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    sc.setLocalProperty("spark.job.description", None)
+
+
+def test_no_local_scratch_on_a_cluster():
+    import pytest
+
+    from nestdoc.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
