@@ -227,6 +227,50 @@ def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paged_document_summary(spark.read.parquet(path))
 
 
+# list -> its fields as compared by document_items; money as exact two decimals
+ITEM_FIELDS = {
+    "datos_sin": ["idsiniestro", "fecha_ocurs", "o_orderstatus", "o_orderpriority", "$o_totalprice"],
+    "datos_pago": [
+        "l_linenumber", "l_partkey", "l_suppkey", "$l_quantity", "$l_extendedprice", "$l_discount", "$l_tax", "l_returnflag",
+        "l_linestatus", "fecha_pago",
+    ],
+    "datos_recibos": ["idrecibo", "fecha_efecto", "event_type", "$importe_prima", "props"],
+    "datos_tarifa": ["tarifa", "$importe_prima"],
+    "datos_cliente": ["idcliente", "tipo_intervencio", "n_name", "n_regionkey"],
+    "datos_cuenta": ["idcuenta", "s_name", "$s_acctbal"],
+}
+
+
+def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C7 item by item: every element of the document's four lists and two inner lists with its
+    place and all its fields as text. The document is written once and read for each list."""
+    path = scratch_path(spark, "document_items")
+    write_parquet(I.policy_document(_roles(spark, sf_dir)), path)
+    doc = spark.read.parquet(path)
+
+    def text(fields: list[str]):
+        parts = [F.col(f[1:]).cast("decimal(18,2)") if f[0] == "$" else F.col(f) for f in fields]
+        return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("~")) for p in parts])
+
+    def items(name: str, parent: str | None = None, within: str | None = None) -> DataFrame:
+        rows = doc.select("numpoliza", within or name)
+        if within:
+            rows = unnest(rows, within, outer=False).select("numpoliza", F.col(parent).alias("_parent"), name)
+        rows = unnest(rows, name, outer=False, position="pos")
+        of = F.col("_parent").cast("bigint") if within else F.lit(None).cast("bigint")
+        return rows.select(
+            "numpoliza", F.lit(name).alias("list"), of.alias("parent"), F.col("pos").cast("bigint").alias("pos"),
+            text(ITEM_FIELDS[name]).alias("item"),
+        )
+
+    parts = [items(name) for name in ("datos_sin", "datos_recibos", "datos_tarifa", "datos_cliente")]
+    parts += [items("datos_pago", "idsiniestro", "datos_sin"), items("datos_cuenta", "idcliente", "datos_cliente")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ---------------------------------------------------------------- sources
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer written as delimited text, read back by position with a fixed schema."""
@@ -502,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "policy_core": policy_core,
     "participants_by_policy": participants_by_policy,
     "parquet_sink": parquet_sink,
+    "document_items": document_items,
     "dropped_policies": dropped_policies,
     "csv_scan": csv_scan,
     "join_inner_cols": join_inner_cols,

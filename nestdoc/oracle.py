@@ -223,3 +223,45 @@ SQL["join_split_both"] = _with(
     _SPLIT_MATCHED + "\nUNION ALL\n" + _SPLIT_LEFT + "\nUNION ALL\n" + _SPLIT_RIGHT, lists=False
 )
 SQL["join_split_right"] = _with(_SPLIT_POLICIES, lists=False)
+
+
+def _items(name: str, key: str, parent: str, group: str, fields: list[str], source: str) -> str:
+    """Rows of one list: place by all fields in order within a group, fields as text."""
+    plain = [f.lstrip("$") for f in fields]
+    text = ", ".join(f"coalesce(CAST({f'CAST({f[1:]} AS DECIMAL(18,2))' if f[0] == '$' else f} AS VARCHAR), '~')" for f in fields)
+    order = ", ".join(f"{f} NULLS FIRST" for f in plain)
+    return f"""SELECT {key} AS numpoliza, '{name}' AS list, CAST({parent} AS BIGINT) AS parent,
+  CAST(row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS BIGINT) AS pos, concat_ws('|', {text}) AS item
+FROM {source}"""
+
+
+SQL["document_items"] = _with(
+    "\nUNION ALL\n".join(
+        [
+            _items(
+                "datos_sin", "idpoliza", "NULL", "idpoliza",
+                ["idsiniestro", "fecha_ocurs", "o_orderstatus", "o_orderpriority", "$o_totalprice"], "claims",
+            ),
+            _items(
+                "datos_recibos", "idpoliza", "NULL", "idpoliza",
+                ["idrecibo", "fecha_efecto", "event_type", "$importe_prima", "props"], "receipts",
+            ),
+            _items("datos_tarifa", "num_poliza", "NULL", "num_poliza", ["tarifa", "$importe_prima"], "tariffs"),
+            _items(
+                "datos_cliente", "numpoliza", "NULL", "numpoliza", ["idcliente", "tipo_intervencio", "n_name", "n_regionkey"],
+                "(SELECT p.*, n_name, n_regionkey FROM participants p LEFT JOIN clients USING (idcliente))",
+            ),
+            _items(
+                "datos_pago", "idpoliza", "idsiniestro", "idsiniestro",
+                ["l_linenumber", "l_partkey", "l_suppkey", "$l_quantity", "$l_extendedprice", "$l_discount", "$l_tax",
+                 "l_returnflag", "l_linestatus", "fecha_pago"],
+                "(SELECT y.*, c.idpoliza FROM payments y JOIN claims c USING (idsiniestro))",
+            ),
+            _items(
+                "datos_cuenta", "numpoliza", "idcliente", "numpoliza, idcliente", ["idcuenta", "s_name", "$s_acctbal"],
+                "(SELECT a.*, p.numpoliza FROM accounts a JOIN participants p USING (idcliente))",
+            ),
+        ]
+    ),
+    lists=False,
+)
