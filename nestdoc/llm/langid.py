@@ -45,7 +45,7 @@ SAMPLE_CHARS = 300
 MAX_LANGUAGES = 200
 TABLE_BYTES = 48 << 20
 STRETCH = 1024
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _BLANK, _SHARED, _OWN = 0, 1, 33  # symbols: blank, 32 that rarer letters share, then one a letter
 _MOST_SYMBOLS = 160
@@ -219,9 +219,11 @@ def predict(model: LanguageModel, column: pa.Array) -> tuple[list[str], np.ndarr
     n = len(column)
     data, offsets = utf8(column)
     points = _code_points(data.tobytes().decode("utf-8", "replace"))
-    leads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    row = np.repeat(np.arange(n), np.diff(leads[offsets]))
+    leads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int32)))
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(leads[offsets]))
+    del leads
     s, row = read_symbols(points, row, model.symbol_of)
+    del points
     lettered = np.bincount(row[s != _BLANK], minlength=n) > 0
     if not model.languages:
         return [UNDETERMINED] * n, np.zeros(n)
