@@ -42,32 +42,47 @@ CHUNK_BYTES = 2 << 20
 
 # Wordings that licences are granted by.
 NOTICES = {
-    "agpl": ["GNU Affero General Public License", "licensed under the AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "agpl": [
+        "GNU Affero General Public License", "licensed under the AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "AGPL-3.0", "SPDX-License-Identifier: AGPL",
+    ],
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0", "Apache License 2.0", "SPDX-License-Identifier: Apache-2.0",
-        "you may not use this file except in compliance with the License",
+        "you may not use this file except in compliance with the License", "Apache License", "Apache-2.0",
     ],
     "bsd": [
         "Licensed under the BSD License", "BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "BSD License", "BSD 2-Clause License", "BSD-2-Clause", "BSD-3-Clause", "SPDX-License-Identifier: BSD-2-Clause",
+    ],
+    "cc-by": ["Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International License", "CC BY 4.0", "SPDX-License-Identifier: CC-BY-4.0"],
+    "cc-by-nc": [
+        "Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
-    "cc-by": ["Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
-    "cc-by-sa": ["Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
-    "cc0": ["CC0 1.0 Universal", "dedicated to the public domain under CC0", "waived all copyright and related rights"],
+    "cc-by-sa": [
+        "Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ],
+    "cc0": ["CC0 1.0 Universal", "dedicated to the public domain under CC0", "waived all copyright and related rights", "CC0 1.0", "SPDX-License-Identifier: CC0-1.0"],
     "gpl": [
         "licensed under the GNU General Public License, version 3", "GNU General Public License version 2",
         "SPDX-License-Identifier: GPL-3.0-only", "under the terms of the GNU General Public License",
+        "GNU General Public License", "GPL-2.0", "GPL-3.0", "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL",
+    ],
+    "isc": [
+        "ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
     ],
-    "isc": ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "lgpl": ["GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "lgpl": ["GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1", "LGPL-3.0", "SPDX-License-Identifier: LGPL"],
     "mit": [
         "Released under the MIT License", "Licensed under the MIT License", "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "MIT License",
     ],
-    "mpl-2.0": ["Mozilla Public License, Version 2.0", "SPDX-License-Identifier: MPL-2.0"],
-    "proprietary": ["All rights reserved. Unauthorized copying is prohibited", "Proprietary and confidential"],
-    "unlicense": ["This is free and unencumbered software released into the public domain"],
+    "mpl-2.0": ["Mozilla Public License, Version 2.0", "SPDX-License-Identifier: MPL-2.0", "Mozilla Public License", "MPL-2.0"],
+    "proprietary": ["All rights reserved. Unauthorized copying is prohibited", "Proprietary and confidential", "All rights reserved"],
+    "unlicense": ["This is free and unencumbered software released into the public domain", "SPDX-License-Identifier: Unlicense"],
 }
 #: Sentences that speak of licences without granting one.
 OTHERS = [
@@ -167,11 +182,17 @@ def fit(paragraphs: list[str], seed: int = 0) -> Model:
         first = np.cumsum(w.count) - w.count
         templates.append([np.unique(w.grams[f : f + c][n : 2 * n - 1] if n > 1 else w.grams[f : f + c]) for f, c, n in zip(first, w.count, w.words, strict=True)])
     held = np.concatenate([t for ts in templates for t in ts])
-    # Paragraphs of the corpus that hold most of a notice teach nothing.
+    # Paragraphs of the corpus that hold most of a notice, or all of a short one, teach nothing.
     corpus = windows(pa.array(paragraphs, pa.large_string()))
     first = np.cumsum(corpus.count) - corpus.count
     near = np.add.reduceat(np.isin(corpus.grams, held), first) if len(first) else np.zeros(0)
     bad = set(corpus.row[near >= 3].tolist())
+    known = np.flatnonzero(np.isin(corpus.grams, held))
+    owner = np.repeat(np.arange(len(corpus.count)), corpus.count)[known]
+    for t in (t for ts in templates for t in ts if len(t) < 3):
+        mine = np.isin(corpus.grams[known], t)
+        pairs = np.unique(np.stack((owner[mine].astype(U64), corpus.grams[known][mine])), axis=1)
+        bad |= set(corpus.row[np.bincount(pairs[0].astype(np.int64), minlength=len(corpus.row)) == len(t)].tolist())
     plain = [p for k, p in enumerate(paragraphs) if k not in bad and p.strip()] or ["some words of a text"]
     vocabulary = [x for p in plain[:2000] for x in p.split()]
 

@@ -40,3 +40,17 @@ def test_odd_rows_and_empty_table(spark, model):
     assert L.scan(df, model).count() == 0
     assert L.scan(df.limit(0), model).count() == 0
     assert L.fit([]).findings(pa.array(["Released under the MIT License.", None]))[0][2] == "mit"
+
+
+def test_short_notices(spark, model):
+    signs = SIGNS | {"proprietary": "All rights reserved"}
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    want = {(r["doc_id"], f) for r in docs.collect() for f, sign in signs.items() if sign in r["text"]}
+    got = {(r["doc_id"], r["family"]) for r in L.scan(docs, model).collect()}
+    assert got == want and sum(f == "proprietary" for _, f in want) == 7
+    lines = {"Copyright (c) 2020 A. All rights reserved.": "proprietary", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl", "BSD 2-Clause License": "bsd"}
+    found = model.findings(pa.array([*lines, "all of the rights were reserved for them"]))
+    assert [f[2] for f in found] == list(lines.values())
+    # corpus lines that hold only the short notice are not taught as `unknown`
+    taught = L.fit(["All rights reserved."] * 500)
+    assert [f[2] for f in taught.findings(pa.array(["All rights reserved."]))] == ["proprietary"]
