@@ -7,10 +7,11 @@ their states, and the weighted mean gives the window's logit. Windows overlap (`
 apart) and cover the whole text; the document's logit is that of its worst window, calibrated by
 a logistic curve.
 
-All of it is trained here in numpy, on a bounded sample of labelled rows: `SAMPLE_DOCS` drawn by
-hash, of which those of up to `SAMPLE_CHARS` characters are used whole. Labels are of documents,
-so after some passes over random windows each document is represented by the window that scores
-highest just then.
+All of it is trained here in numpy, on a bounded sample of labelled rows: `SAMPLE_DOCS` of any
+length drawn by hash. Those of up to `SAMPLE_CHARS` characters train whole, longer ones by a run of
+that length at a place drawn by hash. Labels are of documents, so after some passes over random
+windows each document is represented by the window that scores highest just then. The logistic
+curve is fitted on the logits of whole texts, however long, which tasks compute.
 
 Defined results: null, empty and wordless texts get the score of a window without words; repeated
 rows get equal scores; null labels teach nothing; with labels of one kind only, or none, every
@@ -42,6 +43,8 @@ RATE = 0.006
 DOUBT = 0.8
 #: One sampled row in so many is left out of training and calibrates the scores.
 HOLD = 5
+#: With fewer rows all of them train and calibrate.
+FEW = 200
 #: Few enough rows that rare words share them: the network cannot learn single texts by heart.
 WORD_ROWS, TRIGRAM_ROWS = 1 << 12, 1 << 12
 WORD_WIDTH, CHAR_WIDTH, HIDDEN = 8, 8, 8
@@ -171,8 +174,8 @@ def _some(r: Read, windows: np.ndarray) -> Read:
     return Read(r.word[used], r.trigram[place], begin, size, new, mask, r.doc[windows])
 
 
-def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0) -> Network:
-    """Network of (text, label) rows."""
+def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0, spare: np.ndarray | None = None) -> Network:
+    """Network of (text, label) rows; those of `spare` calibrate it."""
     rng = np.random.default_rng(seed)
     width = WORD_WIDTH + CHAR_WIDTH
     w = {
@@ -192,8 +195,8 @@ def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0) -> Net
     texts = pa.array([t for t, _ in rows], pa.large_string())
     cuts = np.array_split(np.arange(len(rows)), max(1, len(rows) // 500))
     parts = [(read(texts.take(pa.array(c))), y[c]) for c in cuts]
-    spare = np.arange(len(rows)) % HOLD == 0
-    spare &= len(rows) >= 200  # with few rows all of them train and calibrate
+    spare = np.arange(len(rows)) % HOLD == 0 if spare is None else spare
+    spare = spare & (len(rows) >= FEW)
     learns = [~spare[c] for c in cuts]
     adam = Adam(w, RATE)
     for epoch in range(epochs):
@@ -217,13 +220,22 @@ def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0) -> Net
 
 
 def _curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic curve over the logits, by Newton steps with a small ridge."""
-    a = np.array([1.0, 0.0])
+    """Logistic curve over the logits, by Newton steps with a small ridge, halved where they would overshoot."""
+    z, y = z.astype(np.float64), y.astype(np.float64)
+    start = np.array([1.0, 0.0])
     x = np.stack((z, np.ones_like(z)), axis=1)
+
+    def loss(a: np.ndarray) -> float:
+        return float((np.logaddexp(0, x @ a) - y * (x @ a)).sum() + 5e-4 * ((a - start) ** 2).sum())
+
+    a = start
     for _ in range(30):
         p = sigmoid(x @ a)
         h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2) * 1e-3
-        a = a - np.clip(np.linalg.solve(h, x.T @ (p - y) + 1e-3 * (a - [1.0, 0.0])), -2, 2)
+        step = np.clip(np.linalg.solve(h, x.T @ (p - y) + 1e-3 * (a - start)), -2, 2)
+        while loss(a - step) > loss(a) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        a = a - step
     return max(float(a[0]), 0.05), float(a[1])
 
 
@@ -231,9 +243,33 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, text: str = "text", d
     """Network of a bounded sample of the labelled rows for which `use` (over the id) holds."""
     ids = labels.select(quoted(doc_id).alias("id"), quoted(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
     drawn = ids.where(use).groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
-    rows = docs.select(quoted(doc_id).alias("d"), quoted(text).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    met = rows.join(F.broadcast(drawn), F.col("d") == F.col("id")).select("id", "text", "label")
-    return fit([(r["text"], r["label"]) for r in sorted(met.limit(2 * SAMPLE_DOCS).collect())])
+    drawn = drawn.withColumn("spare", F.pmod(F.xxhash64("id", F.lit(HOLD)), F.lit(HOLD)) == 0)
+    rows = docs.select(quoted(doc_id).alias("d"), quoted(text).cast("string").alias("text")).where(F.col("text").isNotNull())
+    met = rows.join(F.broadcast(drawn), F.col("d") == F.col("id"))
+    at = F.lit(1) + F.floor(F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) * F.pmod(F.xxhash64("id", "text"), F.lit(1000)) / 1000)
+    pieces = met.select("id", F.substring("text", at.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"), "label", "spare")
+    some = sorted(pieces.limit(2 * SAMPLE_DOCS).collect())
+    spare = np.array([r["spare"] for r in some], bool)
+    net = fit([(r["text"], r["label"]) for r in some], spare=spare)
+    if net.constant is None:
+        apart = len(some) >= FEW and len({r["label"] for r in some if r["spare"]}) > 1
+        whole = met.where("spare") if apart else met
+        found = _logits(whole.select("text", "label"), net).limit(2 * SAMPLE_DOCS).collect()
+        z, y = (np.array(x, np.float64) for x in zip(*sorted(map(tuple, found)), strict=True))
+        net.scale, net.shift = _curve(z, y)
+    return net
+
+
+def _logits(texts: DataFrame, net: Network) -> DataFrame:
+    """(logit, label) of each whole text."""
+    shared = texts.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text", CHUNK_BYTES):
+            _, z = shared.value.worst(read(part.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array(z.astype(np.float64)), part.column(1)], names=["logit", "label"])
+
+    return texts.mapInArrow(run, "logit double, label int")
 
 
 def score(docs: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:

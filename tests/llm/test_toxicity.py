@@ -88,3 +88,35 @@ def test_held_out_rows(spark):
 
     rows = spark.range(50).select("id", X.held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1) for r in rows)
+
+
+def test_labelled_texts_that_are_all_long(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(800):
+        words = prose(rng, rng.choice([1600, 2000]), 500).split()
+        if bad := int(rng.random() < 0.4):
+            for _ in range(len(words) // 20):
+                words[rng.randrange(len(words))] = rng.choice(["idiot", "scumbag", "morons"])
+        rows.append((k, " ".join(words), bad))
+    assert min(len(t) for _, t, _ in rows) > X.SAMPLE_CHARS
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    from pyspark.sql import functions as F
+
+    net = X.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"), F.col("id") < 600)
+    got = X.score(df.where("doc_id >= 600"), net).collect()
+    assert net.constant is None
+    assert sum((r["score"] >= 0.7) == r["toxic"] for r in got) > 0.95 * len(got)
+    # logits of whole texts calibrate: a bad window far from any piece's place counts
+    long = prose(rng, 20000, 500)
+    z = [r["logit"] for r in X._logits(spark.createDataFrame([(long, 0), (f"{long} you idiot moron scumbag idiot", 1)], "text string, label int").coalesce(1), net).collect()]
+    assert z[1] > z[0]
+
+
+def test_curve_of_noisy_labels():
+    pick = np.random.default_rng(0)
+    y = np.arange(900) % 2
+    z = np.where(y > 0, pick.normal(6, 1, 900), pick.normal(-6, 1, 900))
+    flip = pick.random(900) < 0.05
+    a, b = X._curve(z, np.where(flip, 1 - y, y))
+    assert 0.4 < a < 0.6 and abs(b) < 0.5
