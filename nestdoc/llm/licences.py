@@ -2,13 +2,17 @@
 
 Every paragraph (line) of every document is classified by a multinomial logistic regression over
 hashed word 1-, 2- and 3-grams (those of the notices) into licence families and `unknown`; paragraphs of over `WINDOW`
-words are read in overlapping windows of that length, so a notice within a long one is seen. The
+words are read in overlapping windows of that length, so a notice within a long one is seen. Lines up to one without words are also read together, so is a
+notice wrapped over them. The
 regression is trained here: on notices of each family (`NOTICES`), whole, cut and set among words
 of the corpus, and on paragraphs of a bounded sample of documents (`SAMPLE_DOCS`, drawn by hash)
 and sentences that speak of licences without granting one (`OTHERS`) as `unknown`. A temperature fitted on
 rows that were left out calibrates its probabilities. A prediction of a family counts if its
 probability is `SURE` or more and a notice of that family confirms it: `CONFIRM` of the notice's
-words pairs must be in the window.
+words pairs must be in the window. Of families that notices confirm the likeliest comes first; its
+probability is against `unknown` and the families without a notice in the window. Then the window is
+read again without the words of that notice, until no family is left, so each of several is found.
+A family's notices on one line, less than `STRIDE` words apart, are one place.
 
 Words are runs of ASCII letters and digits and of all non-ASCII characters, A-Z lowered.
 
@@ -101,8 +105,10 @@ class Windows:
     row: np.ndarray
     start: np.ndarray
     words: np.ndarray
-    grams: np.ndarray  # hashes, window after window
+    grams: np.ndarray  # hashes, window after window, in it by length and then by place
     count: np.ndarray
+    first: np.ndarray  # first word among the words of all texts
+    line: np.ndarray  # line of each word of all texts
 
 
 def _lines(data: np.ndarray, w: Words) -> np.ndarray:
@@ -111,18 +117,22 @@ def _lines(data: np.ndarray, w: Words) -> np.ndarray:
     return breaks[w.starts] if len(w.starts) else np.zeros(0, np.int64)
 
 
-def windows(column: pa.Array) -> Windows:
+def windows(column: pa.Array, wrapped: bool = False) -> Windows:
+    """Windows of each line and, if `wrapped`, those of lines read together that hold more than one."""
     data, offsets = utf8(column)
     w = words(data, offsets, ALNUM)
     total, row, line = len(w.hashes), w.row, _lines(data, w)
-    new = np.ones(total, bool)
-    new[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1])
-    begin = np.flatnonzero(new)
-    size = np.diff(np.append(begin, total))
+    other = row[1:] != row[:-1]
+    starts = [np.flatnonzero(np.append(np.ones(min(total, 1), bool), other | (line[1:] - line[:-1] > k))) for k in range(1 + wrapped)]
+    begin = np.concatenate(starts)
+    size = np.concatenate([np.diff(np.append(b, total)) for b in starts])
     n = np.maximum(1, -(-(size - (WINDOW - STRIDE)) // STRIDE))
     of = np.repeat(np.arange(len(begin)), n)
     at = begin[of] + (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * STRIDE
     end = np.minimum(at + WINDOW, (begin + size)[of])
+    if wrapped and total:
+        use = (of < len(starts[0])) | (line[at] != line[end - 1])
+        at, end = at[use], end[use]
     parts, owner = [], []
     for k in (1, 2, 3):
         hashes, first = ngrams(w, k)
@@ -137,7 +147,7 @@ def windows(column: pa.Array) -> Windows:
     order = np.argsort(owner_, kind="stable")
     grams = np.concatenate(parts)[order]
     r = row[at] if total else at
-    return Windows(r, at - w.first[r] if total else at, end - at, grams, np.bincount(owner_, minlength=len(at)))
+    return Windows(r, at - w.first[r] if total else at, end - at, grams, np.bincount(owner_, minlength=len(at)), at, line)
 
 
 def _ids(grams: np.ndarray) -> np.ndarray:
@@ -156,22 +166,62 @@ class Model:
         return sums + self.bias
 
     def findings(self, column: pa.Array) -> list[tuple[int, int, str, float, float]]:
-        """(row, first word, family, probability, confirmed share) of the windows that hold a licence."""
-        w = windows(column)
+        """(row, first word, family, probability, confirmed share) of each place of a notice."""
+        w = windows(column, wrapped=True)
         z = self.logits(w).astype(np.float64) / self.temperature
         z -= z.max(axis=1, keepdims=True) if len(z) else 0
         p = np.exp(z)
         p /= p.sum(axis=1, keepdims=True)
-        best = p.argmax(axis=1)
         first = np.cumsum(w.count) - w.count
-        out = []
-        for k in np.flatnonzero((best > 0) & (p.max(axis=1) >= SURE)).tolist():
-            mine = np.sort(w.grams[first[k] : first[k] + w.count[k]])
-            shares = [float(np.isin(t, mine).mean()) for t in self.templates[best[k]]]
-            if max(shares) >= CONFIRM:
-                out.append((int(w.row[k]), int(w.start[k]), FAMILIES[best[k]], float(p[k, best[k]]), max(shares)))
+        found = []
+        for k in np.flatnonzero(1 - p[:, 0] >= SURE).tolist():
+            for start, end, f, sure, share in self._notices(w.grams[first[k] : first[k] + w.count[k]], int(w.words[k])):
+                at = int(w.start[k])
+                found.append((int(w.row[k]), f, at + start, at + end, int(w.line[w.first[k] + start]), sure, share))
+        places: list[tuple[int, int, int, int, int, float, float]] = []
+        for x in sorted(found):
+            last = places[-1] if places else None
+            if last and last[:2] == x[:2] and (x[2] < last[3] or (x[4] == last[4] and x[2] - last[3] < STRIDE)):
+                places[-1] = (*last[:3], max(last[3], x[3]), x[4], max(last[5], x[5]), max(last[6], x[6]))
+            else:
+                places.append(x)
+        out, row, reach = [], -1, 0
+        for x in sorted(places, key=lambda x: (x[0], x[2], -x[3], -x[5], x[1])):
+            # What lies within another window's notice is that notice, cut by the end of a window.
+            if x[0] != row or x[3] > reach:
+                out.append((x[0], x[2], FAMILIES[x[1]], x[5], x[6]))
+                row, reach = x[0], x[3]
         return out
 
+    def _notices(self, grams: np.ndarray, n: int) -> Iterator[tuple[int, int, int, float, float]]:
+        """(first word, end, family, probability, confirmed share) of the notices in a window of n words."""
+        size = np.repeat([1, 2, 3], [n, max(n - 1, 0), max(n - 2, 0)])
+        at = np.concatenate([np.arange(max(n - k, 0)) for k in range(3)])
+        while len(grams):
+            z = (self.weights[_ids(grams)].sum(axis=0) + self.bias).astype(np.float64) / self.temperature
+            p = np.exp(z - z.max())
+            held: dict[int, tuple[int, float, np.ndarray]] = {}
+            for f, notices in enumerate(self.templates):
+                hits = [(int(m.sum()), float(m.mean()), t) for t in notices for m in [np.isin(t, grams)]]
+                if good := [h for h in hits if h[1] >= CONFIRM]:
+                    held[f] = max(good, key=lambda h: h[:2])
+            if not held:
+                return
+            f = max(held, key=lambda f: p[f])
+            sure = float(p[f] / (p.sum() - sum(p[g] for g in held if g != f)))
+            if sure < SURE:
+                return
+            _, share, notice = held[f]
+            mine = np.flatnonzero(np.isin(grams, notice))
+            mine = mine[np.argsort(at[mine], kind="stable")]
+            # The notice is where most of its pairs are together.
+            spans = [mine[(at[mine] >= a) & (at[mine] <= a + len(notice))] for a in at[mine]]
+            span = max(spans, key=lambda m: (len(np.unique(grams[m])), at[m[0]] - at[m[-1]]))
+            start, end = int(at[span[0]]), int((at[span] + size[span]).max())
+            yield start, end, f, sure, max(float(np.isin(t, grams).mean()) for t in self.templates[f])
+            rest = (at + size <= start) | (at >= end)
+            grams, at, size = grams[rest], at[rest], size[rest]
+
 
 def fit(paragraphs: list[str], seed: int = 0) -> Model:
     """Model of the notices against paragraphs of a corpus."""
@@ -263,7 +313,7 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0) -> Model:
 
 def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start_word, family, probability, confirmed): one row for each family and document
-    and place; of windows that overlap the surest stands for all."""
+    and place, with the notice's first word and its surest probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType(
         [
@@ -277,12 +327,7 @@ def scan(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text", CHUNK_BYTES):
-            best: list[tuple[int, int, str, float, float]] = []
-            for f in shared.value.findings(part.column(1)):
-                if best and best[-1][0] == f[0] and best[-1][2] == f[2] and f[1] - best[-1][1] == STRIDE:
-                    best[-1] = max(best[-1], f, key=lambda x: x[3])
-                else:
-                    best.append(f)
+            best = shared.value.findings(part.column(1))
             columns = list(zip(*best, strict=True)) if best else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(columns[0], pa.int64())), *(pa.array(c, k) for c, k in zip(columns[1:], (pa.int64(), pa.string(), pa.float64(), pa.float64()), strict=True))],

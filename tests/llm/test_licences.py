@@ -54,3 +54,18 @@ def test_short_notices(spark, model):
     # corpus lines that hold only the short notice are not taught as `unknown`
     taught = L.fit(["All rights reserved."] * 500)
     assert [f[2] for f in taught.findings(pa.array(["All rights reserved."]))] == ["proprietary"]
+
+
+def test_several_families_and_wrapped_notices(spark, model):
+    rows = [
+        (1, "Released under the MIT License or the Apache License 2.0"),
+        (2, "dual licensed under MPL-2.0, GPL-2.0 and LGPL-2.1"),
+        (3, "Some words.\nPermission is hereby granted, free of\n * charge, to any person obtaining a copy\n * of this software"),
+        (4, "All rights\n\nreserved."),
+        (5, "All rights\nreserved."),
+    ]
+    found = sorted((r["doc_id"], r["start_word"], r["family"]) for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect())
+    assert found == [(1, 0, "mit"), (1, 7, "apache-2.0"), (2, 3, "mpl-2.0"), (2, 6, "gpl"), (2, 10, "lgpl"), (3, 2, "mit"), (5, 0, "proprietary")]
+    # a notice that a window's end cuts in two is not another family's
+    cut = [" ".join(["word"] * n) + "\nLicensed under CC BY-NC 4.0.\n" + " ".join(["word"] * 30) for n in range(30, 70)]
+    assert [(f[0], f[1], f[2]) for f in model.findings(pa.array(cut))] == [(k, k + 30, "cc-by-nc") for k in range(40)]
