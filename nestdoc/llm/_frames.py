@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestdoc.session import ensure_checkpoint_dir
 
@@ -54,3 +58,32 @@ def sent(keys: DataFrame, most: int = MOST_SENT) -> DataFrame:
     """A narrow table, marked to be sent to every task if it has few rows; else it is joined by a
     shuffle."""
     return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
+def widened(
+    docs: DataFrame,
+    text: str,
+    new: list[tuple[str, T.DataType]],
+    read: Callable[[Iterator[pa.RecordBatch], int], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]],
+) -> DataFrame:
+    """`docs` plus columns that `read` computes from its batches and the place of column `text`.
+
+    Columns cross to Python as c0, c1, ..., so names with dots or names that the new columns
+    have too do no harm; a new name that is taken gets underscores in front."""
+    old = [f"c{k}" for k in range(len(docs.columns))]
+    names = list(docs.columns)
+    added = []
+    for k, (name, kind) in enumerate(new):
+        taken = {c.lower() for c in names}
+        while name.lower() in taken:
+            name = f"_{name}"
+        names.append(name)
+        added.append(T.StructField(f"n{k}", kind))
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, columns in read(batches, at):
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*old, *(f.name for f in added)])
+
+    fields = [T.StructField(n, f.dataType) for n, f in zip(old, docs.schema.fields, strict=True)]
+    return docs.toDF(*old).mapInArrow(run, T.StructType([*fields, *added])).toDF(*names)

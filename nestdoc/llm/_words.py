@@ -144,3 +144,10 @@ def spans_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     edge = np.diff(np.concatenate(([0], mask.view(np.int8), [0])))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All members of the ranges low:high, and the range that each is of."""
+    size = high - low
+    of = np.repeat(np.arange(len(low)), size)
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + low[of], of

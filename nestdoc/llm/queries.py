@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import chat, decontaminate, jaccard, langid, licences, mix, pages, quality, suffixes, toxicity
+from nestdoc.llm import chat, decontaminate, jaccard, langid, licences, mix, pages, periods, quality, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mix_sources": mix.op8_mix_sources,
     "op9_repeated_passages": suffixes.op9_repeated_passages,
     "op10_language_id": langid.op10_language_id,
+    "op11_periodic_runs": periods.op11_periodic_runs,
 }
 
 SQL = {
