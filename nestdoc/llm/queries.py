@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestdoc.llm import chat, decontaminate, jaccard, langid, licences, mix, pages, periods, quality, suffixes, toxicity
+from nestdoc.llm import chat, decontaminate, jaccard, langid, licences, mix, packing, pages, periods, quality, search, suffixes, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_repeated_passages": suffixes.op9_repeated_passages,
     "op10_language_id": langid.op10_language_id,
     "op11_periodic_runs": periods.op11_periodic_runs,
+    "op12_ranked_search": search.op12_ranked_search,
+    "op13_packing": packing.op13_packing,
 }
 
 SQL = {
@@ -23,4 +25,5 @@ SQL = {
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_jaccard_join": jaccard.ORACLE,
     "op9_repeated_passages": suffixes.ORACLE,
+    "op12_ranked_search": search.ORACLE,
 }

@@ -1,0 +1,115 @@
+"""Packing: exact round trip of all ids, full sequences, and neighbours by a plain BM25."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from nestdoc.llm import packing
+
+from ..conftest import SF001
+from .helpers import SCHEMA, odd_rows, prose
+
+
+def whole_ids(text, name=packing.TOKENIZER):
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    return [*t.encode(text or "", add_special_tokens=False).ids, packing.END]
+
+
+def check(rows, texts, window=packing.WINDOW, name=packing.TOKENIZER):
+    """Each id of each text in exactly one piece; sequences gapless and never padded."""
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    want = Counter(tuple([*e.ids, packing.END]) for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False))
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert len(ids) == r["length"] > 0
+        by_doc[r["doc_id"]].append((r["start"], ids, r["doc_tokens"]))
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at == window or at & (at - 1) == 0 and at < window
+    got = Counter()
+    for pieces in by_doc.values():
+        pieces.sort()
+        copies = sum(s == 0 for s, _, _ in pieces)
+        if copies == 1:
+            ids = [i for _, part, _ in pieces for i in part]
+            assert all(n == len(ids) for _, _, n in pieces)
+            got[tuple(ids)] += 1
+        else:  # rows that share an id: their pieces hold as many ids as their texts
+            got["shared"] += sum(len(part) for _, part, _ in pieces)
+    if "shared" not in got:
+        assert got == want
+    else:
+        assert sum(len(k) * c for k, c in want.items()) == got.pop("shared") + sum(len(k) * c for k, c in got.items())
+    return by_sequence
+
+
+def test_whole_documents_table(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    out = packing.pack(docs, shard_tokens=20_000).collect()
+    sequences = check(out, [r["text"] for r in docs.collect()])
+    assert len(sequences) < 1.2 * sum(r["length"] for r in out) / packing.WINDOW + 100
+
+
+@pytest.mark.parametrize("name", [packing.TOKENIZER, "byte_bpe_50k.json"])
+def test_odd_texts_encode_like_the_tokenizer(name):
+    import pyarrow as pa
+
+    texts = [None, "", "a\x0bb\x0cc\x1cd\x85e f g", "x\x01y \x01 z", "<|endoftext|> a<|startoftext|>b", "CAFÉ ́ é",
+             "it's WE'LL 'd 123 4.5 \U0001f600‍", "ΣΣ İ ﬁ", " lead", "tail \n", "\x01"]
+    e = packing.Encoder(name)
+    assert e.by_words == (name == packing.TOKENIZER)
+    for _ in range(2):
+        ids, counts = e.encode(pa.array(texts))
+        got = [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got == [whole_ids(t, name)[:-1] for t in texts]
+
+
+def test_neighbours_like_plain_bm25():
+    rng = np.random.default_rng(1)
+    rows = [rng.integers(0, 60, int(rng.integers(1, 80))).astype(np.uint32) for _ in range(50)]
+    rows[7] = rows[3]
+    shard = packing.Shard(rows)
+    mean = sum(map(len, rows)) / len(rows)
+    df = Counter(t for r in rows for t in set(r.tolist()))
+    for k in (0, 3, 20):
+        scores = []
+        for r in rows:
+            tf, s = Counter(r.tolist()), 0.0
+            for t in set(rows[k].tolist()) & set(tf):
+                idf = math.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5))
+                s += idf * tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(r) / mean))
+            scores.append(s)
+        got = shard.neighbours(k).tolist()
+        assert sorted(got) == [i for i, s in enumerate(scores) if s > 0]
+        assert all(scores[a] >= scores[b] - 1e-9 for a, b in zip(got, got[1:], strict=False))
+    assert shard.neighbours(3).tolist().index(7) <= 1
+
+
+def test_windows_hold_the_best_unused_neighbours():
+    nearest = {0: [0, 3, 1, 2, 4], 1: [1, 0], 4: [4, 2], 2: [2, 0, 1], 3: [3]}
+    windows, left = packing.fill([4, 5, 3, 4, 2], lambda k: nearest[k], 10)
+    assert windows == [[(0, 0, 4), (3, 0, 4), (1, 0, 2)]]
+    # the cut document's rest asks next; what it does not find comes in order
+    assert left == [(1, 2, 3), (2, 0, 3), (4, 0, 2)]
+    parts = list(packing.powers(left))
+    assert [sum(n for _, _, n in p) for p in parts] == [8]
+    assert [sum(n for _, _, n in p) for p in packing.powers([(0, 0, 7), (1, 0, 4)])] == [8, 2, 1]
+
+
+def test_odd_rows_names_and_empty_table(spark):
+    rng = random.Random(8)
+    rows = [*odd_rows(rng), *[(50 + k, prose(rng, 30), None, None) for k in range(40)]]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA + ", ids string, `a.b` string")
+    out = packing.pack(df, window=64, shard_tokens=500).collect()
+    check(out, [r[1] for r in rows], window=64)
+    assert packing.pack(df.limit(0)).count() == 0
