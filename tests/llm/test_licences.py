@@ -8,7 +8,8 @@ from nestdoc.llm import licences as L
 from ..conftest import SF01
 from .helpers import SCHEMA, odd_rows, prose
 
-SIGNS = {"gpl": "GNU General Public License", "cc-by-nc": "CC BY-NC", "mit": "MIT License", "apache-2.0": "Apache License"}
+SIGNS = {"gpl": "GNU General Public License", "cc-by-nc": "CC BY-NC", "mit": "MIT License", "apache-2.0": "Apache License",
+         "proprietary": "All rights reserved"}
 
 
 @pytest.fixture(scope="module")
