@@ -111,7 +111,11 @@ def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray, lower: b
     after[:-1] = inside
     after[offsets] = False
     ends = np.flatnonzero(inside & ~after[1:]) + 1
-    first = np.searchsorted(starts, offsets)
+    return Words(starts, ends, hash_spans(data, starts, ends), np.searchsorted(starts, offsets))
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches of bytes starts:ends, in order and without overlap."""
     hashes = np.empty(len(starts), U64)
     at = 0
     while at < len(starts):
@@ -123,7 +127,7 @@ def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray, lower: b
         s = starts[at:to] - low
         hashes[at:to] = mix((sums[ends[at:to] - low] - sums[s]) * down[s])
         at = to
-    return Words(starts, ends, hashes, first)
+    return hashes
 
 
 _PLACES = mix(np.arange(1000, 1064, dtype=U64)) | U64(1)

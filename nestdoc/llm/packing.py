@@ -14,7 +14,7 @@ A group of copies, or a third of the rows, is no single key: the sort is by (has
 shards have a bounded number of tokens. Tokens are written once to the shared folder, with each
 row's place, so a task that runs again packs the same rows alike.
 
-Tokenizers that drop white space and do not look across it (`word_bpe_49k.json`) see every
+A tokenizer of words in lower case that drops white space (`word_bpe_49k.json`) sees every
 distinct word once for each task, kept by a 64-bit hash of its bytes; a probe at the start
 decides, and texts are encoded whole for others.
 
@@ -26,6 +26,7 @@ may be called anything.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestdoc.llm._frames import quoted, table
-from nestdoc.llm._words import NON_SPACE, chunks, mix, spread, utf8, words
+from nestdoc.llm._words import LOWER, NON_SPACE, chunks, hash_spans, mix, spread, utf8, words
 from nestdoc.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,11 +47,47 @@ END = 1
 SHARD_TOKENS = 1 << 19
 CHUNK_BYTES = 4 << 20
 #: Words whose ids a task keeps before it starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 3_000_000
 #: BM25's saturation and share of length.
 K1, B = 1.2, 0.75
 
 _MARK = "\x01"
+#: Bytes that end a word without being part of a letter or a number: `.,;:!?)"`.
+_CLOSING = np.zeros(256, bool)
+_CLOSING[list(b'.,;:!?)"')] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def _units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words cut before the marks that close them, which the tokenizer does as well: the bytes to
+    read them from, starts and ends, and the word that each is of.
+
+    A cut needs a letter or digit before it that is one byte, or two of Latin-1. Words of ASCII
+    are read in lower case, as the tokenizer does first of all; but not next to a `<`, for the
+    special tokens keep their case."""
+    stop = ends.copy()
+    for _ in range(3):
+        stop -= _CLOSING[data[stop - 1]] & (stop - 1 > starts)
+    final = data[stop - 1]
+    latin = (data[np.maximum(stop - 2, 0)] == 0xC3) & (stop - 2 >= starts) & (final >= 0x80) & (final != 0x97) & (final != 0xB7)
+    stop = np.where(_ALNUM[final] | latin, stop, ends)
+    cut = stop < ends
+    word = np.repeat(np.arange(len(starts)), 1 + cut)
+    second = np.zeros(len(word), bool)
+    second[1:] = word[1:] == word[:-1]
+    low = np.where(second, stop[word], starts[word])
+    high = np.where(second, ends[word], stop[word])
+    odd = np.concatenate(([0], np.cumsum((data >= 0x80) | (data == 0x3C))))
+    raw = odd[ends] > odd[starts]
+    lower = LOWER[data]
+    kept, _ = spread(starts[raw], ends[raw])
+    lower[kept] = data[kept]
+    return lower, low, high, word
+
+
+#: Latin letters, each of which has one letter as its lower case.
+_LATIN = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
 
 class Encoder:
@@ -66,20 +103,46 @@ class Encoder:
             path = public_tokenizers.path(path)
         self.inner = Tokenizer.from_file(path)
         self.mark = self._encode([_MARK])[0]
+        suffix = getattr(self.inner.model, "end_of_word_suffix", None)
+        tokens = self.inner.get_vocab()
+        self.closes = np.zeros(max(tokens.values()) + 1, bool)
+        if suffix:
+            self.closes[[i for t, i in tokens.items() if t.endswith(suffix)]] = True
         probe = "One two,\tthree\n\x0b'fóur 5 <|6"
         alone = [i for ids in self._encode(probe.split()) for i in ids]
         self.by_words = len(self.mark) == 1 and self._encode([probe])[0] == alone
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[int, int] = {}
-        self.sizes, self.ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        self.known = np.zeros(0, np.uint64)  # hashes of words, sorted; where their ids are, and how many
+        self.low = self.size = np.zeros(0, np.int64)
+        self.kept = np.zeros(1 << 16, np.uint32)
+        self.filled = 0
+        self.sizes: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, texts: list[str]) -> None:
-        """Ids of words, many at a time with a mark between them."""
+    def _learn(self, texts: list[str]) -> list[int]:
+        """Ids of words, many at a time; their order in the kept ones. Words of plain letters are
+        told apart by the tokens that end a word, others by a mark between them."""
+        latin = [_LATIN.fullmatch(t) is not None for t in texts]
+        plain = [k for k, x in enumerate(latin) if x]
+        rest = [k for k, x in enumerate(latin) if not x]
+        for k in range(0, len(plain), 1 << 14):
+            part = plain[k : k + (1 << 14)]
+            ids = np.array(self._encode([" ".join([texts[j] for j in part])])[0], np.uint32)
+            stops = np.flatnonzero(self.closes[ids])
+            if len(stops) == len(part):
+                self.sizes.append(np.diff(stops, prepend=-1))
+                self.ids.append(ids)
+            else:
+                self._learn_marked([texts[j] for j in part])
+        self._learn_marked([texts[j] for j in rest])
+        return plain + rest
+
+    def _learn_marked(self, texts: list[str]) -> None:
         for k in range(0, len(texts), 1 << 14):
             part = texts[k : k + (1 << 14)]
             held = [_MARK in t for t in part]
@@ -96,6 +159,26 @@ class Encoder:
             self.sizes.append(sizes)
             self.ids.append(ids)
 
+    def _unknown(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the sorted hashes are not kept."""
+        at = np.searchsorted(self.known, hashes)
+        near = self.known[np.minimum(at, len(self.known) - 1)] if len(self.known) else ~hashes
+        return np.flatnonzero(near != hashes)
+
+    def _keep(self, hashes: np.ndarray) -> None:
+        """Add the words that were learnt just now, given in that order."""
+        ids, size = np.concatenate(self.ids), np.concatenate(self.sizes)
+        self.ids, self.sizes = [], []
+        while self.filled + len(ids) > len(self.kept):
+            self.kept = np.concatenate((self.kept, np.zeros_like(self.kept)))
+        self.kept[self.filled : self.filled + len(ids)] = ids
+        low = self.filled + np.cumsum(size) - size
+        self.filled += len(ids)
+        known = np.concatenate((self.known, hashes))
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.low, self.size = np.concatenate((self.low, low))[order], np.concatenate((self.size, size))[order]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has."""
         if not self.by_words:
@@ -104,25 +187,21 @@ class Encoder:
             return np.array([i for f in found for i in f], np.uint32), counts
         data, offsets = utf8(column)
         w = words(data, offsets, NON_SPACE, lower=False)
-        hashes, at, code = np.unique(w.hashes, return_index=True, return_inverse=True)
-        if len(self.number) + len(hashes) > KEPT_WORDS:
+        data, starts, ends, word = _units(data, w.starts, w.ends)
+        hashes, at, code = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > KEPT_WORDS:
             self._forget()
-        number = np.array([self.number.get(h, -1) for h in hashes.tolist()], np.int64)
-        new = np.flatnonzero(number < 0)
+        new = self._unknown(hashes)
         if len(new):
             raw = data.tobytes()
-            spans = zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist(), strict=True)
-            self._learn([raw[s:e].decode("utf-8", "replace") for s, e in spans])
-            number[new] = len(self.number) + np.arange(len(new))
-            self.number.update(zip(hashes[new].tolist(), number[new].tolist(), strict=True))
-        sizes, ids = np.concatenate(self.sizes), np.concatenate(self.ids)
-        self.sizes, self.ids = [sizes], [ids]
-        ends = np.cumsum(sizes)
-        number = number[code]
-        low = ends[number] - sizes[number]
-        members, _ = spread(low, ends[number])
-        counts = np.bincount(w.row, weights=sizes[number], minlength=len(offsets) - 1).astype(np.int64)
-        return ids[members], counts
+            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
+            order = self._learn([raw[s:e].decode("utf-8", "replace") for s, e in spans])
+            self._keep(hashes[new][order])
+        k = np.searchsorted(self.known, hashes)
+        low, size = self.low[k][code], self.size[k][code]
+        members, _ = spread(low, low + size)
+        counts = np.bincount(w.row[word], weights=size, minlength=len(offsets) - 1).astype(np.int64)
+        return self.kept[members], counts
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -65,7 +65,9 @@ def test_odd_texts_encode_like_the_tokenizer(name):
     import pyarrow as pa
 
     texts = [None, "", "a\x0bb\x0cc\x1cd\x85e f g", "x\x01y \x01 z", "<|endoftext|> a<|startoftext|>b", "CAFÉ ́ é",
-             "it's WE'LL 'd 123 4.5 \U0001f600‍", "ΣΣ İ ﬁ", " lead", "tail \n", "\x01"]
+             "it's WE'LL 'd 123 4.5 \U0001f600‍", "ΣΣ İ ﬁ", " lead", "tail \n", "\x01",
+             "H\u0331. h\u0331 Word, WORD! word?! (word) \"it's\", ración. raciÓN; x×. a÷, ß: 12. ...a a...b <A>. It's'. é́. \u0130x. \u01c5a",
+             "<|ENDOFTEXT|>. <|endoftext|>. don't! 'S, \ufb01n. \u00aa. \u00b5m, \u00e9\u0301, e\u0301. 5\u0301. \u2026. \u00e9\u2026."]
     e = packing.Encoder(name)
     assert e.by_words == (name == packing.TOKENIZER)
     for _ in range(2):
