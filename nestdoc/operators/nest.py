@@ -42,6 +42,7 @@ from pyspark.sql.types import (
 )
 
 from ..functions.columns import q
+from .heavy import heavy_keys as find_heavy
 
 PAGE = "page"
 # Heavy keys are at most rows / max_items by count; they are broadcast to the
@@ -120,6 +121,8 @@ def nest(
     key_counts_from: DataFrame | None = None,
     heavy_keys: int | None = None,
     ordered_pages: bool = False,
+    weight: Column | None = None,
+    hot_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``key`` and collect the other columns as a list of structs.
 
@@ -140,6 +143,15 @@ def nest(
     number and place in the page give an item's position in the whole list.
     It costs one range sort of the heavy keys' rows, which spreads a heavy
     key over several tasks.
+
+    ``weight`` (1 or more for each row, such as 1 + the items of its own lists)
+    bounds what a page weighs instead of how many items it has: a row whose
+    running weight, counted from the key's first row, passes a multiple of
+    max_items opens the next page. A page then weighs less than max_items plus
+    its last item; an item of more counts as max_items, so no page is left out.
+    With weights the heavy keys are given: ``hot_keys`` holds the key columns
+    and ``_n`` of those that weigh more than max_items, and may be given
+    without weights too, in place of a count.
     """
     keys = _as_list(key)
     fields = item_fields(df, keys, exclude, cols)
@@ -157,7 +169,11 @@ def nest(
         raise ValueError("max_items must be at least 1")
 
     hot, saved = None, False
-    if heavy_keys is None:
+    if weight is not None and hot_keys is None and heavy_keys != 0:
+        raise ValueError("pages by weight need hot_keys")
+    if hot_keys is not None:
+        hot, heavy_keys = small_keys(hot_keys, keys, heavy_keys)
+    elif heavy_keys is None:
         if key_counts_from is None and checkpoint:
             # the count would compute df: write it once first, then count it
             df, saved = df.checkpoint(eager=True), True
@@ -173,22 +189,15 @@ def nest(
         # the number of heavy keys is known: it is the size check of the broadcast
         source = df if key_counts_from is None else key_counts_from
         hot, _ = _hot_keys(source.select(*key_cols), keys, max_items, known=heavy_keys)
-    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot, ordered_pages and sort)
-
+    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot, ordered_pages and sort, weight)
 
 
-def _hot_keys(df: DataFrame, keys: list[str], max_items: int, known: int | None = None) -> tuple[DataFrame, int]:
-    """Keys with more than max_items rows (a null key included), and how many.
-
-    Their number (at most rows / max_items) and bytes are the size check
-    before the broadcast: one aggregation job over the keys gives both. When
-    ``known`` already gives the number (counted on the same keys), fixed-width
-    keys need no job at all; other keys are measured.
-    """
-    counts = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > max_items)
+def small_keys(hot: DataFrame, keys: Sequence[str], known: int | None = None) -> tuple[DataFrame, int]:
+    """A table of keys, marked to be sent to every task if its number of rows (``known`` if counted
+    already) and bytes are under the budgets; and its number of rows. Keys of fixed width are
+    measured by their number."""
     key_text = F.octet_length(F.to_json(F.struct(*[q(k) for k in keys])))
-    fixed = all(isinstance(df.schema[k].dataType, _FIXED_WIDTH) for k in keys)
+    fixed = all(isinstance(hot.schema[k].dataType, _FIXED_WIDTH) for k in keys)
     if known is not None and fixed:
         n_hot, n_bytes = known, known * _FIXED_KEY_BYTES * len(keys)
     elif known is not None and known > HOT_KEYS_BROADCAST_LIMIT:
@@ -200,6 +209,25 @@ def _hot_keys(df: DataFrame, keys: list[str], max_items: int, known: int | None
     return (F.broadcast(hot) if small else hot), n_hot
 
 
+def _hot_keys(df: DataFrame, keys: list[str], max_items: int, known: int | None = None) -> tuple[DataFrame, int]:
+    """Keys with more than max_items rows (a null key included), and how many.
+
+    They are found by a sketch of the keys and counted exactly (see
+    :mod:`.heavy`); without a heavy key no key is shuffled. Their number (at
+    most rows / max_items) and bytes are the size check before the broadcast.
+    When ``known`` already gives the number (counted on the same keys),
+    fixed-width keys need no measuring job; other keys are measured.
+    """
+    if known is None:
+        hot = find_heavy(df, keys, max_items)
+        if hot is None:
+            return df.limit(0).withColumn("_n", F.lit(0).cast("bigint")), 0
+    else:
+        counts = df.groupBy(*[q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+        hot = counts.where(F.col("_n") > max_items)
+    return small_keys(hot, keys, known)
+
+
 def _unorderable(kind: DataType) -> bool:
     """Maps and variants, alone or inside, have no order."""
     if isinstance(kind, ArrayType):
@@ -217,8 +245,10 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return a.join(b, cond, how).select(*[q(c, "_a") for c in left.columns], *extra)
 
 
-def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, ordered=False) -> DataFrame:
+def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, ordered=False, weight=None) -> DataFrame:
     key_cols = [q(k) for k in keys]
+    if weight is not None:
+        df = df.withColumn("_w", F.least(weight, F.lit(max_items)).cast("bigint"))
     # Where each row sits in the input: its partition and its place in it.
     # On a checkpointed input both are fixed, so retries and reruns agree.
     located = df.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row"))
@@ -255,13 +285,18 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, o
             *rest, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")
         ).checkpoint(eager=True)
     in_part = Window.partitionBy(*key_cols, F.col("_part")).orderBy("_row")
-    hot = hot.withColumn("_local", F.row_number().over(in_part))
-    sizes = hot.groupBy(*key_cols, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    if weight is None:
+        hot = hot.withColumn("_local", F.row_number().over(in_part) - 1)
+        sizes = hot.groupBy(*key_cols, "_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    else:
+        earlier = in_part.rowsBetween(Window.unboundedPreceding, -1)
+        hot = hot.withColumn("_local", F.coalesce(F.sum("_w").over(earlier), F.lit(0)))
+        sizes = hot.groupBy(*key_cols, "_part").agg(F.sum("_w").alias("_cnt"))
     before = Window.partitionBy(*key_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*key_cols, "_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     hot = _join_null_safe(hot, offsets, [*keys, "_part"], "inner")
     # (a private name: the rows may carry a page field of their own lists)
-    number = F.col("_off") + F.col("_local") - 1
+    number = F.col("_off") + F.col("_local")
     hot = hot.withColumn("_number", number).withColumn("_page", F.expr(f"_number div {max_items}").cast("bigint"))
     # shuffled as rows and folded once, like the plain nest
     pieces = hot.drop("_number").repartition(*key_cols, "_page").groupBy(*key_cols, "_page").agg(collect)
