@@ -80,7 +80,8 @@ def participants_by_policy(tables: Tables, opts: BuildOptions | None = None) ->
     return _nest_child(tables, POLICY.children[3], opts)
 
 
-def _policy_spec(how_tariffs: str, how_participants: str, lists=None) -> DocSpec:
+def policy_spec(how_tariffs: str, how_participants: str, lists=None) -> DocSpec:
+    """The document's spec with the join modes of tariffs and participants, and some lists only if named."""
     hows = {"datos_tarifa": how_tariffs, "datos_cliente": how_participants}
     children = tuple(replace(c, how=hows.get(c.out, c.how)) for c in POLICY.children)
     spec = replace(POLICY, children=children)
@@ -91,7 +92,7 @@ def policy_core(
     tables: Tables, opts: BuildOptions | None = None, *, how_tariffs: str = "inner"
 ) -> DataFrame:
     """Policy columns + datos_sin + datos_recibos + datos_tarifa."""
-    spec = _policy_spec(how_tariffs, "inner", ("datos_sin", "datos_recibos", "datos_tarifa"))
+    spec = policy_spec(how_tariffs, "inner", ("datos_sin", "datos_recibos", "datos_tarifa"))
     return build(spec, tables, _opts(opts))
 
 
@@ -103,7 +104,7 @@ def policy_document(
     how_participants: str = "inner",
 ) -> DataFrame:
     """The whole document, one row per policy (per page when paged)."""
-    return build(_policy_spec(how_tariffs, how_participants), tables, _opts(opts))
+    return build(policy_spec(how_tariffs, how_participants), tables, _opts(opts))
 
 
 def dropped_policies(tables: Tables) -> DataFrame:

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import argparse
 import logging
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from ..sinks.writers import LEVELS, RunReport, publish, write_parquet
 from ..sources.delimited import load_tables
 from . import insurance
-from .spec import DEFAULT_MAX_ITEMS, BuildOptions
+from .accounts import accounted
+from .spec import DEFAULT_MAX_ITEMS, BuildOptions, build
 
 log = logging.getLogger("nestdoc")
 
@@ -38,6 +40,7 @@ def run_job(
     opts: BuildOptions | None = None,
     how_tariffs: str = "inner",
     how_participants: str = "inner",
+    accounts: bool = False,
 ) -> RunReport:
     """Load ``source`` (a folder with policies.csv, claims.csv, ...), build the
     document and write it to ``target`` (a path, or a table name).
@@ -46,17 +49,22 @@ def run_job(
     default it is one row per policy with 14 columns and whole lists;
     ``opts=paged()`` gives rows (policy, page) whose pages follow the lists'
     sort order and hold DEFAULT_MAX_ITEMS items of a list at most.
+
+    ``accounts`` adds to the report what became of every input's rows, counted
+    while the document is written (whole lists only).
     """
     opts = opts or BuildOptions()
     tables = load_tables(spark, source, fmt=fmt, strict=strict)
-    doc = insurance.policy_document(
-        tables, opts, how_tariffs=how_tariffs, how_participants=how_participants
-    )
+    spec = insurance.policy_spec(how_tariffs, how_participants)
+    doc, finish = accounted(spec, tables, opts) if accounts else (build(spec, tables, opts), tuple)
     if as_table:
         report = publish(doc, target, files=files, label="policy document")
     else:
         report = write_parquet(doc, target, files=files, label="policy document")
+    report = replace(report, accounts=finish())
     log.info("wrote %d documents to %s in %.1f s", report.rows, report.target, report.seconds)
+    for a in report.accounts:
+        log.info("%s: %d rows, %d in the document, %d without key, %d left out", a.name, a.rows, a.in_document, a.no_key, a.left_out)
     return report
 
 
@@ -72,6 +80,7 @@ def main(argv: list[str] | None = None) -> RunReport:
         "--max-items", type=int, default=0,
         help="page lists at this many items (0: one whole list per key)",
     )
+    p.add_argument("--accounts", action="store_true", help="report what became of every input's rows")
     p.add_argument("--persist", choices=sorted(LEVELS), default=None)
     p.add_argument("--checkpoint-lists", action="store_true", help="checkpoint nested lists before the joins")
     p.add_argument("--left-tariffs", action="store_true", help="keep policies without tariff")
@@ -90,4 +99,5 @@ def main(argv: list[str] | None = None) -> RunReport:
         spark, a.source, a.target, fmt=a.format, strict=a.strict, files=a.files, as_table=a.table, opts=opts,
         how_tariffs="left" if a.left_tariffs else "inner",
         how_participants="left" if a.left_participants else "inner",
+        accounts=a.accounts,
     )

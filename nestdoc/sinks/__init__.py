@@ -1,5 +1,5 @@
 """Outputs: Parquet files and tables, with a run report."""
 
-from .writers import RunReport, persist, publish, write_parquet
+from .writers import RunReport, persist, publish, read_clustered, write_clustered, write_parquet
 
-__all__ = ["RunReport", "persist", "publish", "write_parquet"]
+__all__ = ["RunReport", "persist", "publish", "read_clustered", "write_clustered", "write_parquet"]
