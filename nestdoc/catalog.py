@@ -17,15 +17,18 @@ from .functions import columns as C
 from .functions import dates as D
 from .functions import numbers as N
 from .functions import text as T
-from .operators.joins import join_split, join_tagged
+from .operators.heavy import COUNT, heavy_keys
+from .operators.joins import Skew, join_split, join_tagged
 from .operators.nest import PAGE, nest, unnest
 from .plans import insurance as I
+from .plans.accounts import accounted
+from .plans.job import run_job
 from .plans.spec import DEFAULT_MAX_ITEMS, BuildOptions, build
 from .plans.summary import count_where, list_money, list_size, nested_money, nested_size
 from .session import scratch_path
-from .sinks.writers import write_parquet
+from .sinks.writers import publish, read_clustered, write_clustered, write_parquet
 from .sources import standin
-from .sources.delimited import read_delimited
+from .sources.delimited import load_checked, load_tables, read_checked, read_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -535,6 +538,155 @@ def format_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- bounds, splits, skew
+def document_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: policies with claims and payments in pages of a list weight of 12 (a claim weighs 1 and
+    its payments): whatever the pages, all claims and payments, and no page over twice the bound."""
+    doc = build(I.POLICY.with_children("datos_sin"), _roles(spark, sf_dir), BuildOptions(max_items=12, stable_inputs=True))
+    weight = F.coalesce(F.size("datos_sin").cast("bigint") + nested_size("datos_sin", "datos_pago"), F.lit(0))
+    return doc.select("numpoliza", *_paged_claims_cols("datos_sin"), weight.alias("w")).groupBy("numpoliza").agg(
+        F.sum("n_claims").cast("bigint").alias("n_claims"), F.sum("n_payments").cast("bigint").alias("n_payments"),
+        (F.max("w") <= 24).alias("bounded"),
+    )
+
+
+def heavy_event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: the users with more than 66 events, by the sketch and the counts of its candidates."""
+    events = _src(spark, sf_dir, "events")
+    found = heavy_keys(events, ["user_id"], 66)
+    if found is None:
+        return events.select("user_id", F.lit(0).cast("bigint").alias("n")).limit(0)
+    return found.select("user_id", F.col(COUNT).alias("n"))
+
+
+def nest_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: claims nested by a key that a third of them lack: the null key is a group."""
+    claims = _roles(spark, sf_dir)["claims"]
+    keyed = claims.withColumn("idpoliza", F.when(F.col("o_orderstatus") != "F", F.col("idpoliza")))
+    return nest(keyed, "idpoliza", "datos_sin").select(
+        "idpoliza", list_size("datos_sin").alias("n_claims"), list_money("datos_sin", "o_totalprice").alias("sum_price")
+    )
+
+
+def join_split_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 with all parts from one outer join: orders and their lines shipped over 60 days later."""
+    orders, lineitem = _src(spark, sf_dir, "orders"), _src(spark, sf_dir, "lineitem")
+    on = [orders["o_orderkey"] == lineitem["l_orderkey"], lineitem["l_shipdate"] > F.date_add(orders["o_orderdate"], 60)]
+    return join_tagged(
+        orders, lineitem, on, left_cols=["o_orderkey", "o_totalprice"], right_cols=["l_orderkey", "l_linenumber", "l_quantity"], mode=3
+    )
+
+
+def join_split_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 under skew: events (five types hold all rows) with one row for each type but one, and the
+    regions, which match none; hot types are dealt over cells of 500 rows."""
+    events = _src(spark, sf_dir, "events")
+    types = events.where(F.col("event_type") != "click").groupBy("event_type").agg(F.max("value").alias("top"))
+    regions = _src(spark, sf_dir, "region").select(F.col("r_name").alias("event_type"), F.lit(0.0).alias("top"))
+    return join_tagged(
+        events, types.unionByName(regions), "event_type", left_cols=["event_id", "user_id"], right_cols=["top"], mode=3,
+        skew=Skew(500),
+    )
+
+
+# ---------------------------------------------------------------- loads, sinks, the job
+def _csv_folder(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "csv")
+    for name, df in standin.insurance_tables(spark, sf_dir).items():
+        df.write.option("header", True).csv(f"{root}/{name}.csv")
+    return root
+
+
+_SUMS = {
+    "policies": ["numpoliza"], "claims": ["idsiniestro", "idpoliza"], "payments": ["idpago", "importe_pago"],
+    "receipts": ["idrecibo", "importe_prima"], "tariffs": ["num_poliza", "importe_prima"], "clients": ["idcliente"],
+    "accounts": ["idcuenta", "idcliente"], "participants": ["idcliente", "numpoliza"],
+}
+
+
+def load_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight tables written as delimited text and loaded strictly, headers checked; rows
+    and column sums of each, and what a checked load rejects."""
+    root = _csv_folder(spark, sf_dir)
+    tables = load_tables(spark, root, strict=True)
+    rejected = load_checked(spark, root).rejected.groupBy("table").agg(F.count("*").alias("n_rejected"))
+    parts = []
+    for name, cols in _SUMS.items():
+        total = sum((F.coalesce(F.sum(F.col(c).cast("decimal(18,2)")), F.lit(0)) for c in cols), F.lit(0))
+        parts.append(tables[name].agg(F.count("*").alias("n"), total.cast("double").alias("total")).select(F.lit(name).alias("table"), "n", "total"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.join(rejected, "table", "left").select("table", "n", "total", F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"))
+
+
+def checked_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as text of which every seventh line does not parse (no number, a field too
+    many or too few, by turns): n lines in, n rows out, the bad ones with their line."""
+    customer = _src(spark, sf_dir, "customer")
+    schema = customer.select("c_custkey", "c_name", "c_nationkey").schema
+    key = F.col("c_custkey")
+    line = F.concat_ws(",", key.cast("string"), "c_name", F.col("c_nationkey").cast("string"))
+    broken = F.when(key % 21 == 0, F.concat(F.lit("x"), line)).when(key % 21 == 7, F.concat(line, F.lit(",1")))
+    broken = broken.otherwise(F.concat_ws(",", key.cast("string"), "c_name"))
+    path = scratch_path(spark, "lines")
+    customer.select(F.when(key % 7 == 0, broken).otherwise(line).alias("value")).write.text(path)
+    good, bad = read_checked(spark, path, schema, header=False)
+    parsed = good.select("c_custkey", "c_name", "c_nationkey", F.lit(None).cast("string").alias("line"))
+    lost = bad.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema], "line")
+    return parsed.unionByName(lost)
+
+
+def clustered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: payments in files by size and key range, read back through the ranges in two halves."""
+    path = scratch_path(spark, "clustered_payments")
+    payments = _src(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    write_clustered(payments, path, ["l_orderkey"], file_bytes=256 * 1024)
+    middle = _src(spark, sf_dir, "orders").agg(F.floor(F.avg("o_orderkey")).alias("m")).collect()[0]["m"]
+    low = read_clustered(spark, path, "l_orderkey", high=middle)
+    return low.unionByName(read_clustered(spark, path, "l_orderkey", low=middle + 1))
+
+
+def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: a table first published with the policies alone, then replaced by the same columns with
+    the claims counted, and read by its name."""
+    r = _roles(spark, sf_dir)
+    root = scratch_path(spark, "published")
+    database = "nestdoc_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    first = r["policies"].select("numpoliza", "c_name", F.lit(0).cast("bigint").alias("n_claims"))
+    publish(first, f"{database}.policies")
+    counts = r["claims"].groupBy(F.col("idpoliza").alias("numpoliza")).agg(F.count("*").alias("n"))
+    second = r["policies"].join(counts, "numpoliza", "left").select("numpoliza", "c_name", F.coalesce("n", F.lit(0)).alias("n_claims"))
+    publish(second, f"{database}.policies")
+    return spark.table(f"{database}.policies")
+
+
+def policy_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from eight delimited files to Parquet, summarised by policy."""
+    target = scratch_path(spark, "job")
+    run_job(spark, _csv_folder(spark, sf_dir), target)
+    return spark.read.parquet(target).select(
+        F.col("numpoliza").cast("bigint").alias("numpoliza"), "pol_estado",
+        list_size("datos_sin").alias("n_claims"), nested_size("datos_sin", "datos_pago").alias("n_payments"),
+        nested_money("datos_sin", "datos_pago", "importe_pago").alias("sum_payment"),
+        list_size("datos_recibos").alias("n_receipts"), list_size("datos_tarifa").alias("n_tariffs"),
+        list_size("datos_cliente").alias("n_participants"), nested_size("datos_cliente", "datos_cuenta").alias("n_accounts"),
+    )
+
+
+def job_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: what became of every input row of the document, counted in the write's own pass; claims
+    of orders in process have no policy here, and clients under 100 no participant."""
+    r = dict(_roles(spark, sf_dir))
+    r["claims"] = r["claims"].withColumn("idpoliza", F.when(F.col("o_orderstatus") != "P", F.col("idpoliza")))
+    r["participants"] = r["participants"].where("numpoliza >= 100")
+    doc, finish = accounted(I.POLICY, r)
+    doc.write.parquet(scratch_path(spark, "accounts"))
+    rows = [(a.name, a.rows, a.in_document, a.no_key, a.left_out) for a in finish() if not a.copied]
+    return spark.createDataFrame(rows, "name string, n_rows bigint, in_document bigint, no_key bigint, left_out bigint")
+
+
 QUERIES: dict[str, Query] = {
     "policy_document": policy_document,
     "policy_document_paged": policy_document_paged,
@@ -577,4 +729,15 @@ QUERIES: dict[str, Query] = {
     "split_account": split_account,
     "clean_text": clean_text,
     "format_row": format_row,
+    "document_bounded": document_bounded,
+    "heavy_event_keys": heavy_event_keys,
+    "nest_null_key": nest_null_key,
+    "join_split_conditions": join_split_conditions,
+    "join_split_skewed": join_split_skewed,
+    "load_all_tables": load_all_tables,
+    "checked_scan": checked_scan,
+    "clustered_files": clustered_files,
+    "published_table": published_table,
+    "policy_job": policy_job,
+    "job_accounts": job_accounts,
 }

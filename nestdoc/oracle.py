@@ -265,3 +265,79 @@ SQL["document_items"] = _with(
     ),
     lists=False,
 )
+
+SQL["document_bounded"] = _with(
+    """SELECT p.numpoliza, CAST(cl.n_claims AS BIGINT) AS n_claims, CAST(cl.n_payments AS BIGINT) AS n_payments, true AS bounded
+FROM policies p LEFT JOIN cl ON p.numpoliza = cl.idpoliza"""
+)
+SQL["heavy_event_keys"] = "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 66"
+SQL["nest_null_key"] = _with(
+    """SELECT CASE WHEN o_orderstatus <> 'F' THEN idpoliza END AS idpoliza, count(*) AS n_claims,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price
+FROM claims GROUP BY 1""",
+    lists=False,
+)
+SQL["join_split_conditions"] = """SELECT
+  CASE WHEN o_orderkey IS NULL THEN 'right_only' WHEN l_orderkey IS NULL THEN 'left_only' ELSE 'matched' END AS part,
+  o_orderkey, o_totalprice, l_orderkey, l_linenumber, l_quantity
+FROM orders FULL JOIN lineitem ON o_orderkey = l_orderkey AND l_shipdate > CAST(o_orderdate AS DATE) + 60"""
+SQL["join_split_skewed"] = """WITH b AS (
+  SELECT event_type, max(value) AS top FROM events WHERE event_type <> 'click' GROUP BY event_type
+  UNION ALL SELECT r_name, 0.0 FROM region)
+SELECT CASE WHEN e.event_type IS NULL THEN 'right_only' WHEN b.event_type IS NULL THEN 'left_only' ELSE 'matched' END AS part,
+  coalesce(e.event_type, b.event_type) AS event_type, event_id, user_id, CAST(top AS DOUBLE) AS top
+FROM events e FULL JOIN b ON e.event_type = b.event_type"""
+
+_TABLE_SUMS = {
+    "policies": ("customer", "c_custkey"),
+    "claims": ("orders", "o_orderkey + o_custkey"),
+    "payments": ("lineitem", "l_orderkey * 10 + l_linenumber + CAST(l_extendedprice AS DECIMAL(18,2))"),
+    "receipts": ("events", "event_id + CAST(value AS DECIMAL(18,2))"),
+    "tariffs": (
+        "(SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT c_custkey, 0 FROM customer)", "c_custkey + c_nationkey",
+    ),
+    "clients": ("customer", "c_custkey"),
+    "accounts": ("events", "event_id + user_id"),
+    "participants": ("customer", "c_custkey + c_custkey"),
+}
+SQL["load_all_tables"] = "\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS "table", count(*) AS n, CAST(sum(CAST({total} AS DECIMAL(18,2))) AS DOUBLE) AS total,
+  CAST(0 AS BIGINT) AS n_rejected FROM {source}"""
+    for name, (source, total) in _TABLE_SUMS.items()
+)
+SQL["checked_scan"] = """WITH l AS (
+  SELECT *, concat_ws(',', c_custkey, c_name, c_nationkey) AS good FROM customer)
+SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name,
+  CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS c_nationkey,
+  CASE WHEN c_custkey % 7 <> 0 THEN NULL WHEN c_custkey % 21 = 0 THEN 'x' || good
+    WHEN c_custkey % 21 = 7 THEN good || ',1' ELSE concat_ws(',', c_custkey, c_name) END AS line
+FROM l"""
+SQL["clustered_files"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem"
+SQL["published_table"] = """SELECT c_custkey AS numpoliza, c_name, coalesce(n, 0) AS n_claims
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey"""
+SQL["policy_job"] = _with(
+    """SELECT p.numpoliza, p.c_mktsegment AS pol_estado, """ + CLAIM_COLS + """,
+  CAST(rc.n_receipts AS BIGINT) AS n_receipts, CAST(tf.n_tariffs AS BIGINT) AS n_tariffs,
+  CAST(pt.n_participants AS BIGINT) AS n_participants, CAST(pt.n_accounts AS BIGINT) AS n_accounts
+FROM policies p
+LEFT JOIN cl ON p.numpoliza = cl.idpoliza
+LEFT JOIN rc ON p.numpoliza = rc.idpoliza
+JOIN tf ON p.numpoliza = tf.num_poliza
+JOIN pt ON p.numpoliza = pt.numpoliza"""
+)
+SQL["job_accounts"] = _with(
+    """, kept AS (SELECT numpoliza FROM policies WHERE numpoliza >= 100),
+c2 AS (SELECT idsiniestro, CASE WHEN o_orderstatus <> 'P' THEN idpoliza END AS idpoliza FROM claims),
+a AS (
+  SELECT 'policies' AS name, count(*) AS n_rows, (SELECT count(*) FROM kept) AS in_document, 0 AS no_key FROM policies
+  UNION ALL SELECT 'datos_sin', count(*), count(*) FILTER (idpoliza IN (FROM kept)), count(*) FILTER (idpoliza IS NULL) FROM c2
+  UNION ALL SELECT 'datos_sin/datos_pago', count(*), count(*) FILTER (idsiniestro IN (
+    SELECT idsiniestro FROM c2 WHERE idpoliza IN (FROM kept))), count(*) FILTER (idsiniestro IS NULL) FROM payments
+  UNION ALL SELECT 'datos_recibos', count(*), count(*) FILTER (idpoliza IN (FROM kept)), count(*) FILTER (idpoliza IS NULL) FROM receipts
+  UNION ALL SELECT 'datos_tarifa', count(*), count(*) FILTER (num_poliza IN (FROM kept)), 0 FROM tariffs
+  UNION ALL SELECT 'datos_cliente', count(*), count(*), 0 FROM kept)
+SELECT name, CAST(n_rows AS BIGINT) AS n_rows, CAST(in_document AS BIGINT) AS in_document, CAST(no_key AS BIGINT) AS no_key,
+  CAST(n_rows - in_document - no_key AS BIGINT) AS left_out
+FROM a""",
+    lists=False,
+)

@@ -5,15 +5,18 @@ runs on it) and keeps its own payload columns. Dates become ``yyyy-MM-dd``
 text, as in the insurance tables. All of it is projection and filtering over
 Parquet scans, so Catalyst pushes both into the reader.
 
-| role         | source                                   | key            | foreign key(s)              |
-| policies     | customer                                 | numpoliza      |                             |
-| claims       | orders with o_orderstatus = 'F'          | idsiniestro    | idpoliza                    |
-| payments     | lineitem                                 |                | idsiniestro                 |
-| receipts     | events                                   | idrecibo       | idpoliza                    |
-| tariffs      | customer outside BUILDING, two rows each | num_poliza+tarifa | num_poliza               |
-| participants | customer with c_acctbal > 0              |                | numpoliza, idcliente        |
-| clients      | nation                                   | idcliente      |                             |
-| accounts     | supplier with s_acctbal > 5000           | idcuenta       | idcliente                   |
+| role         | source                  | key               | foreign key(s)       |
+| policies     | customer                | numpoliza         |                      |
+| claims       | orders                  | idsiniestro       | idpoliza             |
+| payments     | lineitem                |                   | idsiniestro          |
+| receipts     | events                  | idrecibo          | idpoliza             |
+| tariffs      | customer, two rows each | num_poliza+tarifa | num_poliza           |
+| participants | customer                |                   | numpoliza, idcliente |
+| clients      | customer                | idcliente         |                      |
+| accounts     | events                  | idcuenta          | idcliente            |
+
+:func:`insurance_tables` gives the same rows with exactly the insurance columns
+and types, as the delimited files of the job have them.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SOURCE_TABLES = ("customer", "orders", "lineitem", "events", "nation", "supplier")
+from .schemas import SCHEMAS
+
+SOURCE_TABLES = ("customer", "orders", "lineitem", "events")
 
 
 def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,3 +157,36 @@ class Roles(Mapping):
 def load_roles(spark: SparkSession, sf_dir: str) -> Roles:
     """The eight insurance tables, played by the driver's tables under sf_dir."""
     return Roles(spark, sf_dir)
+
+
+def insurance_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The eight tables with the fixed insurance schemas; what the sources do not tell is null."""
+    customer, orders = read_source(spark, sf_dir, "customer"), read_source(spark, sf_dir, "orders")
+    lineitem, events = read_source(spark, sf_dir, "lineitem"), read_source(spark, sf_dir, "events")
+    two = F.explode(F.array(F.lit("TS1"), F.lit("TF1")))
+    filled = {
+        "policies": (customer, {"numpoliza": "c_custkey", "pol_estado": "c_mktsegment"}),
+        "claims": (orders, {
+            "idsiniestro": "o_orderkey", "idpoliza": "o_custkey", "fecha_ocurs": _day("o_orderdate"),
+            "tipo_siniestro": "o_orderpriority", "estado": "o_orderstatus",
+        }),
+        "payments": (lineitem, {
+            "idpago": F.col("l_orderkey") * 10 + F.col("l_linenumber"), "idsiniestro": "l_orderkey", "estado": "l_linestatus",
+            "fecha_pago": _day("l_shipdate"), "importe_pago": "l_extendedprice", "tipo_pago": "l_returnflag",
+        }),
+        "receipts": (events, {
+            "idrecibo": "event_id", "fecha_efecto": _day("ts"), "idpoliza": "user_id", "situacion": "event_type", "importe_prima": "value",
+        }),
+        "tariffs": (customer.select("*", two.alias("t")), {
+            "num_poliza": "c_custkey", "tarifa": "t", "importe_prima": F.when(F.col("t") == "TS1", F.col("c_nationkey")).otherwise(0),
+        }),
+        "clients": (customer, {"idcliente": "c_custkey", "nombre": "c_name"}),
+        "accounts": (events, {"idcuenta": "event_id", "idcliente": "user_id", "empresa": "event_type"}),
+        "participants": (customer, {"idcliente": "c_custkey", "numpoliza": "c_custkey", "tipo_intervencio": "c_mktsegment"}),
+    }
+    out = {}
+    for name, (source, columns) in filled.items():
+        cols = [columns.get(f.name, F.lit(None)) for f in SCHEMAS[name]]
+        cols = [F.col(c) if isinstance(c, str) else c for c in cols]
+        out[name] = source.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, SCHEMAS[name], strict=True)])
+    return out
