@@ -76,7 +76,7 @@ def accounted(
 
     watched = watch(spec, (), None, False)
     # The lookup joins shuffle: measuring their sides would run the watched tables once more.
-    doc = _build(watched, (), out_tables, replace(opts, lookup_broadcast_rows=0, lookup_hot_rows=1 << 62), Heavy())
+    doc = _build(watched, (), out_tables, replace(opts, lookup_broadcast_rows=0, lookup_hot_rows=None), Heavy())
     lists = list(_lists(spec))
     out = Observation("document")
     sums = [F.sum(_items_of(q(p[0]), list(p[1:]))).alias(f"n{k}") for k, (p, _, _) in enumerate(lists)]

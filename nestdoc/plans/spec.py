@@ -100,7 +100,8 @@ class BuildOptions:
     lookup_broadcast_rows, lookup_broadcast_bytes: budgets under which a
         lookup side is broadcast (see lookup_fits).
     lookup_hot_rows: where a lookup side is over those budgets, keys with more
-        rows than this are looked up by sending their side alone.
+        rows than this are looked up by sending their side alone (None: all
+        rows are shuffled, and no key is measured).
     persist: storage level for the built frames (off: nothing is read twice).
     checkpoint_lists: write every nested list side as a reliable checkpoint
         (to spark.checkpoint.dir) before it is joined. The joins then restart
@@ -120,7 +121,7 @@ class BuildOptions:
     max_items: int | None = None
     lookup_broadcast_rows: int = LOOKUP_BROADCAST_ROWS
     lookup_broadcast_bytes: int = LOOKUP_BROADCAST_BYTES
-    lookup_hot_rows: int = LOOKUP_HOT_ROWS
+    lookup_hot_rows: int | None = LOOKUP_HOT_ROWS
     persist: StorageLevel | None = None
     checkpoint_lists: bool = False
     stable_inputs: bool = False
@@ -474,7 +475,9 @@ def _apply_lookup(df: DataFrame, lk: Lookup, path: Path, tables, opts: BuildOpti
     # The side is too large to send. Keys that hold a mass of rows (a client in half of all
     # policies) are looked up apart: their own few rows of the side are sent, and only the
     # others' rows are shuffled.
-    hot = heavy_keys(df.select(q(lk.on)), [lk.on], opts.lookup_hot_rows, nulls=False)
+    hot = None
+    if opts.lookup_hot_rows is not None:
+        hot = heavy_keys(df.select(q(lk.on)), [lk.on], opts.lookup_hot_rows, nulls=False)
     if hot is None:
         return joined(df, side, False)
     hot = hot.select(q(lk.on).alias("_k")).checkpoint(eager=True)

@@ -178,17 +178,17 @@ def _versions(spark: SparkSession, table: str) -> str:
 def _point(spark: SparkSession, table: str, home: str, path: str) -> None:
     """Make the table read the files at ``path``."""
     database, name = _parts(spark, table)
-    full = f"`{database}`.`{name}`"
+    full, quoted = f"`{database}`.`{name}`", path.replace("\\", "\\\\").replace("'", "\\'")
     if spark.catalog.tableExists(full):
         now = spark.table(full).schema
         detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()}
         same = [(f.name, f.dataType) for f in now] == [(f.name, f.dataType) for f in spark.read.parquet(path).schema]
         if same and f"/{name}__versions/" in (detail.get("Location") or ""):
-            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{quoted}'")
             spark.catalog.refreshTable(full)
             return
         spark.sql(f"DROP TABLE {full}")
-    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{quoted}'")
 
 
 FILES = "_files"  # the folder with the key range of each data file; readers of the data skip it

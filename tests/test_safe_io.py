@@ -166,8 +166,10 @@ def test_bad_rows_come_back_with_their_lines(spark, tmp_dir):
 
 # ------------------------------------------------------------------ K5, C8
 def test_accounts_add_up_without_another_scan(spark, tmp_dir):
-    doc, finish = accounted(I.POLICY, tables(spark))
     tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("accounts-plan", "no job")
+    doc, finish = accounted(I.POLICY, tables(spark))
+    assert not tracker.getJobIdsForGroup("accounts-plan")  # planning runs nothing
     spark.sparkContext.setJobGroup("accounts", "one write")
     doc.write.parquet(os.path.join(tmp_dir, "doc"))
     got = {a.name: a for a in finish()}
