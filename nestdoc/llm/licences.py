@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 
 from nestdoc.llm._frames import quoted, table
 from nestdoc.llm._recurrent import F32, Adam
-from nestdoc.llm._words import ALNUM, U64, Words, chunks, ngrams, utf8, words
+from nestdoc.llm._words import ALNUM, U64, Words, chunks, ngrams, spread, utf8, words
 
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 4000
@@ -109,6 +110,7 @@ class Windows:
     count: np.ndarray
     first: np.ndarray  # first word among the words of all texts
     line: np.ndarray  # line of each word of all texts
+    sizes: np.ndarray | None = None  # words of each n-gram, where they are not in order of length
 
 
 def _lines(data: np.ndarray, w: Words) -> np.ndarray:
@@ -117,8 +119,9 @@ def _lines(data: np.ndarray, w: Words) -> np.ndarray:
     return breaks[w.starts] if len(w.starts) else np.zeros(0, np.int64)
 
 
-def windows(column: pa.Array, wrapped: bool = False) -> Windows:
-    """Windows of each line and, if `wrapped`, those of lines read together that hold more than one."""
+def _cut(column: pa.Array, wrapped: bool) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of some texts, the line of each, and first words and ends of the windows: those of each
+    line and, if `wrapped`, those of lines read together that hold more than one."""
     data, offsets = utf8(column)
     w = words(data, offsets, ALNUM)
     total, row, line = len(w.hashes), w.row, _lines(data, w)
@@ -133,6 +136,13 @@ def windows(column: pa.Array, wrapped: bool = False) -> Windows:
     if wrapped and total:
         use = (of < len(starts[0])) | (line[at] != line[end - 1])
         at, end = at[use], end[use]
+    return w, line, at, end
+
+
+def windows(column: pa.Array, wrapped: bool = False) -> Windows:
+    """All windows with all their n-grams."""
+    w, line, at, end = _cut(column, wrapped)
+    total, row = len(w.hashes), w.row
     parts, owner = [], []
     for k in (1, 2, 3):
         hashes, first = ngrams(w, k)
@@ -161,21 +171,67 @@ class Model:
     temperature: float
     templates: list[list[np.ndarray]]  # by family: of each notice the hashes of its word pairs and words
 
+    @cached_property
+    def support(self) -> np.ndarray:
+        """Which n-gram ids have a weight or are those of a notice."""
+        out = (self.weights != 0).any(axis=1)
+        out[_ids(self.index[0])] = True
+        return out
+
+    @cached_property
+    def index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hashes of all notices one after another, where each notice begins, and its family."""
+        flat = [(f, t) for f, ts in enumerate(self.templates) for t in ts]
+        sizes = np.array([len(t) for _, t in flat])
+        return np.concatenate([t for _, t in flat]), np.cumsum(sizes) - sizes, np.array([f for f, _ in flat])
+
     def logits(self, w: Windows) -> np.ndarray:
         sums = np.add.reduceat(self.weights[_ids(w.grams)], np.cumsum(w.count) - w.count, axis=0) if len(w.count) else np.zeros((0, len(self.bias)), F32)
         return sums + self.bias
 
+    def spots(self, column: pa.Array) -> Windows:
+        """All windows with those of their n-grams that have a weight or are in a notice: the others
+        add nothing. `words` holds each n-gram's place in its window, `count` how many each has."""
+        w, line, at, end = _cut(column, wrapped=True)
+        place, size, grams = [], [], []
+        for k in (1, 2, 3):
+            hashes, first = ngrams(w, k)
+            hashes = hashes + U64(k)
+            use = self.support[_ids(hashes)]
+            place.append(first[use])
+            size.append(np.full(int(use.sum()), k))
+            grams.append(hashes[use])
+        owner, member = [], []
+        for p, n, base in zip(place, (1, 2, 3), np.cumsum([0, *map(len, place[:2])]), strict=True):
+            low, high = np.searchsorted(p, at), np.searchsorted(p, end - n, "right")
+            k, of = spread(low, np.maximum(low, high))
+            member.append(k + base)
+            owner.append(of)
+        order = np.argsort(np.concatenate(owner), kind="stable")
+        owner_, member_ = np.concatenate(owner)[order], np.concatenate(member)[order]
+        place_, size_, grams_ = np.concatenate(place), np.concatenate(size), np.concatenate(grams)
+        r = w.row[at] if len(w.hashes) else at
+        return Windows(
+            r, at - w.first[r] if len(at) else at, place_[member_] - at[owner_], grams_[member_],
+            np.bincount(owner_, minlength=len(at)), at, line, size_[member_],
+        )
+
     def findings(self, column: pa.Array) -> list[tuple[int, int, str, float, float]]:
         """(row, first word, family, probability, confirmed share) of each place of a notice."""
-        w = windows(column, wrapped=True)
-        z = self.logits(w).astype(np.float64) / self.temperature
+        w = self.spots(column)
+        some = np.flatnonzero(w.count)  # the others are as unknown as the bias says
+        first = np.cumsum(w.count) - w.count
+        z = np.repeat(self.bias[None, :], len(w.count), axis=0).astype(np.float64)
+        if len(some):
+            z[some] += np.add.reduceat(self.weights[_ids(w.grams)], first[some], axis=0)
+        z /= self.temperature
         z -= z.max(axis=1, keepdims=True) if len(z) else 0
         p = np.exp(z)
         p /= p.sum(axis=1, keepdims=True)
-        first = np.cumsum(w.count) - w.count
         found = []
-        for k in np.flatnonzero(1 - p[:, 0] >= SURE).tolist():
-            for start, end, f, sure, share in self._notices(w.grams[first[k] : first[k] + w.count[k]], int(w.words[k])):
+        for k in np.flatnonzero((1 - p[:, 0] >= SURE) & (w.count > 0)).tolist():
+            part = slice(first[k], first[k] + w.count[k])
+            for start, end, f, sure, share in self._notices(w.grams[part], w.words[part], w.sizes[part]):
                 at = int(w.start[k])
                 found.append((int(w.row[k]), f, at + start, at + end, int(w.line[w.first[k] + start]), sure, share))
         places: list[tuple[int, int, int, int, int, float, float]] = []
@@ -193,18 +249,20 @@ class Model:
                 row, reach = x[0], x[3]
         return out
 
-    def _notices(self, grams: np.ndarray, n: int) -> Iterator[tuple[int, int, int, float, float]]:
-        """(first word, end, family, probability, confirmed share) of the notices in a window of n words."""
-        size = np.repeat([1, 2, 3], [n, max(n - 1, 0), max(n - 2, 0)])
-        at = np.concatenate([np.arange(max(n - k, 0)) for k in range(3)])
+    def _notices(self, grams: np.ndarray, at: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int, float, float]]:
+        """(first word, end, family, probability, confirmed share) of the notices in a window, given
+        by its n-grams, their places and their lengths."""
+        parts, begin, family = self.index
         while len(grams):
             z = (self.weights[_ids(grams)].sum(axis=0) + self.bias).astype(np.float64) / self.temperature
             p = np.exp(z - z.max())
+            hits = np.add.reduceat(np.isin(parts, grams).astype(np.int64), begin)
+            shares = hits / np.diff(np.append(begin, len(parts)))
             held: dict[int, tuple[int, float, np.ndarray]] = {}
-            for f, notices in enumerate(self.templates):
-                hits = [(int(m.sum()), float(m.mean()), t) for t in notices for m in [np.isin(t, grams)]]
-                if good := [h for h in hits if h[1] >= CONFIRM]:
-                    held[f] = max(good, key=lambda h: h[:2])
+            for k in np.flatnonzero(shares >= CONFIRM).tolist():
+                f, good = int(family[k]), (int(hits[k]), float(shares[k]), parts[begin[k] : np.append(begin, len(parts))[k + 1]])
+                if f not in held or good[:2] > held[f][:2]:
+                    held[f] = good
             if not held:
                 return
             f = max(held, key=lambda f: p[f])
@@ -218,7 +276,7 @@ class Model:
             spans = [mine[(at[mine] >= a) & (at[mine] <= a + len(notice))] for a in at[mine]]
             span = max(spans, key=lambda m: (len(np.unique(grams[m])), at[m[0]] - at[m[-1]]))
             start, end = int(at[span[0]]), int((at[span] + size[span]).max())
-            yield start, end, f, sure, max(float(np.isin(t, grams).mean()) for t in self.templates[f])
+            yield start, end, f, sure, float(shares[family == f].max())
             rest = (at + size <= start) | (at >= end)
             grams, at, size = grams[rest], at[rest], size[rest]
 
@@ -306,8 +364,15 @@ def train(docs: DataFrame, text: str = "text", seed: int = 0) -> Model:
     """Model of a bounded sample of the documents."""
     t = quoted(text)
     at = F.lit(1) + F.floor(F.greatest(F.length(t) - SAMPLE_CHARS, F.lit(0)) * F.pmod(F.xxhash64(t), F.lit(1000)) / 1000)
-    some = docs.where(t.isNotNull()).select(F.xxhash64(t, F.lit(seed)).alias("u"), F.substring(t, at.cast("int"), F.lit(SAMPLE_CHARS)).alias("piece"))
-    rows = some.orderBy("u", "piece").limit(SAMPLE_DOCS).collect()
+    drawn = docs.where(t.isNotNull()).select(F.xxhash64(t, F.lit(seed)).alias("u"), F.substring(t, at.cast("int"), F.lit(SAMPLE_CHARS)).alias("piece"))
+    # The texts of the smallest hashes, each once. Only about four times as many as are wanted
+    # leave the tasks, unless copies make the distinct ones fewer.
+    n = docs.where(t.isNotNull()).count()
+    for share in (4 * SAMPLE_DOCS / max(n, 1), 64 * SAMPLE_DOCS / max(n, 1), 1.0):
+        near = drawn if share >= 1 else drawn.where(F.col("u") < F.lit(int(-(1 << 63) + share * (1 << 64))))
+        rows = near.groupBy("u").agg(F.min("piece").alias("piece")).orderBy("u").limit(SAMPLE_DOCS).collect()
+        if len(rows) == SAMPLE_DOCS or share >= 1:
+            break
     return fit([line for r in rows for line in r["piece"].split("\n")], seed)
 
 
