@@ -6,7 +6,8 @@ part of that is certain: so many whole copies. The rest is an inclusion probabil
 documents are ranked by Pareto's variable: random odds u / (1 - u) over inclusion odds
 p / (1 - p). The documents of the lowest ranks make the sample, which has a fixed size: as many
 words as the source lacks. With `weight`, documents of one source are due in proportion to it
-(no more than `most` times each), so that p differs from document to document.
+(no more than `most` times each), so that p differs from document to document; it is a column or
+a function of the document's size, such as `by_length`.
 
 The rank at which a source has enough is found by counting words in cells of rank, then in the
 cells of the one where the sum crosses, and so on: every step is a sum over (source, cell), so
@@ -21,11 +22,13 @@ depends on id, text and seed alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestdoc.llm._frames import free_name, n_words, pinned, quoted, sent, table, unit_hash
+from nestdoc.llm._frames import free_name, n_words, pinned, quoted, release, sent, table, unit_hash
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -34,6 +37,11 @@ CELLS = 1024
 STEPS = 4
 
 
+def by_length(size: Column) -> Column:
+    """Longer documents are likelier: the binary logarithm of 1 + size."""
+    return F.log2(1 + size)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """(source, source_size) to the same with the target in words, a double.
 
@@ -71,7 +79,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 def _per_word(ranked: DataFrame, most: int) -> DataFrame:
     """`due` copies in proportion to weight: source targets are met though none is due more than
     `most`. Each pass fixes the documents that are at `most` and rescales the others."""
-    capped = F.lit(False)
+    capped, last = F.lit(False), ranked
     while True:
         by_source = ranked.groupBy("source").agg(
             F.sum(F.when(capped, most * F.col("size")).otherwise(0)).alias("fixed"),
@@ -88,7 +96,8 @@ def _per_word(ranked: DataFrame, most: int) -> DataFrame:
         new = pinned(joined.select(*ranked.columns, F.least(due, F.lit(float(most))).alias("new_due"), capped.alias("was")))
         ranked = new.select(*[c for c in ranked.columns if c != "due"], F.col("new_due").alias("due"), "was")
         more = ranked.where(~F.col("was") & (F.col("due") >= most)).limit(1).count()
-        ranked = ranked.drop("was")
+        release(last)
+        last, ranked = ranked, ranked.drop("was")
         if not more:
             return ranked
         capped = F.col("due") >= most
@@ -99,7 +108,7 @@ def mix_documents(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    weight: str | None = None,
+    weight: str | Callable[[Column], Column] | None = None,
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MOST,
     seed: int = 0,
@@ -114,9 +123,11 @@ def mix_documents(
         quoted(source).cast("string").alias("source"),
         n_words(quoted(text)).alias("size"),
         unit_hash(quoted(doc_id), quoted(text), F.lit(seed)).alias("u"),
-        (F.coalesce(quoted(weight).cast("double"), F.lit(0.0)) if weight else F.lit(1.0)).alias("weight"),
+        (quoted(weight).cast("double") if isinstance(weight, str) else F.lit(1.0)).alias("weight"),
     )
-    base = pinned(base)
+    if callable(weight):
+        base = base.withColumn("weight", weight(F.col("size")).cast("double"))
+    base = pinned(base.withColumn("weight", F.coalesce("weight", F.lit(0.0))))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = pinned(source_targets(sizes, weights, most))
     targets = targets.withColumnRenamed("source", "s")
@@ -206,6 +217,7 @@ def take_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often every document is taken for a mix of the sources by weights 1, 2, 3."""
+    """How often every document is taken for a mix of the sources by weights 1, 2, 3, in which longer
+    documents are likelier than short ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_documents(docs)
+    return mix_documents(docs, weight=by_length)

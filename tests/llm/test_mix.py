@@ -1,6 +1,9 @@
+import math
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from nestdoc.llm import mix as M
 
 from .helpers import SCHEMA, odd_rows, prose, spaced
@@ -58,6 +61,50 @@ def test_inclusion_follows_the_odds(spark):
     assert abs(seen[0] / n - 1 / 3) < 0.12 and abs(seen[1] / n - 2 / 3) < 0.12 and abs(seen[2] / n - 1) < 0.12
 
 
+def test_draw_is_that_of_sorted_pareto_ranks(spark):
+    """The documents that the query's draw takes, by plain sorting of Pareto's ranks."""
+    rng = random.Random(11)
+    rows = [(k, prose(rng, rng.choice([0, 1, 3, 8, 30, 200])), rng.choice(["a", "b", "b", "b", "b", "c", None])) for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    drawn = {r["doc_id"]: r["u"] for r in df.select("doc_id", M.unit_hash(df["doc_id"], df["text"], F.lit(0)).alias("u")).collect()}
+    got = {r["doc_id"]: r for r in M.mix_documents(df, weight=M.by_length).collect()}
+    size = {i: len(spaced(t)) for i, t, _ in rows}
+    by_source = defaultdict(list)
+    for i, _, s in rows:
+        by_source[s].append(i)
+    targets = filled({s: sum(size[i] for i in ids) for s, ids in by_source.items()})
+    shares = set()
+    for s, ids in by_source.items():
+        due = dict.fromkeys(ids, 0.0)
+        capped = set()
+        while True:
+            left = targets[s] - sum(3 * size[i] for i in capped)
+            weight = {i: math.log2(1 + size[i]) for i in ids if i not in capped}
+            total = sum(w * size[i] for i, w in weight.items())
+            for i, w in weight.items():
+                due[i] = min(3.0, left * w / total) if total else 0.0
+            new = {i for i in weight if due[i] >= 3}
+            if not new:
+                break
+            capped |= new
+            due |= dict.fromkeys(capped, 3.0)
+        copies = {i: math.floor(due[i] + 1e-9) if size[i] else 0 for i in ids}
+        lack = targets[s] - sum(copies[i] * size[i] for i in ids)
+        ranks = []
+        for i in ids:
+            p = due[i] - copies[i]
+            if size[i] and p > 1e-9:
+                shares.add(round(p, 6))
+                ranks.append(((drawn[i] / (1 - drawn[i])) / (p / (1 - p)), i))
+        for _, i in sorted(ranks):
+            if size[i] >= 2 * lack:
+                break
+            copies[i] += 1
+            lack -= size[i]
+        assert copies == {i: got[i]["copies"] for i in ids}, s
+    assert len(shares) > 10  # the probabilities differ
+
+
 def test_mix_rows_and_empty_table(spark):
     rng = random.Random(7)
     rows = [(k, prose(rng, 20), "ab"[k % 2], 1) for k in range(60)] + [(0, None, "a", 2), (None, "x y", None, 3)]
