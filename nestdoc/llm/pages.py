@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestdoc.llm._frames import quoted, table
+from nestdoc.llm._frames import free_name, quoted, table, widened
 from nestdoc.llm._recurrent import F32, Adam, lstm, lstm_back, lstm_weights, sigmoid
 from nestdoc.llm._words import chunks
 
@@ -49,10 +49,13 @@ PATHS, WORDS, WIDTH, HIDDEN, MEASURES = 2048, 2048, 12, 16, 6
 
 # Names of HTML elements by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math canvas object select title head".split())
+RAW = frozenset("script style textarea iframe title head".split())
+#: Pictures, choices of a form and what only other readers see: skipped to their end tag; without
+#: one they are read on like any element.
+ASIDE = frozenset("svg select noscript template".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var br wbr img".split()
+    "a abbr acronym b bdi bdo big canvas cite code data del dfn em font i ins kbd label mark math noscript object q s samp "
+    "select small span strike strong sub sup svg template time tt u var br wbr img".split()
 )
 #: An opening tag closes an open element of these names, up to the element that holds them.
 CLOSES = {
@@ -136,10 +139,15 @@ def blocks(page: str) -> list[Block]:
                 if tag not in INLINE:
                     flush()
             continue
-        if tag in RAW and not m[3].endswith("/"):
-            if tag not in INLINE:
-                flush()
+        end = None
+        if (tag in RAW or tag in ASIDE or tag == "math") and not m[3].endswith("/"):
             end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
+        if tag == "math" and end is not None:  # a formula is text of its block, whatever elements it has
+            read(_TAG.sub(lambda t: "" if t[2] else t[0], page[at : end.start()]))
+            at = end.end()
+            continue
+        if (tag in RAW or (tag in ASIDE and end is not None)) and not m[3].endswith("/"):
+            flush()
             if end is not None:
                 at = end.end()
             elif tag == "head":  # it ends where the body begins
@@ -411,7 +419,7 @@ def fit(pages: list[str], seed: int = 0) -> Labeller:
     truth = [[by_names(b) for b in p] for p in read]
     long = [b.text for p, y in zip(read, truth, strict=True) for b, main in zip(p, y, strict=True) if main and len(b.text) > 60]
     short = [b.text for p in read for b in p if len(b.text) <= 60]
-    long, short = long[:5000] or ["One sentence of a text, and one more."], short[:5000] or ["A title"]
+    long, short = long or ["One sentence of a text, and one more."], short or ["A title"]
     data = [(encode(p), np.array([-1 if v is None else int(v) for v in y], F32)) for p, y in zip(read, truth, strict=True)]
     for _ in range(MADE_PAGES):
         made = made_page(rng, long, short)
@@ -424,25 +432,33 @@ def fit(pages: list[str], seed: int = 0) -> Labeller:
 def train(pages: DataFrame, html: str = "html", seed: int = 0) -> Labeller:
     """Labeller of a bounded sample of the pages."""
     h = quoted(html)
-    some = pages.where(h.isNotNull() & (F.octet_length(h) <= SAMPLE_BYTES)).select(h.alias("html"), F.xxhash64(h, F.lit(seed)).alias("u"))
-    return fit([r["html"] for r in some.orderBy("u", "html").limit(SAMPLE_PAGES).collect()], seed)
+    some = pages.where(h.isNotNull()).select(F.substring(h, 1, SAMPLE_BYTES).alias("html"), F.xxhash64(h, F.lit(seed)).alias("u"))
+    # The pages of the smallest hashes, each once; only some more than are wanted leave the tasks.
+    n = pages.where(h.isNotNull()).count()
+    for share in (4 * SAMPLE_PAGES / max(n, 1), 64 * SAMPLE_PAGES / max(n, 1), 1.0):
+        near = some if share >= 1 else some.where(F.col("u") < F.lit(int(-(1 << 63) + share * (1 << 64))))
+        rows = near.groupBy("u").agg(F.min("html").alias("html")).orderBy("u").limit(SAMPLE_PAGES).collect()
+        if len(rows) == SAMPLE_PAGES or share >= 1:
+            return fit([r["html"] for r in rows], seed)
 
 
 def extract(pages: DataFrame, model: Labeller, html: str = "html", out: str = "text") -> DataFrame:
     """`pages` with the main text in a column `out` in place of the html."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
-    fields = [f for f in pages.schema.fields if f.name != html]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, html, CHUNK_BYTES):
-            at = part.schema.get_field_index(html)
-            read = [blocks(h or "") for h in part.column(at).to_pylist()]
-            scores = shared.value.scores([encode(p) for p in read])
-            texts = ["\n".join(b.text for b, s in zip(p, y, strict=True) if s >= 0.5) for p, y in zip(read, scores, strict=True)]
-            columns = [c for k, c in enumerate(part.columns) if k != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*(f.name for f in fields), out])
-
-    return pages.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.StringType())]))
+
+    def read(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        for part in chunks(batches, f"c{at}", CHUNK_BYTES):
+            found = [blocks(h or "") for h in part.column(at).to_pylist()]
+            scores = shared.value.scores([encode(p) for p in found])
+            texts = ["\n".join(b.text for b, s in zip(p, y, strict=True) if s >= 0.5) for p, y in zip(found, scores, strict=True)]
+            yield part, [pa.array(texts, pa.string())]
+
+    rest = [quoted(c) for c in pages.columns if c != html]
+    # The html goes first, under a name that no other column's new name can meet.
+    whole = pages.select(quoted(html).alias("html"), F.struct(F.lit(0).alias("_"), *rest).alias("rest"))
+    done = widened(whole, "html", [("main_text", T.StringType())], read)
+    name = free_name(pages.select(*rest), out)
+    return done.select(*[F.col("rest")[c].alias(c) for c in pages.columns if c != html], F.col("main_text").alias(name))
 
 
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,3 +74,31 @@ def test_lstm_gradient():
         less = (lstm(w, x, mask, True)[0] * up).sum()
         w[k][i] += 1e-4
         assert abs((more - less) / 2e-4 - dw[k][i]) < 2e-2
+
+
+def test_elements_that_hold_text_or_have_no_end():
+    def texts(page):
+        return [b.text for b in P.blocks(page)]
+
+    assert texts("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p>") == ["a x=1 b"]
+    assert texts("<p>a <object data=f><p>fallback</p></object></p><canvas>drawn</canvas>") == ["a", "fallback", "drawn"]
+    for tag in ("svg", "object", "noscript", "template", "select", "canvas", "math"):
+        assert texts(f"<p>one</p><{tag} x=y><p>two</p><p>three 1 < 2</p>")[:2] == ["one", "two"], tag
+    assert texts("<p>one</p><svg><text>skip</text></svg><select><option>no</select><p>two") == ["one", "two"]
+    assert texts("<p>one</p><script>var two = '<p>'; ") == ["one"]
+
+
+def test_long_pages_train_and_names_may_clash(spark, monkeypatch):
+    monkeypatch.setattr(P, "SAMPLE_BYTES", 400)
+    monkeypatch.setattr(P, "MADE_PAGES", 3)
+    monkeypatch.setattr(P, "EPOCHS", 1)
+    seen = []
+    real = P.fit
+    monkeypatch.setattr(P, "fit", lambda pages, seed=0: seen.extend(pages) or real(pages, seed))
+    rows = [(k % 9, f"<article><p>{'word ' * (200 + k % 9)}</p></article>", "t", "u", None) for k in range(30)]
+    df = spark.createDataFrame(rows, "page_id int, html string, text string, `a.b` string, main_text string")
+    model = P.train(df)
+    assert len(seen) == 9 and all(len(p) == 400 for p in seen)
+    out = P.extract(df, model)
+    assert out.columns == ["page_id", "text", "a.b", "main_text", "_text"]
+    assert out.count() == 30 and {r["text"] for r in out.collect()} == {"t"}
