@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,28 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the checkpoint files of pinned frames (or of columns selected from them) that nothing
+    reads any more: frames made from them must be pinned themselves. Shuffle files of steps that are
+    over go as well, as soon as the driver's collector has found that nothing refers to them; it is
+    asked to look now, for a driver with memory to spare would keep them all until the job ends."""
+    sc = None
+    for df in frames:
+        plan = df._jdf.queryExecution().analyzed()
+        while plan.getClass().getSimpleName() == "Project":
+            plan = plan.child()
+        if plan.getClass().getSimpleName() != "LogicalRDD":
+            continue
+        file = plan.rdd().getCheckpointFile()
+        if file.isDefined():
+            sc = df.sparkSession.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if sc is not None:
+        gc.collect()  # Python's references to finished plans hold the JVM's
+        sc._jvm.System.gc()
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """`wanted`, with underscores in front until no column is called so in any letter case."""
     taken = {c.lower() for c in df.columns}

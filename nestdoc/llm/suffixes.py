@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestdoc.llm._frames import free_name, n_words, pinned, quoted, sent, table
+from nestdoc.llm._frames import free_name, n_words, pinned, quoted, release, sent, table
 from nestdoc.llm._words import NON_SPACE, U64, Words, chunks, mix, ngrams, utf8, words
 
 MIN_WORDS = 50
@@ -100,6 +100,7 @@ def repeated_passages(
     heads = keys.groupBy("th").agg(F.min(F.struct("id")).alias("head"), F.count("*").alias("copies")).where(F.col("copies") > 1)
     copies = keys.join(heads, "th").where(~F.col("id").eqNullSafe(F.col("head.id")))
     copies = pinned(copies.select("id", "th", F.col("head.id").alias("first_id"), F.col("n")))
+    release(keys)
     taken = copies.select(F.col("id").alias("i"), F.col("th").alias("t"))
     lead = docs.join(sent(taken), _same(), "left_anti").where(F.col("text").isNotNull())
 
@@ -128,9 +129,11 @@ def repeated_passages(
     kept = pinned(kept)
     neighbours = kept.groupBy("grp").agg(F.sum("times").alias("all")).where(F.col("all") > 1).select("grp")
     met = pinned(kept.join(neighbours, "grp").groupBy("id", "th").agg(F.collect_list("grp").alias("groups")))
+    release(kept)
     spots = met.select(F.col("id").alias("i"), F.col("th").alias("t"), "groups")
     some = lead.join(sent(spots.select("i", "t")), _same(), "left_semi")
     some = pinned(some.dropDuplicates(["id", "th"]).join(spots, _same()).select("id", "th", "text", "groups"))
+    release(met)
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text", CHUNK_BYTES):
@@ -162,12 +165,14 @@ def repeated_passages(
     times = F.sum(F.size("starts")).alias("all")
     first = runs.groupBy("run").agg(F.min(F.struct("id", "th")).alias("f"), times).where(F.col("all") > 1)
     own = F.struct("id", "th").eqNullSafe(F.col("f"))
-    met = runs.join(first.select("run", "f"), "run").where(~own | (F.size("starts") > 1))
     again = F.when(own, F.expr("slice(starts, 2, size(starts))")).otherwise(F.col("starts"))
-    later = met.select("id", "th", F.col("f.id").alias("first_id"), F.explode(again).alias("start"))
-    return merged(later, ["id", "th", "first_id"], min_words).unionByName(
+    later = runs.join(first.select("run", "f"), "run").where(~own | (F.size("starts") > 1)).select("id", "th", F.col("f.id").alias("first_id"), F.explode(again).alias("start"))
+    spans = merged(later, ["id", "th", "first_id"], min_words).unionByName(
         copies.select("id", "th", "first_id", F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))
     )
+    spans = pinned(spans)
+    release(some, copies)
+    return spans
 
 
 def _repeats(docs: DataFrame, min_words: int) -> bool:
@@ -197,7 +202,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = free_name(docs, "cuts")
     cuts = cuts.select(F.col("id").alias(id_), F.col("th").alias(th), F.col("cuts").alias(out))
     joined = docs.join(
-        cuts, quoted(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(quoted(text)) == F.col(th)), "left"
+        sent(pinned(cuts)), quoted(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(quoted(text)) == F.col(th)), "left"
     ).drop(id_, th)
     touched = joined.where(F.col(out).isNotNull())
     names = docs.columns
