@@ -28,11 +28,14 @@ follows the input's partitions, not the sort order, unless
 ``ordered_pages=True``: the heavy keys' rows are then range-sorted first
 (ties broken by input place), so page p holds the p-th run of the sorted
 list and positions in the whole list are page * max_items + place in page.
+
+Where a list is short enough for one task, :func:`cut_pages` gives the same
+pages at no shuffle: the list is gathered whole and cut in its own row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -123,6 +126,7 @@ def nest(
     ordered_pages: bool = False,
     weight: Column | None = None,
     hot_keys: DataFrame | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``key`` and collect the other columns as a list of structs.
 
@@ -152,6 +156,10 @@ def nest(
     With weights the heavy keys are given: ``hot_keys`` holds the key columns
     and ``_n`` of those that weigh more than max_items, and may be given
     without weights too, in place of a count.
+
+    ``cut`` turns rows ``(key..., out)`` into rows ``(key..., page, out)``, as
+    :func:`cut_pages` does: ``hot_keys`` then names only the keys that are too
+    heavy for one task, and all other lists are cut in place.
     """
     keys = _as_list(key)
     fields = item_fields(df, keys, exclude, cols)
@@ -189,7 +197,7 @@ def nest(
         # the number of heavy keys is known: it is the size check of the broadcast
         source = df if key_counts_from is None else key_counts_from
         hot, _ = _hot_keys(source.select(*key_cols), keys, max_items, known=heavy_keys)
-    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot, ordered_pages and sort, weight)
+    return _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot, ordered_pages and sort, weight, cut)
 
 
 def small_keys(hot: DataFrame, keys: Sequence[str], known: int | None = None) -> tuple[DataFrame, int]:
@@ -245,7 +253,7 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return a.join(b, cond, how).select(*[q(c, "_a") for c in left.columns], *extra)
 
 
-def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, ordered=False, weight=None) -> DataFrame:
+def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, ordered=False, weight=None, cut=None) -> DataFrame:
     key_cols = [q(k) for k in keys]
     if weight is not None:
         df = df.withColumn("_w", F.least(weight, F.lit(max_items)).cast("bigint"))
@@ -259,8 +267,8 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, o
         .repartition(*key_cols)
         .groupBy(*key_cols)
         .agg(collect)
-        .select(*key_cols, F.lit(0).cast("bigint").alias(PAGE), out)
     )
+    cold = cut(cold) if cut else cold.select(*key_cols, F.lit(0).cast("bigint").alias(PAGE), out)
 
     # Heavy keys: number each key's rows without gathering them. Rows are
     # numbered within (key, input partition), which is at most one input
@@ -303,6 +311,64 @@ def _nest_paged(df, keys, fields, collect, out, max_items, order_by, hot_keys, o
     return cold.unionByName(pieces.select(*key_cols, F.col("_page").alias(PAGE), out))
 
 
+def _page_starts(items: Column, weight: Callable[[Column], Column], max_items: int) -> Column:
+    """Places in a list (from 0) where its pages by weight begin; none for a null list."""
+    none = F.array().cast("array<int>")
+    zero = F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("place"), none.alias("starts"))
+    most = F.lit(max_items).cast("bigint")
+
+    def step(a: Column, x: Column) -> Column:
+        opens = a["sum"] >= F.size(a["starts"]) * most
+        return F.struct(
+            (a["sum"] + F.least(weight(x), most)).alias("sum"), (a["place"] + 1).alias("place"),
+            F.when(opens, F.concat(a["starts"], F.array(a["place"]))).otherwise(a["starts"]).alias("starts"),
+        )
+
+    return F.coalesce(F.aggregate(items, zero, step, lambda a: a["starts"]), none)
+
+
+def cut_pages(
+    df: DataFrame, lists: Mapping[str, Callable[[Column], Column] | None], max_items: int, short: Iterable[str] = ()
+) -> DataFrame:
+    """One row for each page of whole lists: the other columns, ``page``, and the lists.
+
+    Row-local: pages of up to ``max_items`` items, or by the weight that the
+    function given for a list returns for an item (see :func:`nest`), in the
+    list's own order. Page p of a row holds page p of each of its lists, null
+    where a list has no such page; a row without items has page 0. Lists named
+    in ``short`` stay whole on page 0.
+    """
+    if max_items < 1:
+        raise ValueError("max_items must be at least 1")
+    whole = set(short)
+    base = [q(c) for c in df.columns if c not in lists]
+    if whole >= set(lists):
+        return df.select(*base, F.lit(0).cast("bigint").alias(PAGE), *[q(c) for c in lists])
+    # a column of its own, so that it is not worked out again for every page
+    starts = {c: f"_starts{k}" for k, c in enumerate(lists) if c not in whole and lists[c] is not None}
+    df = df.select("*", *[_page_starts(q(c), lists[c], max_items).alias(name) for c, name in starts.items()])
+
+    def number(c: str) -> Column:
+        if c in starts:
+            return F.size(starts[c])
+        return F.when(q(c).isNull(), 0).otherwise(((F.size(q(c)) + (max_items - 1)) / max_items).cast("int"))
+
+    def page(c: str, p: Column) -> Column:
+        if c in whole:
+            return F.when(p == 0, q(c))
+        if c not in starts:
+            return F.when(p < number(c), F.slice(q(c), p * max_items + 1, F.lit(max_items)))
+        at = F.col(starts[c])
+        end = F.coalesce(F.get(at, p + 1), F.size(q(c)))
+        return F.when(p < F.size(at), F.slice(q(c), F.get(at, p) + 1, end - F.get(at, p)))
+
+    last = F.greatest(F.lit(1), *[number(c) for c in lists if c not in whole]) - 1
+    pages = F.transform(
+        F.sequence(F.lit(0), last), lambda p: F.struct(p.cast("bigint").alias(PAGE), *[page(c, p).alias(c) for c in lists])
+    )
+    return df.select(*base, F.inline(pages))
+
+
 def unnest(
     df: DataFrame,
     col: str,

@@ -8,12 +8,15 @@ fans out into the product of its children; each join is one-to-one on the key,
 and each nested side arrives hash-partitioned by that key, so only the parent
 side is shuffled for it.
 
-With a bound (``BuildOptions.max_items``) parents are **split by their key**.
-A key is heavy when one of its lists weighs more than the bound, where an item
-weighs 1 and all that its own lists hold. Light parents take the plain plan
-above, over the light rows of every table; heavy ones alone take the page
-plan, over their own rows; the two meet in a union. So a single heavy policy
-costs pages for itself and nothing for the others.
+With a bound (``BuildOptions.max_items``) the lists come in pages, where an
+item weighs 1 and all that its own lists hold. A list that one task can gather
+(``gather_items``) is built by the plain plan above and cut into its pages in
+its own row, at no shuffle more. Beyond that parents are **split by their
+key**: a key is heavy when one of its lists weighs more than both numbers.
+Light parents keep the plain plan, over the light rows of every table; heavy
+ones alone take the page plan, which spreads a list over tasks, over their own
+rows; the two meet in a union. So a single heavy policy costs the page plan
+for itself and nothing for the others.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortTy
 
 from ..functions.columns import q
 from ..operators.heavy import heavy_keys, sketch
-from ..operators.nest import PAGE, nest, small_keys
+from ..operators.nest import PAGE, cut_pages, nest, small_keys
 
 # A lookup side (a dimension such as clients with their accounts) is broadcast
 # only when its tables are measured under both budgets: rows per table, and
@@ -46,6 +49,10 @@ LOOKUP_HOT_ROWS = 1_000_000
 # holds more than this many items; keys with more children get more pages.
 DEFAULT_MAX_ITEMS = 1_000_000
 
+# Where the bound of a page is lower, lists of up to this weight are gathered by one
+# task and cut into pages in place; only heavier ones are sorted over several tasks.
+GATHER_ITEMS = 50_000
+
 _INT_RANK = {ByteType(): 1, ShortType(): 2, IntegerType(): 3, LongType(): 4}
 
 
@@ -97,6 +104,8 @@ class BuildOptions:
     sort: sort every list (results then repeat exactly run to run).
     max_items: bound on what a list weighs (1 for each item and 1 for each item
         of its own lists); heavier lists are paged (see nest).
+    gather_items: what a list may weigh to be gathered whole by one task before
+        it is cut into pages (where max_items is higher, that is the bound).
     lookup_broadcast_rows, lookup_broadcast_bytes: budgets under which a
         lookup side is broadcast (see lookup_fits).
     lookup_hot_rows: where a lookup side is over those budgets, keys with more
@@ -119,6 +128,7 @@ class BuildOptions:
 
     sort: bool = True
     max_items: int | None = None
+    gather_items: int = GATHER_ITEMS
     lookup_broadcast_rows: int = LOOKUP_BROADCAST_ROWS
     lookup_broadcast_bytes: int = LOOKUP_BROADCAST_BYTES
     lookup_hot_rows: int | None = LOOKUP_HOT_ROWS
@@ -316,15 +326,17 @@ class Heavy:
     keys: by place in the tree, the parent keys (and their weight, ``_n``) of
         which that list weighs more than the bound; only lists that have some.
     counts: how many they are. lookup_rows: see lookup_fits.
+    short: lists that are known to be one page for every key.
     """
 
     keys: dict[Path, DataFrame] = field(default_factory=dict)
     counts: dict[Path, int] = field(default_factory=dict)
     lookup_rows: dict[Path, list[int]] = field(default_factory=dict)
+    short: set[Path] = field(default_factory=set)
 
     def light(self) -> "Heavy":
         """The same where no list is heavy."""
-        return Heavy(lookup_rows=self.lookup_rows)
+        return Heavy(lookup_rows=self.lookup_rows, short=self.short)
 
     def of(self, spec: DocSpec, path: Path) -> DataFrame | None:
         """The keys of ``spec`` with a heavy list (one column ``_k``), marked to be sent if few."""
@@ -377,8 +389,17 @@ def _list_weights(ch: Child, tables, nulls: bool = False) -> DataFrame:
     return rows.groupBy(q(ch.fk)).agg(F.sum("_w").alias("_n"))
 
 
-def measure(spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int, nulls: Path | None = None) -> Heavy:
-    """Which lists are over the bound, and for which keys.
+def _measured(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions, nulls: Path | None = None) -> Heavy:
+    """What is measured for the options; nothing where lists are unbounded."""
+    if not opts.max_items:
+        return Heavy()
+    return measure(spec, tables, max(opts.max_items, opts.gather_items), nulls, page=opts.max_items)
+
+
+def measure(
+    spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int, nulls: Path | None = None, page: int | None = None
+) -> Heavy:
+    """Which lists are over the bound, and for which keys; and which are within ``page`` for all.
 
     One job sketches the key columns of all children. The most rows of any
     key, multiplied down the tree, bound every list's weight; for most inputs
@@ -392,6 +413,7 @@ def measure(spec: DocSpec, tables: Mapping[str, DataFrame], max_items: int, null
     sketches = sketch(frames, max_items)
     most = {path: s.most for (path, _), s in zip(entries, sketches, strict=True)}
     out = Heavy(lookup_rows={p: n for (p, _), n in zip(_lookups(spec), _lookup_tables(spec, tables), strict=True)})
+    out.short = {path for path, ch in entries if _list_bound(ch, path, most) <= (max_items if page is None else page)}
     for (path, ch), (rows, keys), seen in zip(entries, frames, sketches, strict=True):
         if _list_bound(ch, path, most) <= max_items:
             continue
@@ -511,6 +533,15 @@ def _weight(spec: DocSpec, get=q) -> Column:
     return total
 
 
+def _cut(df: DataFrame, lists: list[tuple[Child, Path]], opts: BuildOptions, heavy: Heavy) -> DataFrame:
+    """Rows with whole lists, none of them heavy, cut into pages."""
+    whole = opts.max_items >= opts.gather_items
+    weights = {
+        ch.out: (lambda x, spec=ch.spec: _weight(spec, lambda name: x[name])) if _has_lists(ch.spec) else None for ch, _ in lists
+    }
+    return cut_pages(df, weights, opts.max_items, short=[ch.out for ch, path in lists if whole or path in heavy.short])
+
+
 def _nest_rows(rows: DataFrame, ch: Child, path: Path, opts: BuildOptions, heavy: Heavy) -> tuple[DataFrame, bool]:
     """Nest built child rows by their foreign key; True when paged."""
     if not heavy.counts.get(path):
@@ -525,6 +556,7 @@ def _nest_rows(rows: DataFrame, ch: Child, path: Path, opts: BuildOptions, heavy
         rows, ch.fk, ch.out, sort=opts.sort, order_by=ch.spec.order_by, max_items=opts.max_items,
         hot_keys=hot, heavy_keys=heavy.counts[path], checkpoint=not (opts.stable_inputs and leaf),
         ordered_pages=opts.sort, weight=_weight(ch.spec) if _has_lists(ch.spec) else None,
+        cut=lambda lists: _cut(lists, [(ch, path)], opts, heavy),
     )
     return lists, True
 
@@ -534,12 +566,10 @@ def nest_child(ch: Child, tables: Mapping[str, DataFrame], opts: BuildOptions |
     when ``opts.max_items`` is set (every key then has a page 0)."""
     opts = opts or BuildOptions()
     path = _child_path((), ch)
-    heavy = measure(DocSpec("", children=(ch,)), tables, opts.max_items, nulls=path) if opts.max_items else Heavy()
+    heavy = _measured(DocSpec("", children=(ch,)), tables, opts, nulls=path)
     rows = _build(ch.spec, path, tables, opts, heavy)
     lists, paged = _nest_rows(rows, ch, path, opts, heavy)
-    if opts.max_items and not paged:
-        lists = lists.select(q(ch.fk), F.lit(0).cast("bigint").alias(PAGE), q(ch.out))
-    return lists
+    return _cut(lists, [(ch, path)], opts, heavy) if opts.max_items and not paged else lists
 
 
 def _child_lists(df: DataFrame, spec: DocSpec, ch: Child, path: Path, tables, opts: BuildOptions, heavy: Heavy):
@@ -567,11 +597,11 @@ def build(spec: DocSpec, tables: Mapping[str, DataFrame], opts: BuildOptions | N
     hold; those are bounded in turn, so a list holds less than two max_items
     of items of all levels): a key with more gets several pages, and page p of
     a key holds page p of each of its lists. One job first looks for heavy
-    keys in the whole tree; light keys take the unpaged plan with page 0.
+    keys in the whole tree; light keys take the unpaged plan, and their lists
+    are cut into pages in place.
     """
     opts = opts or BuildOptions()
-    heavy = measure(spec, tables, opts.max_items) if opts.max_items else Heavy()
-    return _build(spec, (), tables, opts, heavy)
+    return _build(spec, (), tables, opts, _measured(spec, tables, opts))
 
 
 def _mostly_heavy(spec: DocSpec, path: Path, tables, heavy: Heavy) -> bool:
@@ -615,6 +645,9 @@ def _build(spec: DocSpec, path: Path, tables, opts: BuildOptions, heavy: Heavy,
     base_cols = [q(c) for c in df.columns]
 
     if any(p for _, _, p in lists):
+        lists = [
+            (ch, side if p else _cut(side, [(ch, _child_path(path, ch))], opts, heavy)) for ch, side, p in lists
+        ]
         out = _join_pages(df, spec.key, base_cols, lists)
     else:
         for ch, side, _ in lists:
@@ -624,7 +657,7 @@ def _build(spec: DocSpec, path: Path, tables, opts: BuildOptions, heavy: Heavy,
             df = df.join(side.hint("merge"), spec.key, ch.how)
         out = df.select(*base_cols, *[q(ch.out) for ch, _, _ in lists])
         if opts.max_items:
-            out = out.select(*base_cols, F.lit(0).cast("bigint").alias(PAGE), *[q(ch.out) for ch, _, _ in lists])
+            out = _cut(out, [(ch, _child_path(path, ch)) for ch in spec.children], opts, heavy)
     return out.persist(opts.persist) if opts.persist else out
 
 
@@ -638,18 +671,16 @@ def _join_pages(df: DataFrame, key: str, base_cols, lists) -> DataFrame:
     page-0 keys (one row per key), with page 0 and null lists.
     """
     sides = []
-    for ch, side, paged in lists:
-        if not paged:
-            side = side.select(q(key), F.lit(0).cast("bigint").alias(PAGE), q(ch.out))
+    for ch, side in lists:
         if ch.how == "inner":
             # every key with children has a page 0
             df = df.join(side.where(F.col(PAGE) == 0).select(key).hint("merge"), key, "left_semi")
         sides.append(side)
     pages = reduce(lambda a, b: a.join(b, [key, PAGE], "full_outer"), sides)
-    outs = [q(ch.out) for ch, _, _ in lists]
+    outs = [q(ch.out) for ch, _ in lists]
     with_pages = pages.join(df, key, "inner").select(*base_cols, q(PAGE), *outs)
     first_pages = pages.where(F.col(PAGE) == 0).select(key)
     without = df.join(first_pages, key, "left_anti").select(
-        *base_cols, F.lit(0).cast("bigint").alias(PAGE), *[F.lit(None).cast(pages.schema[ch.out].dataType).alias(ch.out) for ch, _, _ in lists]
+        *base_cols, F.lit(0).cast("bigint").alias(PAGE), *[F.lit(None).cast(pages.schema[ch.out].dataType).alias(ch.out) for ch, _ in lists]
     )
     return with_pages.unionByName(without)
