@@ -31,8 +31,10 @@ from nestdoc.llm._frames import free_name, quoted, table
 from nestdoc.llm._words import ALNUM, chunks, spans_of, utf8, words
 
 WINDOW = 10
-#: Bytes of text in one suffix array.
-SHARD_BYTES = 8 << 20
+#: Bytes of text in one suffix array: the least, and the most where the benchmark is as large,
+#: for each array is searched for the whole benchmark. A task holds about 17 bytes for each.
+SHARD_BYTES = 2 << 20
+MOST_SHARD_BYTES = 8 << 20
 #: Bytes of benchmark text that a task searches for in one pass; its words fit 21-bit codes.
 BLOCK_BYTES = 8 << 20
 
@@ -220,6 +222,11 @@ def _join(old: dict | None, new: dict) -> dict:
     }
 
 
+def shard_size(benchmark_bytes: int) -> int:
+    """Bytes of text in one suffix array that is searched for so large a benchmark."""
+    return min(max(SHARD_BYTES, benchmark_bytes), MOST_SHARD_BYTES)
+
+
 def find_matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -228,17 +235,20 @@ def find_matches(
     item_text: str = "text",
     out: str = "matches",
     window: int = WINDOW,
-    shard_bytes: int = SHARD_BYTES,
+    shard_bytes: int | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """`docs` plus a struct column `out`: n_words, starts and ends of the hit word spans, the ids
-    of the items found (as strings, sorted) and the words of the longest verbatim match."""
+    of the items found (as strings, sorted) and the words of the longest verbatim match.
+    A shard is `shard_bytes` of text; unless given, it follows the size of the benchmark."""
     spark = docs.sparkSession
     items = benchmark.select(
         F.coalesce(quoted(item_id).cast("string"), F.lit("")).alias("id"), quoted(item_text).alias("text")
     ).where(F.col("text").isNotNull())
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // block_bytes))
+    if shard_bytes is None:
+        shard_bytes = shard_size(size)
     fields = docs.schema.fields
     schema = T.StructType([*fields, T.StructField(out, MATCHES)])
     kind = pa.struct(
