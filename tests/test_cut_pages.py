@@ -75,3 +75,18 @@ def test_cut_pages_of_two_lists(spark):
     assert [(r.k, r.page, len(r.b or [])) for r in whole.orderBy("k").collect()] == [(1, 0, 4), (2, 0, 0), (3, 0, 1)]
     with pytest.raises(ValueError):
         cut_pages(df, {"a": None}, 0)
+
+
+def test_bounded_claims_shuffle_their_rows_once(spark):
+    """The plan of `document_bounded`: no scan of a checkpoint, no exchange by page, pages within the bound."""
+    t = made(spark)
+    spec = I.POLICY.with_children("datos_sin")
+    doc = build(spec, t, BuildOptions(max_items=6))
+    plan = doc._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
+    assert "rangepartitioning" not in [kind for kind, _ in exchanges]
+    assert not [by for _, by in exchanges if PAGE in by]
+    weights = [len(r.datos_sin or []) + sum(len(c.datos_pago or []) for c in r.datos_sin or []) for r in doc.collect()]
+    assert 6 < sum(weights) and max(weights) <= 12
+    whole = build(spec, t).select(F.size("datos_sin").alias("n")).where("n > 0").agg(F.sum("n")).collect()[0][0]
+    assert sum(1 for r in doc.collect() for c in r.datos_sin or [] if c[PAGE] == 0) == whole
