@@ -1,0 +1,74 @@
+"""Keys that go to every Python task, where tables of them would fill the driver."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from nestdoc.llm import _frames as H
+from nestdoc.llm import jaccard as J
+
+from .helpers import odd_rows
+from .test_jaccard import brute, corpus
+
+
+def test_keys_take_eight_bytes_each(spark):
+    keys = spark.range(0, 5000).selectExpr("id - 2500 AS k").union(spark.range(10))
+    held = H.gathered(keys)
+    assert held.value.nbytes == 8 * 5000
+    assert held.value.tolist() == list(range(-2500, 2500))
+    assert H.gathered(keys, most=100) is None
+    assert len(H.gathered(spark.range(0)).value) == 0
+
+
+@pytest.mark.parametrize("most", [1 << 22, 1])
+def test_rows_are_parted_by_their_keys(spark, most):
+    rows = [(k if k % 3 else None, f"t{k % 50}", {"n": k}) for k in range(200)]
+    docs = spark.createDataFrame(rows, "`a.b` long, text string, part_key struct<n: int>")
+    key = F.xxhash64(H.quoted("a.b"), "text")
+    keys = docs.where("part_key.n IN (3, 4, 150)").select(key)
+    inside, others = H.parted(docs, key, keys, most)
+    wanted = {rows[k][:2] for k in (3, 4, 150)}
+    both = [sorted(r["part_key"]["n"] for r in x.collect()) for x in (inside, others)]
+    assert inside.columns == others.columns == docs.columns
+    assert both == [[r[2]["n"] for r in rows if (r[:2] in wanted) == is_in] for is_in in (True, False)]
+    none = docs.where("false").select(key)
+    assert [x.count() for x in H.parted(docs, key, none, most)] == [0, 200]
+
+
+def plans(spark, monkeypatch, module, f):
+    """The result of `f`, and the plans of it and of all that it pinned, with no join sent by itself."""
+    seen, real = [], H.pinned
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(module, "pinned", lambda df: (seen.append(plan(df)), real(df))[1])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = f()
+        return out.collect(), [*seen, plan(out)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_near_copies_send_no_table(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = corpus(rng)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, seen = plans(spark, monkeypatch, J, lambda: J.keep_first(df, n=4, percent=85))
+    assert sorted(r["doc_id"] for r in got) == sorted({c for _, size, c in brute(rows, 4, 85) if size})
+    assert len(seen) > 5 and not any("BroadcastHashJoin" in p for p in seen)
+
+
+def test_more_keys_than_are_sent(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = corpus(rng)
+    rows += [(1000 + r[0] if r[0] is not None else None, r[1]) for r in odd_rows(rng)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(repr, J.keep_first(df, n=4, percent=85).collect()))
+    for module in (J, H):
+        monkeypatch.setattr(module, "gathered", lambda keys, most=0: None)
+    found = J.jaccard_components(df, n=4, percent=85)
+    assert sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in found.collect()), key=repr) == brute(rows, 4, 85)
+    assert sorted(map(repr, J.keep_first(df, n=4, percent=85).collect())) == kept
