@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestdoc.llm._frames import free_name, n_words, pinned, quoted, release, sent, table
+from nestdoc.llm._frames import free_name, n_words, parted, pinned, quoted, release, sent, table
 from nestdoc.llm._words import NON_SPACE, U64, Words, chunks, mix, ngrams, utf8, words
 
 MIN_WORDS = 50
@@ -131,7 +131,7 @@ def repeated_passages(
     met = pinned(kept.join(neighbours, "grp").groupBy("id", "th").agg(F.collect_list("grp").alias("groups")))
     release(kept)
     spots = met.select(F.col("id").alias("i"), F.col("th").alias("t"), "groups")
-    some = lead.join(sent(spots.select("i", "t")), _same(), "left_semi")
+    some, _ = parted(lead, F.xxhash64("id", "th"), met.select(F.xxhash64("id", "th")))
     some = pinned(some.dropDuplicates(["id", "th"]).join(spots, _same()).select("id", "th", "text", "groups"))
     release(met)
 
@@ -200,11 +200,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cuts = spans.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
     id_, th = free_name(docs, "cut_id"), free_name(docs, "cut_th")
     out = free_name(docs, "cuts")
-    cuts = cuts.select(F.col("id").alias(id_), F.col("th").alias(th), F.col("cuts").alias(out))
-    joined = docs.join(
-        sent(pinned(cuts)), quoted(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(quoted(text)) == F.col(th)), "left"
-    ).drop(id_, th)
-    touched = joined.where(F.col(out).isNotNull())
+    cuts = pinned(cuts.select(F.col("id").alias(id_), F.col("th").alias(th), F.col("cuts").alias(out)))
+    key = F.xxhash64(quoted(doc_id), F.xxhash64(quoted(text)))
+    touched, others = parted(docs, key, cuts.select(F.xxhash64(id_, th)))
+    met = quoted(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(quoted(text)) == F.col(th))
+    touched = touched.join(cuts, met).drop(id_, th)
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +231,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     clean = touched.mapInArrow(cut, T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema.fields]))
     if "n_chars" in names and "n_chars" not in (doc_id, text):
         clean = clean.withColumn("n_chars", F.length(quoted(text)).cast(docs.schema["n_chars"].dataType))
-    return joined.where(F.col(out).isNull()).select(*[quoted(c) for c in names]).unionByName(clean)
+    return others.unionByName(clean)
 
 
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

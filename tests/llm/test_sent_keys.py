@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from nestdoc.llm import _frames as H
 from nestdoc.llm import jaccard as J
+from nestdoc.llm import suffixes as S
 
-from .helpers import odd_rows
+from .helpers import odd_rows, prose
 from .test_jaccard import brute, corpus
 
 
@@ -61,6 +62,17 @@ def test_near_copies_send_no_table(spark, monkeypatch):
     assert len(seen) > 5 and not any("BroadcastHashJoin" in p for p in seen)
 
 
+def test_repeated_passages_send_no_table(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = prose(rng, 80)
+    rows = [(k, f"{prose(rng, 30)} {passage} {prose(rng, 30)}") for k in range(5)] + [(9, prose(rng, 70)), (10, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, seen = plans(spark, monkeypatch, S, lambda: S.remove_repeats(df))
+    assert {r["doc_id"]: len((r["text"] or "").split()) for r in got} == {0: 140, 1: 60, 2: 60, 3: 60, 4: 60, 9: 70, 10: 0}
+    # only what is an exact copy of another document goes by a small table
+    assert not any(j in p for p in seen for j in ("BroadcastHashJoin LeftOuter", "LeftSemi, BuildRight", "LeftOuter, BuildRight"))
+
+
 def test_more_keys_than_are_sent(spark, monkeypatch):
     rng = random.Random(6)
     rows = corpus(rng)
